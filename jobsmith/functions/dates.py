@@ -20,55 +20,72 @@ from pyspark.sql import functions as F
 from jobsmith.functions.text import as_col, strip_ws
 
 # group 1 date | 2 hour | 3,4,5 min/sec/frac (extended) | 6,7,8 (basic) | 9 offset
-ISO_GUARD = (r"^(\d{4}-\d{2}-\d{2}|\d{8})"
-             r"(?:[\s\S](\d{2})"
-             r"(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
-             r"([+-]\d{2}(?::?\d{2})?)?)?$")
-
-
-def with_iso_date(df: DataFrame, raw: Column | str, ts: str | None = "publication_date",
-                  iso: str | None = None, tmp: str = "_dt") -> DataFrame:
-    """Add the parsed instant (``ts``) and/or its ISO text (``iso``) of ``raw``.
-
-    Staged projections: clean text -> one struct of regex groups -> values, so
-    each regex runs once per row and the generated code stays small.
-    """
-    s0 = F.col(f"{tmp}_s0")
-    bare = (F.length(s0) == 10) & (F.substring(s0, 5, 1) == "-") & (F.substring(s0, 8, 1) == "-")
-    df = df.withColumn(f"{tmp}_s0", strip_ws(as_col(raw).cast("string")))
-    df = df.withColumn(f"{tmp}_s", F.when(bare, s0).otherwise(F.replace(s0, F.lit("Z"), F.lit("+00:00"))))
-    s = F.col(f"{tmp}_s")
-    df = df.withColumn(f"{tmp}_g", F.struct(s.rlike(ISO_GUARD).alias("ok"),
-                                            *[F.regexp_extract(s, ISO_GUARD, i).alias(f"g{i}") for i in range(1, 10)]))
-    g = F.col(f"{tmp}_g")
-
-    def grp(i: int) -> Column:
-        return F.nullif(g[f"g{i}"], F.lit(""))
-
-    d = g["g1"]
+ISO_CORE = (r"(\d{4}-\d{2}-\d{2}|\d{8})"
+            r"(?:[\s\S](\d{2})"
+            r"(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
+            r"([+-]\d{2}(?::?\d{2})?)?)?")
+ISO_GUARD = "^" + ISO_CORE + "$"
+# Always matches the whole text: an ISO text fills the groups, anything else
+# matches the second branch and leaves every group empty.
+ISO_ANY = r"(?s)^" + ISO_CORE + r"\z|^.*\z"
+# 'date|hh|mm|ss|frac|offset'; groups that did not take part expand to ''.
+CANONICAL = "$1|$2|$3$6|$4$7|$5$8|$9"
+
+
+def _format(a: Column) -> Column:
+    """Canonical parts -> struct(ts TIMESTAMP, iso STRING) (both NULL if invalid)."""
+    def part(i: int) -> Column:
+        return F.coalesce(F.nullif(a[i], F.lit("")), F.lit("00"))
+
+    d = a[0]
     date = F.when(F.length(d) == 8, F.concat_ws("-", F.substring(d, 1, 4), F.substring(d, 5, 2),
                                                 F.substring(d, 7, 2))).otherwise(d)
-    frac = F.rpad(F.substring(F.coalesce(grp(5), grp(8), F.lit("")), 1, 6), 6, "0")
-    off = g["g9"]
+    local = F.concat(date, F.lit("T"), part(1), F.lit(":"), part(2), F.lit(":"), part(3))
+    frac = F.rpad(F.substring(a[4], 1, 6), 6, "0")
+    off = a[5]
     off_txt = (F.when(off == "", F.lit("+00:00"))
                .when(F.length(off) == 3, F.concat(off, F.lit(":00")))
                .when(F.length(off) == 5, F.concat(F.substring(off, 1, 3), F.lit(":"), F.substring(off, 4, 2)))
                .otherwise(off))
-    local = F.concat(date, F.lit("T"), F.coalesce(grp(2), F.lit("00")), F.lit(":"),
-                     F.coalesce(grp(3), grp(6), F.lit("00")), F.lit(":"), F.coalesce(grp(4), grp(7), F.lit("00")))
-    df = df.withColumn(f"{tmp}_p", F.struct(g["ok"].alias("ok"), local.alias("local"), frac.alias("frac"),
-                                            off_txt.alias("off")))
-    p = F.col(f"{tmp}_p")
-    inst = F.when(p["ok"], F.concat(p["local"], F.lit("."), p["frac"], p["off"]).try_cast("timestamp"))
-    df = df.withColumn(f"{tmp}_ts", inst)
-    t = F.col(f"{tmp}_ts")
+    ts = F.when(d != "", F.concat(local, F.lit("."), frac, off_txt).try_cast("timestamp"))
+    iso = F.when(ts.isNotNull(), F.concat(
+        local, F.when(frac != "000000", F.concat(F.lit("."), frac)).otherwise(F.lit("")), off_txt))
+    return F.struct(ts.alias("ts"), iso.alias("iso"))
+
+
+def parse_iso(raw: Column | str) -> Column:
+    """struct(ts, iso) of an ISO-8601 text.
+
+    One linear chain (strip -> 'Z' as '+00:00' -> one regexp_replace -> split),
+    then the formatting inside a lambda: every step reads its input once, so
+    predicate pushdown and projection collapsing cannot multiply the regex work.
+    ('Z' can be replaced everywhere: a bare 10-character date holding a 'Z'
+    is invalid either way.)
+    """
+    s1 = F.replace(strip_ws(as_col(raw).cast("string")), F.lit("Z"), F.lit("+00:00"))
+    parts = F.split(F.regexp_replace(s1, ISO_ANY, CANONICAL), r"\|")
+    return F.transform(F.array(parts), _format)[0]
+
+
+def parse_ts(raw: Column | str) -> Column:
+    """Instant of an ISO-8601 text, NULL when it does not parse."""
+    return parse_iso(raw)["ts"]
+
+
+def iso_text(raw: Column | str) -> Column:
+    """``isoformat()`` of the parsed value with its source offset, NULL when unparseable."""
+    return parse_iso(raw)["iso"]
+
+
+def with_iso_date(df: DataFrame, raw: Column | str, ts: str | None = "publication_date",
+                  iso: str | None = None, tmp: str = "_dt") -> DataFrame:
+    """Add the parsed instant (``ts``) and/or its ISO text (``iso``) of ``raw``."""
+    df = df.withColumn(tmp, parse_iso(raw))
     if iso:
-        df = df.withColumn(iso, F.when(t.isNotNull(), F.concat(
-            p["local"], F.when(p["frac"] != "000000", F.concat(F.lit("."), p["frac"])).otherwise(F.lit("")),
-            p["off"])))
+        df = df.withColumn(iso, F.col(tmp)["iso"])
     if ts:
-        df = df.withColumn(ts, t)
-    return df.drop(*[f"{tmp}_{x}" for x in ("s0", "s", "g", "p", "ts")])
+        df = df.withColumn(ts, F.col(tmp)["ts"])
+    return df.drop(tmp)
 
 
 def utc_iso_text(ts: Column | str) -> Column:

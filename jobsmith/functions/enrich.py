@@ -2,26 +2,60 @@
 
 Keywords are whole-word matches on the lower-cased ``title\\ndescription``;
 roles are ordered substring rules; seniority levels are ordered whole-word rules.
-One ``when`` chain per rule table keeps everything inside whole-stage codegen.
+
+A keyword made only of word characters matches between ``\\b`` boundaries
+exactly when it is one of the text's maximal word-character runs, so the text
+is tokenised once (``split`` on non-word runs) and such keywords are found by
+set intersection: one linear pass per row however large the dictionary. Only
+keywords with inner non-word characters (``power bi``) fall back to a regex.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsmith import rules as R
-from jobsmith.functions.text import contains_any, contains_word, text_concat
+from jobsmith.functions.text import NON_WORD_CHAR, _is_word_char, contains_any, contains_word, text_concat
+
+TOKEN_SPLIT = NON_WORD_CHAR + "+"
+
+
+def is_plain_word(s: str) -> bool:
+    return bool(s) and all(_is_word_char(ch) for ch in s)
+
 
+def tokens(hay: Column) -> Column:
+    """Maximal word-character runs of ``hay`` (may contain '' at the edges)."""
+    return F.split(hay, TOKEN_SPLIT)
 
-def extract_keywords(hay: Column, keywords: list[str] | None = None) -> Column:
+
+def extract_keywords(hay: Column, toks: Column, keywords: list[str] | None = None) -> Column:
     """Sorted distinct keywords found as whole words in ``hay`` (never NULL)."""
     kws = sorted({k.lower() for k in (R.SKILL_KEYWORDS if keywords is None else keywords)})
-    if not kws:
+    words = [k for k in kws if is_plain_word(k)]
+    phrases = [k for k in kws if not is_plain_word(k)]
+    parts = []
+    if words:
+        parts.append(F.array_intersect(toks, F.array(*[F.lit(w) for w in words])))
+    if phrases:
+        parts.append(F.array_compact(F.array(*[F.when(contains_word(hay, [k]), F.lit(k)) for k in phrases])))
+    if not parts:
         return F.array().cast("array<string>")
-    hits = [F.when(contains_word(hay, [k]), F.lit(k)) for k in kws]
-    # Keywords are pre-sorted and distinct, so compacting keeps the order.
-    return F.array_compact(F.array(*hits))
+    merged = parts[0] if len(parts) == 1 else F.array_distinct(F.concat(*parts))
+    return F.sort_array(merged)
+
+
+def _word_hit(hay: Column, toks: Column, needles: list[str]) -> Column:
+    words = [n.lower() for n in needles if is_plain_word(n)]
+    phrases = [n.lower() for n in needles if not is_plain_word(n)]
+    cond = None
+    if words:
+        cond = F.arrays_overlap(toks, F.array(*[F.lit(w) for w in words]))
+    if phrases:
+        c = contains_word(hay, phrases)
+        cond = c if cond is None else (cond | c)
+    return F.coalesce(cond, F.lit(False)) if cond is not None else F.lit(False)
 
 
 def classify_first_match(hay: Column, rules: list[tuple[str, list[str]]] | None = None,
@@ -34,21 +68,30 @@ def classify_first_match(hay: Column, rules: list[tuple[str, list[str]]] | None
     return F.lit(default) if chain is None else chain.otherwise(F.lit(default))
 
 
-def classify_word_match(hay: Column, rules: list[tuple[str, list[str]]] | None = None,
+def classify_word_match(hay: Column, toks: Column, rules: list[tuple[str, list[str]]] | None = None,
                         default: str = R.SENIORITY_DEFAULT) -> Column:
     """First label whose needles occur as whole words."""
     chain = None
     for label, needles in (R.SENIORITY_RULES if rules is None else rules):
-        cond = contains_word(hay, needles)
+        cond = _word_hit(hay, toks, needles)
         chain = F.when(cond, F.lit(label)) if chain is None else chain.when(cond, F.lit(label))
     return F.lit(default) if chain is None else chain.otherwise(F.lit(default))
 
 
-def enrich_columns(title: Column | str, description: Column | str, *, keywords=None,
-                   role_rules=None, seniority_rules=None) -> dict[str, Column]:
-    hay = text_concat(title, description)
-    return {
-        "skills_extracted": extract_keywords(hay, keywords),
+def with_enrichment(df: DataFrame, title: Column | str, description: Column | str, *, keywords=None,
+                    role_rules=None, seniority_rules=None, outputs=("skills_extracted", "role_type",
+                                                                    "seniority_level")) -> DataFrame:
+    """Add skills_extracted, role_type and seniority_level.
+
+    Staged: the haystack and its tokens are materialised once per row, then the
+    three rule tables read them.
+    """
+    df = df.withColumn("_hay", text_concat(title, description))
+    df = df.withColumn("_tok", tokens(F.col("_hay")))
+    hay, toks = F.col("_hay"), F.col("_tok")
+    cols = {
+        "skills_extracted": extract_keywords(hay, toks, keywords),
         "role_type": classify_first_match(hay, role_rules),
-        "seniority_level": classify_word_match(hay, seniority_rules),
+        "seniority_level": classify_word_match(hay, toks, seniority_rules),
     }
+    return df.withColumns({k: v for k, v in cols.items() if k in outputs}).drop("_hay", "_tok")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobsmith import rules as R
 from jobsmith.functions import json as J
 from jobsmith.functions.dates import with_iso_date
-from jobsmith.functions.enrich import enrich_columns
+from jobsmith.functions.enrich import with_enrichment
 from jobsmith.functions.hashing import job_key
 from jobsmith.functions.text import empty_to_null, lower_contains, normalize_ws, truthy_text
 from jobsmith.schema import MESSAGE_FIELDS, STREAM_COLUMNS, conform
@@ -23,17 +23,18 @@ def _finish(df: DataFrame, enrich: bool, keep: list[str], **rules) -> DataFrame:
     out = with_iso_date(df, "_date_raw", "publication_date", "_iso")
     out = out.withColumn("job_hash", job_key("job_url", "title", "company", "_iso"))
     if enrich:
-        out = out.withColumns(enrich_columns("title", "description", **rules))
+        out = with_enrichment(out, "title", "description", **rules)
     return conform(out, keep=keep)
 
 
 def normalize_csv(raw: DataFrame, *, clock: Column | None = None, keep: list[str] | None = None,
-                  **rules) -> DataFrame:
+                  enrich: bool = True, **rules) -> DataFrame:
     """CSV rows (all STRING, NA tokens already NULL) -> unified postings.
 
     Missing columns are tolerated; text NULL -> ''; source NULL -> 'csv';
     is_remote by row-level truthiness (NULL -> false); one ingest time per frame.
-    ``keep`` carries extra input columns (e.g. an arrival position) through.
+    ``keep`` carries extra input columns (e.g. an arrival position) through;
+    ``enrich=False`` keeps enrichment columns computed upstream (in ``keep``).
     """
     have = set(raw.columns)
 
@@ -54,7 +55,7 @@ def normalize_csv(raw: DataFrame, *, clock: Column | None = None, keep: list[str
         _clock(clock).alias("ingested_at"),
         *[F.col(k) for k in (keep or [])],
     )
-    return _finish(df, True, keep or [], **rules)
+    return _finish(df, enrich, keep or [], **rules)
 
 
 def _api_common(j: Column) -> dict[str, Column]:

@@ -60,4 +60,5 @@ def conform(df: DataFrame, schema: T.StructType = POSTING_SCHEMA, keep: list[str
     for f in schema.fields:
         c = F.col(f.name) if f.name in present else F.lit(None)
         cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols, *[F.col(k) for k in (keep or [])])
+    names = {f.name for f in schema.fields}
+    return df.select(*cols, *[F.col(k) for k in (keep or []) if k not in names])
