@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from jobsmith.functions.text import as_col
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` bound once: ``fn`` may use its argument many
+    times without the optimizer copying ``value``'s expression into each use."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def vget(v: Column, path: str, typ: str = "variant") -> Column:
     return F.try_variant_get(v, path, typ)
 
@@ -23,6 +29,10 @@ def is_object(v: Column) -> Column:
 
 def truthy(v: Column) -> Column:
     """Python truthiness of a decoded JSON value; missing and null are falsy."""
+    return let(v, _truthy)
+
+
+def _truthy(v: Column) -> Column:
     k = kind(v)
     s = vget(v, "$", "string")
     return (F.when(v.isNull() | (k == "VOID") | s.isNull(), F.lit(False))
@@ -34,23 +44,30 @@ def truthy(v: Column) -> Column:
 
 def text_of(v: Column) -> Column:
     """``str(value)`` for a truthy value, NULL for a falsy one."""
+    return let(v, _text_of)
+
+
+def _text_of(v: Column) -> Column:
     k = kind(v)
     s = vget(v, "$", "string")
     py = F.when(k == "BOOLEAN", F.when(s == "true", F.lit("True")).otherwise(F.lit("False"))).otherwise(s)
-    return F.when(truthy(v), py)
+    return F.when(_truthy(v), py)
 
 
 def first_truthy(*vs: Column) -> Column:
     """``a or b or c`` on variant values (the last one is returned as is)."""
+    def pick(rest: Column):
+        return lambda x: F.when(_truthy(x), x).otherwise(rest)
+
     out = vs[-1]
     for v in reversed(vs[:-1]):
-        out = F.when(truthy(v), v).otherwise(out)
+        out = let(v, pick(out))
     return out
 
 
 def object_or_scalar(v: Column, key: str) -> Column:
     """``v.get(key)`` when ``v`` is an object, else ``v`` itself, as falsy-aware text."""
-    return F.when(is_object(v), text_of(vget(v, f"$.{key}"))).otherwise(text_of(v))
+    return let(v, lambda x: F.when(is_object(x), _text_of(vget(x, f"$.{key}"))).otherwise(_text_of(x)))
 
 
 def decode(c: Column | str) -> Column:
