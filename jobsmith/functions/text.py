@@ -83,7 +83,10 @@ def word_pattern(needles: list[str], dialect: str = "java") -> str:
 
 
 def contains_word(hay: Column, needles: list[str]) -> Column:
-    return hay.rlike(word_pattern([n.lower() for n in needles]))
+    """Whole-word test; a plain substring test runs first, so the regex only
+    scans texts that contain one of the needles at all."""
+    low = [n.lower() for n in needles]
+    return F.when(contains_any(hay, low), hay.rlike(word_pattern(low))).otherwise(F.lit(False))
 
 
 def contains_any(hay: Column, needles: list[str]) -> Column:

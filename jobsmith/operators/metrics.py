@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsmith import rules as R
+from jobsmith.functions.arrays import unnest
 from jobsmith.functions.dates import day_of
 
 
@@ -30,7 +31,7 @@ def counts_by_day_company(jobs: DataFrame) -> DataFrame:
 
 
 def counts_by_day_skill(jobs: DataFrame) -> DataFrame:
-    return (dated(jobs).select("metric_date", F.explode("skills_extracted").alias("skill"))
+    return (unnest(dated(jobs), "skills_extracted", "skill", keep=["metric_date"])
             .groupBy("metric_date", "skill").agg(F.count("*").alias("jobs")))
 
 
@@ -74,7 +75,9 @@ def daily_metrics(jobs: DataFrame, *, k: int = R.TOP_K, clock: Column | None = N
         F.transform(F.coalesce(F.col("skills_extracted"), F.array().cast("array<string>")),
                     lambda s: F.struct(F.lit("s").alias("kind"), s.alias("label"))),
     )
-    long = dated(jobs).select("metric_date", F.inline(entries))
+    # entries always hold the total and role entries, so the outer form yields
+    # the same rows and keeps the optimizer from copying them into a filter
+    long = dated(jobs).select("metric_date", F.inline_outer(entries))
     counted = long.groupBy("metric_date", "kind", "label").agg(F.count("*").alias("n"))
     lane = F.when(F.col("kind").isin("t", "r"), F.col("label"))
     w = Window.partitionBy("metric_date", "kind", lane).orderBy(F.col("n").desc(), F.col("label").asc_nulls_first())

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsmith import rules as R
+from jobsmith.functions.arrays import unnest
 from jobsmith.operators.metrics import company_present, dated
 
 
@@ -30,7 +31,7 @@ def top_companies(jobs: DataFrame, k: int = R.TOP_K) -> DataFrame:
 
 
 def top_skills(jobs: DataFrame, k: int = R.TOP_K) -> DataFrame:
-    return (jobs.select(F.explode("skills_extracted").alias("skill")).groupBy("skill")
+    return (unnest(jobs, "skills_extracted", "skill").groupBy("skill")
             .agg(F.count("*").alias("jobs")).orderBy(F.col("jobs").desc(), F.col("skill").asc_nulls_first())
             .limit(k))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from jobsmith.functions.enrich import with_enrichment
 from jobsmith.functions.text import normalize_ws
 from jobsmith.operators.normalize import normalize_csv
-from jobsmith.plans.tables import read
+from jobsmith.plans.tables import read, read_spread
 
 # Keyword dictionary for the driver documents (the posting keywords never occur
 # in that prose): common words, a domain word and two multi-word phrases.
@@ -74,7 +74,7 @@ def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_side(spark: SparkSession, sf_dir: str, keywords: list[str] | None = DOC_KEYWORDS,
                    enrich: bool = True) -> DataFrame:
-    d = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = read_spread(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", "lang", "source")
     out = d.select(F.col("doc_id"), F.col("doc_id").cast("string").alias("job_id"), "source",
                    F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("location"),
                    F.col("text").alias("description"))

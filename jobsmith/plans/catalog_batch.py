@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from jobsmith import rules as R
 from jobsmith.functions import json as J
+from jobsmith.functions.arrays import unnest
 from jobsmith.functions.dates import sentinel_desc, with_iso_date
 from jobsmith.functions.enrich import with_enrichment
 from jobsmith.functions.hashing import sha256_hex
@@ -29,7 +30,7 @@ from jobsmith.plans import oracle as O
 from jobsmith.plans.batch import load, transform
 from jobsmith.plans.registry import jtxt, ntz, query
 from jobsmith.plans.snapshots import Snapshot
-from jobsmith.plans.tables import read
+from jobsmith.plans.tables import read, read_spread
 from jobsmith.schema import CSV_COLUMNS, METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS, conform
 from jobsmith.session import scratch_path
 from jobsmith.sources.files import flat_results, paged_results, read_json_documents, read_postings_csv
@@ -296,7 +297,7 @@ def join_left_totals(spark, sf):
 @query("join_lateral_unnest", W(RAW, POST) + "SELECT doc_id, unnest(skills_extracted) AS skill FROM postings")
 def join_lateral_unnest(spark, sf):
     """Comma-lateral UNNEST: inner, so postings with no skills produce no row."""
-    return postings(spark, sf).select("doc_id", F.explode("skills_extracted").alias("skill"))
+    return unnest(postings(spark, sf), "skills_extracted", "skill", keep=["doc_id"])
 
 
 @query("join_corr_topk", W(EJOBS, O.metrics_sql("ejobs")) + "SELECT metric_date, top_companies FROM metrics")
@@ -476,7 +477,7 @@ WS_DOC_SQL = "SELECT doc_id, {} AS norm FROM documents".format(O.nws("text"))
 
 @query("str_normalize_ws", WS_DOC_SQL)
 def str_normalize_ws(spark, sf):
-    return read(spark, sf, "documents").select("doc_id", normalize_ws("text").alias("norm"))
+    return read_spread(spark, sf, "documents", "doc_id").select("doc_id", normalize_ws("text").alias("norm"))
 
 
 @query("hash_sha256", "SELECT doc_id, sha256(text) AS h FROM documents")
@@ -583,7 +584,7 @@ def arr_sort_distinct(spark, sf):
 
 @query("arr_unnest", W(RAW, POST) + "SELECT doc_id, unnest(skills_extracted) AS skill FROM postings WHERE publication_date IS NOT NULL")
 def arr_unnest(spark, sf):
-    return MT.dated(postings(spark, sf)).select("doc_id", F.explode("skills_extracted").alias("skill"))
+    return unnest(MT.dated(postings(spark, sf)), "skills_extracted", "skill", keep=["doc_id"])
 
 
 @query("json_build_object", W(EJOBS) + """SELECT metric_date, company, json_object('jobs', jobs, 'company', company)::VARCHAR AS obj
@@ -631,7 +632,7 @@ DOC_HAY = O.hay(O.nws("split_part(text, chr(10), 1)"), O.nws("text"))
 
 
 def doc_frame(spark, sf) -> DataFrame:
-    d = read(spark, sf, "documents")
+    d = read_spread(spark, sf, "documents", "doc_id")
     return d.select("doc_id", normalize_ws(F.substring_index("text", "\n", 1)).alias("title"),
                     normalize_ws("text").alias("description"))
 
@@ -662,7 +663,7 @@ CONV_HAY = O.hay(O.nws("role"), O.nws("text"))
   {O.role(CONV_HAY)} AS role_type, {O.seniority(CONV_HAY)} AS seniority_level FROM conversations""")
 def text_enrich(spark, sf):
     """All three rule tables (default rules) on conversation turns."""
-    c = read(spark, sf, "conversations").select("conv_id", "turn", normalize_ws("role").alias("title"),
+    c = read_spread(spark, sf, "conversations", "conv_id").select("conv_id", "turn", normalize_ws("role").alias("title"),
                                                 normalize_ws("text").alias("description"))
     out = with_enrichment(c, "title", "description")
     return out.select("conv_id", "turn", jtxt("skills_extracted", "skills"), "role_type", "seniority_level")

@@ -19,6 +19,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work (whole-text regexes) every core: when a scan
+    yields fewer partitions than the default parallelism (few row groups),
+    hash-partition on ``key`` (or round-robin). No-op when already wide enough."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
+def read_spread(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    return spread(read(spark, sf_dir, name), key)
+
+
 def register_views(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
     for n in names or TABLES:
         read(spark, sf_dir, n).createOrReplaceTempView(n)
