@@ -147,8 +147,8 @@ def sink_kafka(spark, sf):
     """Postings published as keyed records (value = JSON message), read back and decoded."""
     base = scratch_path(spark, "sink_kafka")
     pages = L.land_pages(spark, sf)
-    posts = spark.readStream.schema("value STRING").text(pages) \
-        .select(F.posexplode(J.vget(J.decode(F.col("value")), "$.results", "array<variant>")).alias("pos", "j"))
+    posts = spark.readStream.option("singleVariantColumn", "v").format("json").load(pages) \
+        .select(F.posexplode(J.vget(F.col("v"), "$.results", "array<variant>")).alias("pos", "j"))
     recs = S.encode_records(stream_message(posts))
     S.start(recs, checkpoint=base + "/_checkpoint", sink=base + "/out", fmt="json").awaitTermination()
     out = spark.read.schema(S.RECORD_SCHEMA).json(base + "/out")
@@ -168,8 +168,8 @@ def stream_publish(spark, sf):
                                                                      "string").alias("lang"))
     posts.select("value").write.mode("append").text(land)
     posts.filter(F.col("lang") == "fr").select("value").write.mode("append").text(land)
-    stream = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", "4").text(land) \
-        .select(J.decode(F.col("value")).alias("j"))
+    stream = spark.readStream.option("singleVariantColumn", "j").option("maxFilesPerTrigger", "4") \
+        .format("json").load(land)
     S.start(S.publish(stream), checkpoint=base + "/_checkpoint", sink=base + "/out",
             fmt="json").awaitTermination()
     out = spark.read.schema(S.RECORD_SCHEMA).json(base + "/out")

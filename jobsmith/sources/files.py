@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobsmith import rules as R
 from jobsmith.functions import json as J
 from jobsmith.schema import CSV_SCHEMA
+from jobsmith.session import shared_dir
 
 
 def null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
@@ -25,9 +26,13 @@ def read_postings_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA, na_toke
 
 
 def read_json_documents(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
-    """JSON payloads as VARIANT ``v``: one per line, or one per file."""
-    reader = spark.read.option("wholetext", True) if one_per_file else spark.read
-    return reader.text(path).select(J.decode(F.col("value")).alias("v")).filter(F.col("v").isNotNull())
+    """JSON payloads as VARIANT ``v``: one per line, or one per file.
+
+    The JSON source builds the VARIANT during the scan, so later filters on
+    fields of ``v`` do not parse the text again; malformed payloads are dropped.
+    """
+    reader = spark.read.option("singleVariantColumn", "v").option("multiLine", one_per_file)
+    return reader.json(path).filter(F.col("v").isNotNull())
 
 
 def paged_results(pages: DataFrame, *, start_page: int = 1, max_pages: int | None = None,
@@ -50,12 +55,15 @@ def paged_results(pages: DataFrame, *, start_page: int = 1, max_pages: int | Non
     p = p.filter(F.col("page") >= start)
     if max_pages is not None:
         p = p.filter(F.col("page") <= start + max(1, int(max_pages)) - 1)
-    full = p.filter(F.size("results") > 0).select("page").distinct()
-    # first page >= start that is not a non-empty page: a gap after a full page, or start itself
-    after = full.select((F.col("page") + 1).alias("page")).join(full, "page", "left_anti")
-    gaps = after.unionByName(p.sparkSession.range(1).select(F.lit(start).cast("bigint").alias("page"))
-                             .join(full, "page", "left_anti"))
-    stop = gaps.agg(F.min("page")).scalar()
+    # One row per non-empty page, materialised once (reliable checkpoint in the
+    # shared folder) so the stop page does not re-parse the landed pages.
+    shared_dir(p.sparkSession)
+    full = p.filter(F.size("results") > 0).select("page").distinct().checkpoint()
+    first = full.agg(F.min("page")).scalar()
+    # first page after a full page that is not itself full (equi anti self-join)
+    gap = (full.select((F.col("page") + 1).alias("page")).join(full, "page", "left_anti")
+           .agg(F.min("page")).scalar())
+    stop = F.when(first.isNull() | (first != F.lit(start)), F.lit(start)).otherwise(gap)
     out = (p.filter(F.col("page") < stop)
            .select("page", F.posexplode("results").alias("pos", "j")))
     if target is not None:
