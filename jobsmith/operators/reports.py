@@ -40,3 +40,17 @@ def latest_stream(stream: DataFrame, k: int = R.LATEST_STREAM_ROWS) -> DataFrame
     """Newest ``k`` stream rows; ties on ingest time break by key."""
     return (stream.orderBy(F.col("ingested_at").desc_nulls_last(), F.col("job_hash"))
             .limit(k).select("ingested_at", "title", "company", "location", "job_url"))
+
+
+def dashboard(clean: DataFrame, stream: DataFrame, metrics: DataFrame) -> dict[str, DataFrame]:
+    """Every dashboard query, lazily (nothing runs until a result is read)."""
+    return {
+        "total_jobs": total_rows(clean),
+        "total_stream": total_rows(stream),
+        "days_with_metrics": total_rows(metrics),
+        "jobs_over_time": jobs_over_time(clean),
+        "jobs_by_role": jobs_by_role(clean),
+        "top_companies": top_companies(clean),
+        "top_skills": top_skills(clean),
+        "latest_stream": latest_stream(stream),
+    }

@@ -21,7 +21,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         # streaming dedup keeps every key seen: keep that state off the JVM heap
+         .config("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -124,14 +124,18 @@ def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = N
     """foreachBatch body: payload -> quarantine key-less rows -> collapse per key
     (last message wins, job_url last non-null, source first) -> merge."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = stream_payload(batch.withColumn(table.seq, seq), clock=clock, keep=[table.seq])
-        good, bad = split_quarantine(rows, ["job_hash"])
-        if quarantine:
-            bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-                .parquet(f"{quarantine}/batch_id={batch_id}")
-        collapsed = collapse_last_arrival(good, "job_hash", table.seq)
-        merged = upsert_stream(table.read_before(batch_id), collapsed, STREAM_COLUMNS + [table.seq])
-        table.write_after(batch_id, merged)
+        # decoded once: the micro-batch feeds both the quarantine and the merge
+        rows = stream_payload(batch.withColumn(table.seq, seq), clock=clock, keep=[table.seq]).persist()
+        try:
+            good, bad = split_quarantine(rows, ["job_hash"])
+            if quarantine:
+                bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+                    .parquet(f"{quarantine}/batch_id={batch_id}")
+            collapsed = collapse_last_arrival(good, "job_hash", table.seq)
+            merged = upsert_stream(table.read_before(batch_id), collapsed, STREAM_COLUMNS + [table.seq])
+            table.write_after(batch_id, merged)
+        finally:
+            rows.unpersist()
     return run
 
 
