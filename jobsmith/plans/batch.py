@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobsmith.functions.dates import day_of
 from jobsmith.operators.dedup import dedup_latest
 from jobsmith.operators.merge import empty_like, full_refresh_requested, upsert_clean, upsert_metrics
 from jobsmith.operators.metrics import daily_metrics
@@ -29,11 +30,18 @@ def transform(api_postings: DataFrame, csv_rows: DataFrame, *, api_clock: Column
 
 
 def load(spark: SparkSession, postings: DataFrame, *, staging_path: str, clean: Snapshot, metrics: Snapshot,
-         full_refresh: bool | str | None = False, clock: Column | None = None) -> tuple[DataFrame, DataFrame]:
+         full_refresh: bool | str | None = False, clock: Column | None = None,
+         incremental_metrics: bool = False) -> tuple[DataFrame, DataFrame]:
     """Staging overwrite -> clean upsert -> metrics upsert. Returns (clean, metrics).
 
     Each step reads the previous step's written output, which also cuts lineage.
     A full refresh empties the clean table but keeps metrics of vanished days.
+
+    By default every day is recomputed from the whole clean table. With
+    ``incremental_metrics`` only the days a batch can change are recomputed —
+    days of the incoming rows and the previous days of the rows they replace —
+    which gives the same table whenever the metrics were in sync with the clean
+    table before the load, at a cost proportional to the batch, not the table.
     """
     refresh = full_refresh if isinstance(full_refresh, bool) else full_refresh_requested(full_refresh)
     postings.select(*UNIFIED_COLUMNS).write.mode("overwrite").parquet(staging_path)
@@ -41,6 +49,14 @@ def load(spark: SparkSession, postings: DataFrame, *, staging_path: str, clean:
     target = empty_like(spark) if refresh else clean.read()
     clean.write(upsert_clean(target, staging))
     clean_df = clean.read()
-    fresh = daily_metrics(clean_df, clock=clock)
+    source = clean_df
+    if incremental_metrics:
+        replaced = target.join(staging.select("job_hash"), "job_hash", "left_semi")
+        days = (staging.select(day_of("publication_date").alias("metric_date"))
+                .unionByName(replaced.select(day_of("publication_date").alias("metric_date")))
+                .filter(F.col("metric_date").isNotNull()).distinct())
+        source = clean_df.withColumn("metric_date", day_of("publication_date")) \
+            .join(days, "metric_date", "left_semi").drop("metric_date")
+    fresh = daily_metrics(source, clock=clock)
     metrics.write(upsert_metrics(metrics.read(), fresh).select(*METRICS_SCHEMA.names))
     return clean_df, metrics.read()
