@@ -10,18 +10,35 @@ from pyspark.sql import functions as F
 from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS
 
 
+# Largest incoming batch whose distinct keys are broadcast (about 100 bytes a key).
+BROADCAST_SOURCE_ROWS = 1_000_000
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str, *, columns: Sequence[str] | None = None,
            coalesce_new_old: Sequence[str] = (), keep_old: Sequence[str] = (),
-           check_unique: bool = True) -> DataFrame:
-    """``INSERT .. ON CONFLICT (key) DO UPDATE`` as one full outer join.
+           check_unique: bool = True, broadcast_source_rows: int | None = BROADCAST_SOURCE_ROWS) -> DataFrame:
+    """``INSERT .. ON CONFLICT (key) DO UPDATE`` without MERGE INTO.
 
     Matched keys take the source value for every column, except
     ``coalesce_new_old`` columns (``COALESCE(new, old)``) and ``keep_old``
     columns (not updated). Unmatched target rows stay; unmatched source rows are
     inserted. With ``check_unique`` a key present twice in ``source`` fails the
     job in-plan (the window shares the join's hash partitioning, no extra shuffle).
+
+    Plan: when the source has at most ``broadcast_source_rows`` rows (counted
+    first), its distinct keys are broadcast; target rows without a match pass
+    through a broadcast anti join (the large target is never shuffled) and only
+    the matched target rows meet the source in the full outer join. Larger
+    sources use one full outer join of both sides.
     """
     cols = [c for c in (columns or target.columns) if c != key]
+    if broadcast_source_rows is not None and source.count() <= broadcast_source_rows:
+        keys = F.broadcast(source.select(key).distinct())
+        untouched = target.join(keys, key, "left_anti").select(key, *cols)
+        touched = target.join(keys, key, "left_semi")
+        merged = upsert(touched, source, key, columns=[key, *cols], coalesce_new_old=coalesce_new_old,
+                        keep_old=keep_old, check_unique=check_unique, broadcast_source_rows=None)
+        return untouched.unionByName(merged)
     s = source.select(key, *cols).withColumn("_in_s", F.lit(True))
     if check_unique:
         s = s.withColumn("_dup", F.count(F.lit(1)).over(Window.partitionBy(key)))

@@ -23,8 +23,11 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (whole-text regexes) every core: when a scan
     yields fewer partitions than the default parallelism (few row groups),
     hash-partition on ``key`` (or round-robin). No-op when already wide enough."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= n:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the plan as is
         return df
     return df.repartition(n, key) if key else df.repartition(n)
 

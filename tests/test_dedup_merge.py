@@ -161,3 +161,19 @@ def test_incremental_metrics_equal_full_recompute(spark):
     assert [r[0] for r in out[True]] == [dt.date(2026, 3, d) for d in (1, 2, 3, 4)]
     # day 1 lost its only posting to day 4, yet its row stays (as in the original upsert)
     assert out[True][0][1] == 1
+
+
+@pytest.mark.parametrize("limit", [None, 0, 10])
+def test_upsert_plans_agree(spark, limit):
+    """Broadcast-keys plan (small source) and full-outer plan give the same rows."""
+    target = tbl(spark, [(f"k{i}", f"u{i}", "old", "api") for i in range(20)])
+    source = tbl(spark, [("k1", None, "new", "csv"), ("k5", "v5", "new", "csv"), ("n1", None, "ins", "csv")])
+    out = M.upsert(target, source, "job_hash", coalesce_new_old=("job_url",), keep_old=("source",),
+                   broadcast_source_rows=limit)
+    got = sorted(tuple(r) for r in out.collect())
+    assert len(got) == 21
+    assert ("k1", "u1", "new", "api") in got and ("k5", "v5", "new", "api") in got
+    assert ("n1", None, "ins", "csv") in got and ("k7", "u7", "old", "api") in got
+    if limit == 10:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
