@@ -43,7 +43,9 @@ def counts_by_day_role(jobs: DataFrame) -> DataFrame:
 def top_k_per_group(counts: DataFrame, group: list[str], label: str, n: str = "jobs", k: int = R.TOP_K) -> DataFrame:
     """Top ``k`` rows per group by count desc, label asc (row_number <= k)."""
     w = Window.partitionBy(*group).orderBy(F.col(n).desc(), F.col(label).asc_nulls_first())
-    return counts.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+    # filter on the bare row_number (keeps the map-side WindowGroupLimit), then widen
+    return (counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .withColumn("rank", F.col("rank").cast("long")))
 
 
 def _sorted_pairs(kind: str, name: str) -> Column:
