@@ -12,11 +12,9 @@ from jobsmith.functions import json as J
 from jobsmith.functions.hashing import sha256_hex
 from jobsmith.operators import reports as RP
 from jobsmith.operators.dedup import collapse_last_arrival
-from jobsmith.operators.merge import split_quarantine, upsert_stream
+from jobsmith.operators.merge import upsert_stream
 from jobsmith.operators.normalize import stream_message, stream_payload
-from jobsmith.plans import adapters as A
 from jobsmith.plans import landing as L
-from jobsmith.plans import oracle as O
 from jobsmith.plans.catalog_batch import API_POST, RAW, W
 from jobsmith.plans.registry import ntz, query
 from jobsmith.plans.tables import read

@@ -12,7 +12,6 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.functions import json as J
 from jobsmith.plans.batch import load, transform
 from jobsmith.plans.snapshots import Snapshot
 from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA
