@@ -32,7 +32,7 @@ from jobsmith.plans.registry import jtxt, ntz, query
 from jobsmith.plans.snapshots import Snapshot
 from jobsmith.plans.tables import read, read_spread
 from jobsmith.schema import CSV_COLUMNS, METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS, conform
-from jobsmith.session import scratch_path
+from jobsmith.session import materialize, scratch_path
 from jobsmith.sources.files import flat_results, paged_results, read_json_documents, read_postings_csv
 
 # ---------------------------------------------------------------- shared pieces
@@ -86,7 +86,9 @@ TARGET_LANGS, SOURCE_LANGS = ("en", "fr"), ("fr", "de", "es")
 
 
 def merge_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    p = postings(spark, sf)
+    # both sides come from one posting view: write it once to the shared folder
+    # instead of re-running joins and whole-text work for each side
+    p = materialize(postings(spark, sf), "postings")
     order = [F.col("doc_id").desc()]
     target = dedup_latest(p.filter(F.col("location").isin(*TARGET_LANGS)), tie_breakers=order)
     src = p.filter(F.col("location").isin(*SOURCE_LANGS)).withColumn("title", F.concat(F.lit("[updated] "), "title")) \

@@ -57,3 +57,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but computes the plan only once and
+    stores columnar data, so later readers prune columns and push filters.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

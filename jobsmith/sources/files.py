@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobsmith import rules as R
 from jobsmith.functions import json as J
 from jobsmith.schema import CSV_SCHEMA
-from jobsmith.session import shared_dir
+from jobsmith.session import materialize
 
 
 def null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
@@ -55,10 +55,9 @@ def paged_results(pages: DataFrame, *, start_page: int = 1, max_pages: int | Non
     p = p.filter(F.col("page") >= start)
     if max_pages is not None:
         p = p.filter(F.col("page") <= start + max(1, int(max_pages)) - 1)
-    # One row per non-empty page, materialised once (reliable checkpoint in the
-    # shared folder) so the stop page does not re-parse the landed pages.
-    shared_dir(p.sparkSession)
-    full = p.filter(F.size("results") > 0).select("page").distinct().checkpoint()
+    # One row per non-empty page, written once to the shared folder so the stop
+    # page does not re-parse the landed pages.
+    full = materialize(p.filter(F.size("results") > 0).select("page").distinct(), "page_index")
     first = full.agg(F.min("page")).scalar()
     # first page after a full page that is not itself full (equi anti self-join)
     gap = (full.select((F.col("page") + 1).alias("page")).join(full, "page", "left_anti")
