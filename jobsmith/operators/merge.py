@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS
@@ -23,7 +23,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, *, columns: Sequence[
     ``coalesce_new_old`` columns (``COALESCE(new, old)``) and ``keep_old``
     columns (not updated). Unmatched target rows stay; unmatched source rows are
     inserted. With ``check_unique`` a key present twice in ``source`` fails the
-    job in-plan (the window shares the join's hash partitioning, no extra shuffle).
+    job in-plan: a partially aggregated per-key count feeds a scalar subquery,
+    so even a key repeated across a third of the batch never lands in one task.
 
     Plan: when the source has at most ``broadcast_source_rows`` rows (counted
     first), its distinct keys are broadcast; target rows without a match pass
@@ -40,8 +41,6 @@ def upsert(target: DataFrame, source: DataFrame, key: str, *, columns: Sequence[
                         keep_old=keep_old, check_unique=check_unique, broadcast_source_rows=None)
         return untouched.unionByName(merged)
     s = source.select(key, *cols).withColumn("_in_s", F.lit(True))
-    if check_unique:
-        s = s.withColumn("_dup", F.count(F.lit(1)).over(Window.partitionBy(key)))
     t = target.select(key, *cols).withColumn("_in_t", F.lit(True))
     j = t.alias("t").join(s.alias("s"), on=key, how="full_outer")
     in_s = F.coalesce(F.col("s._in_s"), F.lit(False))
@@ -56,11 +55,14 @@ def upsert(target: DataFrame, source: DataFrame, key: str, *, columns: Sequence[
         else:
             v = F.when(in_s, new).otherwise(old)
         out.append(v.alias(c))
-    res = j.select(*out, F.col("s._dup").alias("_dup") if check_unique else F.lit(None).alias("_dup"))
+    res = j.select(*out)
     if check_unique:
-        res = res.withColumn(key, F.when(F.col("_dup") > 1, F.raise_error(
-            F.concat(F.lit("duplicate key in upsert source: "), F.col(key)))).otherwise(F.col(key)))
-    return res.drop("_dup")
+        dups = (source.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .agg(F.count(F.lit(1))).scalar())
+        res = res.withColumn(key, F.when(dups > 0, F.raise_error(
+            F.concat(F.lit("duplicate key in upsert source ("), dups.cast("string"), F.lit(" keys)"))))
+            .otherwise(F.col(key)))
+    return res
 
 
 def upsert_clean(target: DataFrame, staging: DataFrame) -> DataFrame:
