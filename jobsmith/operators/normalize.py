@@ -78,7 +78,7 @@ def _api_common(j: Column) -> dict[str, Column]:
 
 
 def normalize_paged_api(postings: DataFrame, *, posting_col: str = "j", clock: Column | None = None,
-                        keep: list[str] | None = None, **rules) -> DataFrame:
+                        keep: list[str] | None = None, enrich: bool = True, **rules) -> DataFrame:
     """Nested API postings (a VARIANT column) -> unified postings.
 
     Fallback chains are falsy chains on raw values: date created -> publication_date
@@ -93,7 +93,7 @@ def normalize_paged_api(postings: DataFrame, *, posting_col: str = "j", clock: C
         c["date_raw"].alias("_date_raw"),
         c["job_url"].alias("job_url"), c["description"].alias("description"),
         _clock(clock).alias("ingested_at"), *[F.col(k) for k in (keep or [])])
-    return _finish(df, True, keep or [], **rules)
+    return _finish(df, enrich, keep or [], **rules)
 
 
 def normalize_flat_api(postings: DataFrame, *, posting_col: str = "j", clock: Column | None = None,

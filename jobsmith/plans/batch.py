@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsmith.functions.dates import day_of
+from jobsmith.functions.enrich import with_enrichment
 from jobsmith.operators.dedup import dedup_latest
 from jobsmith.operators.merge import empty_like, full_refresh_requested, upsert_clean, upsert_metrics
 from jobsmith.operators.metrics import daily_metrics
 from jobsmith.operators.normalize import normalize_csv, normalize_paged_api, union_sources
 from jobsmith.plans.snapshots import Snapshot
-from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS
+from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS, conform
 
 
 def transform(api_postings: DataFrame, csv_rows: DataFrame, *, api_clock: Column, csv_clock: Column,
@@ -22,11 +23,16 @@ def transform(api_postings: DataFrame, csv_rows: DataFrame, *, api_clock: Column
     """API postings (VARIANT ``j``) and CSV rows -> one deduplicated posting frame.
 
     API rows are stamped before CSV rows, as when the two sources are read in
-    that order, so equal publication dates resolve to the CSV copy.
+    that order, so equal publication dates resolve to the CSV copy. The
+    whole-text enrichment is per row and plays no part in the dedup order, so
+    it runs after the dedup, on the surviving rows only.
     """
-    api = normalize_paged_api(api_postings, clock=api_clock, keep=list(keep), **rules)
-    csv = normalize_csv(csv_rows, clock=csv_clock, keep=list(keep), **rules)
-    return dedup_latest(union_sources(api, csv), tie_breakers=tie_breakers)
+    api = normalize_paged_api(api_postings, clock=api_clock, keep=list(keep), enrich=False)
+    csv = normalize_csv(csv_rows, clock=csv_clock, keep=list(keep), enrich=False)
+    winners = dedup_latest(union_sources(api, csv), tie_breakers=tie_breakers)
+    enriched = with_enrichment(winners.drop("skills_extracted", "role_type", "seniority_level"),
+                               "title", "description", **rules)
+    return conform(enriched, keep=list(keep))
 
 
 def load(spark: SparkSession, postings: DataFrame, *, staging_path: str, clean: Snapshot, metrics: Snapshot,
