@@ -64,7 +64,7 @@ def paged_results(pages: DataFrame, *, start_page: int = 1, max_pages: int | Non
            .agg(F.min("page")).scalar())
     stop = F.when(first.isNull() | (first != F.lit(start)), F.lit(start)).otherwise(gap)
     out = (p.filter(F.col("page") < stop)
-           .select("page", F.posexplode("results").alias("pos", "j")))
+           .select("page", F.posexplode_outer("results").alias("pos", "j")).filter(F.col("pos").isNotNull()))
     if target is not None:
         out = out.orderBy("page", "pos").limit(target)
     return out
@@ -76,8 +76,9 @@ def flat_results(payloads: DataFrame, limit: int | None = None) -> DataFrame:
     Returns (doc, pos, j); ``limit`` keeps the first postings in that order.
     """
     jobs = F.when(J.is_object(F.col("v")), J.vget(F.col("v"), "$.jobs", "array<variant>"))
+    # outer form + pos filter = inner explode without an inferred size() filter
     out = (payloads.withColumn("doc", F.monotonically_increasing_id())
-           .select("doc", F.posexplode(F.coalesce(jobs, F.array().cast("array<variant>"))).alias("pos", "j")))
+           .select("doc", F.posexplode_outer(jobs).alias("pos", "j")).filter(F.col("pos").isNotNull()))
     if limit is not None:
         out = out.orderBy("doc", "pos").limit(limit)
     return out
