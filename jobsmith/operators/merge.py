@@ -71,10 +71,11 @@ def upsert_clean(target: DataFrame, staging: DataFrame) -> DataFrame:
         .select(*UNIFIED_COLUMNS)
 
 
-def upsert_stream(target: DataFrame, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+def upsert_stream(target: DataFrame, batch: DataFrame, columns: Sequence[str], *,
+                  check_unique: bool = True) -> DataFrame:
     """Stream-table upsert: source is not updated; job_url = COALESCE(new, old)."""
     return upsert(target, batch, "job_hash", columns=columns, coalesce_new_old=("job_url",),
-                  keep_old=("source",)).select(*columns)
+                  keep_old=("source",), check_unique=check_unique).select(*columns)
 
 
 def upsert_metrics(old: DataFrame, new: DataFrame, key: str = "metric_date") -> DataFrame:

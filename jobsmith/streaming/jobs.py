@@ -131,9 +131,13 @@ def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = N
             if quarantine:
                 bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
                     .parquet(f"{quarantine}/batch_id={batch_id}")
-            collapsed = collapse_last_arrival(good, "job_hash", table.seq)
-            merged = upsert_stream(table.read_before(batch_id), collapsed, STREAM_COLUMNS + [table.seq])
+            # one row per key by construction (no duplicate check needed); kept for
+            # the size check and the merge
+            collapsed = collapse_last_arrival(good, "job_hash", table.seq).persist()
+            merged = upsert_stream(table.read_before(batch_id), collapsed, STREAM_COLUMNS + [table.seq],
+                                   check_unique=False)
             table.write_after(batch_id, merged)
+            collapsed.unpersist()
         finally:
             rows.unpersist()
     return run
