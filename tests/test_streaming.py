@@ -84,3 +84,32 @@ def test_batch_stream_equivalence(spark):
     b = q["dedup_last_arrival"](spark, SF_SMALL)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bounded_dedup_forgets_after_delay(spark):
+    """dropDuplicatesWithinWatermark: a repeat within the delay is dropped; once the
+    watermark passes first-seen + delay the key is forgotten (evicted at the end of
+    the next micro-batch) and a later occurrence is emitted again."""
+    base = scratch_path(spark, "bounded")
+    rec = base + "/in"
+
+    def put(name, rows):
+        os.makedirs(rec, exist_ok=True)
+        with open(os.path.join(rec, name), "w") as f:
+            for key, ts in rows:
+                f.write(json.dumps({"key": key, "value": json.dumps({"ts": ts})}) + "\n")
+
+    put("1.json", [("k", "2026-03-01T00:00:00"), ("k", "2026-03-01T01:00:00")])
+    put("2.json", [("m", "2026-03-05T00:00:00")])
+    put("3.json", [("n", "2026-03-05T02:00:00")])
+    put("4.json", [("k", "2026-03-05T03:00:00")])
+    # the file source orders by modification time: make it explicit
+    for i, n in enumerate(["1.json", "2.json", "3.json", "4.json"]):
+        os.utime(os.path.join(rec, n), (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    stream = S.record_stream(spark, rec, max_files_per_trigger=1)
+    ts = J.vget(J.decode(F.col("value")), "$.ts", "string").try_cast("timestamp")
+    out = S.dedup_within(stream.withColumn("ts", ts), ["key"], F.col("ts"), "1 day")
+    S.start(out, checkpoint=base + "/ckpt", sink=base + "/out", fmt="parquet").awaitTermination()
+    got = sorted((r["key"], str(r["ts"])) for r in spark.read.parquet(base + "/out").collect())
+    assert got == [("k", "2026-03-01 00:00:00"), ("k", "2026-03-05 03:00:00"), ("m", "2026-03-05 00:00:00"),
+                   ("n", "2026-03-05 02:00:00")]
