@@ -152,9 +152,10 @@ def src_flat_json(spark, sf):
 
 @query("src_table", "SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1, 2")
 def src_table(spark, sf):
-    """A stored table registered as a view and queried with SQL."""
-    read(spark, sf, "orders").createOrReplaceTempView("orders")
-    return spark.sql("SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1, 2")
+    """A stored table registered as a view and queried with SQL (a private view
+    name, so the caller's own views are left alone)."""
+    read(spark, sf, "orders").createOrReplaceTempView("jobsmith_src_orders")
+    return spark.sql("SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM jobsmith_src_orders GROUP BY 1, 2")
 
 
 # ---------------------------------------------------------------- 2.2 sinks (batch)
