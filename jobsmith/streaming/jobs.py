@@ -96,13 +96,14 @@ class StreamTable:
         p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-    def read_before(self, batch_id: int) -> DataFrame:
-        """Table as of the end of batch ``batch_id - 1``."""
+    def read_before(self, batch_id: int, seq_type=None) -> DataFrame:
+        """Table as of the end of batch ``batch_id - 1`` (empty, with a sequence
+        column of ``seq_type``, before the first batch)."""
         for v in range(batch_id, -1, -1):
             if v > 0 and self._exists(self._path(v)):
                 return self.spark.read.parquet(self._path(v))
         empty = self.spark.createDataFrame([], self.schema)
-        return empty.withColumn(self.seq, F.lit(None).cast(self.seq_type))
+        return empty.withColumn(self.seq, F.lit(None).cast(seq_type or self.seq_type))
 
     def write_after(self, batch_id: int, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self._path(batch_id + 1))
@@ -134,8 +135,8 @@ def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = N
             # one row per key by construction (no duplicate check needed); kept for
             # the size check and the merge
             collapsed = collapse_last_arrival(good, "job_hash", table.seq).persist()
-            merged = upsert_stream(table.read_before(batch_id), collapsed, STREAM_COLUMNS + [table.seq],
-                                   check_unique=False)
+            before = table.read_before(batch_id, collapsed.schema[table.seq].dataType)
+            merged = upsert_stream(before, collapsed, STREAM_COLUMNS + [table.seq], check_unique=False)
             table.write_after(batch_id, merged)
             collapsed.unpersist()
         finally:

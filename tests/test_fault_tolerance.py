@@ -45,3 +45,15 @@ def test_materialize_cuts_lineage(spark):
     plan = m._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan and "Relation" in plan
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in df.collect())
+
+
+def test_stream_table_takes_batch_sequence_type(spark):
+    """A (partition, offset) sequence, as from a broker, works from the first batch."""
+    import json
+    table = S.StreamTable(spark, scratch_path(spark, "kseq"))
+    fn = S.upsert_batch_fn(table, seq=F.struct(F.col("partition"), F.col("offset")))
+    rows = [("k", json.dumps({"job_hash": "k", "title": t}), 0, o) for o, t in [(5, "a"), (7, "b")]]
+    fn(spark.createDataFrame(rows, "key string, value string, partition int, offset long"), 0)
+    fn(spark.createDataFrame([("k", json.dumps({"job_hash": "k", "title": "c"}), 0, 9)],
+                             "key string, value string, partition int, offset long"), 1)
+    assert [r["title"] for r in table.read().collect()] == ["c"]
