@@ -60,7 +60,12 @@ def event_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def land_event_records(spark: SparkSession, sf: str, chunks: range | None = None, path: str | None = None) -> str:
     """Append the record chunks in event-time order, one write per chunk, so the
-    file source sees them in that order (maxFilesPerTrigger=1 -> one batch each)."""
+    file source sees them in that order (maxFilesPerTrigger=1 -> one batch each).
+
+    This only lands test input: one file per chunk makes the arrival order of a
+    file source explicit. In production the records come from a broker, whose
+    per-key order is the partition offset (``record_stream(fmt="kafka")``).
+    """
     path = path or scratch_path(spark, "records")
     msgs = event_messages(spark, sf)
     for i in (chunks if chunks is not None else range(CHUNKS)):
