@@ -177,3 +177,30 @@ def test_upsert_plans_agree(spark, limit):
     if limit == 10:
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_full_refresh_replaces_clean_keeps_vanished_metrics(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from jobsmith.plans.batch import load
+    from jobsmith.plans.snapshots import Snapshot
+    from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA, conform
+    from jobsmith.session import scratch_path
+
+    def batch(rows):
+        df = spark.createDataFrame(rows, "job_hash string, publication_date timestamp, company string")
+        return conform(df.withColumn("source", F.lit("csv")).withColumn("ingested_at", F.current_timestamp()))
+
+    base = scratch_path(spark, "refresh")
+    clean = Snapshot(spark, base + "/clean", POSTING_SCHEMA)
+    metrics = Snapshot(spark, base + "/metrics", METRICS_SCHEMA)
+    kw = dict(staging_path=base + "/staging", clean=clean, metrics=metrics)
+    load(spark, batch([("a", dt.datetime(2026, 3, 1), "X"), ("b", dt.datetime(2026, 3, 2), "Y")]), **kw)
+    c, m = load(spark, batch([("c", dt.datetime(2026, 3, 3), "Z")]), full_refresh="TRUE", **kw)
+    assert [r["job_hash"] for r in c.collect()] == ["c"]
+    assert sorted((r["metric_date"], r["total_jobs"]) for r in m.collect()) == [
+        (dt.date(2026, 3, 1), 1), (dt.date(2026, 3, 2), 1), (dt.date(2026, 3, 3), 1)]
+    c, _ = load(spark, batch([("d", dt.datetime(2026, 3, 3), "Z")]), full_refresh="no", **kw)
+    assert sorted(r["job_hash"] for r in c.collect()) == ["c", "d"]
