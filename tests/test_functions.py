@@ -33,6 +33,8 @@ def test_sha256(spark):
     # same instant, other offset -> other key (the offset is part of the key text)
     (None, "2026-03-10T02:00:00+02:00", "7f58d70bbc0aa54a487a2fc73b2803b53abbc740dbb5b49daa8ea646c625b08f"),
     ("", "2026-03-10", "34cc1b1046eb508244dea06c049ddc613d99b8c89870b704d5f9108a0f0661fe"),
+    # T3: an unparseable date contributes '' (same key as no date)
+    (None, "10/03/2026", "6098ed9e72a9583344fd8fd78f2f688be71b721e9f234da6c31feab71f834ee0"),
 ])
 def test_job_key(spark, url, date, key):
     df = spark.createDataFrame([(url, "Data Engineer", "Acme", date)], "u string, t string, c string, d string")

@@ -126,3 +126,9 @@ def test_csv_source_quoting_and_na_tokens(spark):
     assert df[0]["company"] == "Acme, Inc" and df[0]["location"] is None
     assert df[0]["description"] == 'line one\nline "two", three' and df[0]["job_url"] is None
     assert (df[1]["source"], df[1]["company"], df[1]["is_remote"], df[1]["publication_date"]) == (None,) * 4
+
+
+def test_non_string_fields_are_cast(spark):
+    """T16: a numeric title or a boolean id does not fail the batch."""
+    r = normalize_paged_api(api_frame(spark, [dict(API_POSTING, title=123, id=True)])).first()
+    assert (r["title"], r["job_id"]) == ("123", "True")
