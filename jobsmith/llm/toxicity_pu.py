@@ -77,8 +77,8 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit(rows: np.ndarray, cols: np.ndarray, n: int, d: int, positive: np.ndarray, prior: float, epochs: int = 400,
-        rate: float = 0.05, l1: float = 1e-5, beta: float = 0.0) -> tuple[float, np.ndarray]:
+def fit(rows: np.ndarray, cols: np.ndarray, n: int, d: int, positive: np.ndarray, prior: float, epochs: int = 1000,
+        rate: float = 0.05, l1: float = 1e-4, beta: float = 0.0) -> tuple[float, np.ndarray]:
     """Non-negative PU risk by Adam with soft-thresholded weights; (rows, cols) are the set cells of
     the n x d presence matrix."""
     w, b = np.zeros(d), float(np.log(prior / (1 - prior)))
@@ -106,7 +106,7 @@ def fit(rows: np.ndarray, cols: np.ndarray, n: int, d: int, positive: np.ndarray
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           prior: float | None = None, max_positive: int = 4_000, max_unlabelled: int = 12_000,
-          n_grams: int = 4_096) -> Model:
+          n_grams: int = 2_048) -> Model:
     """Learn from at most ``max_positive`` confirmed examples and ``max_unlabelled`` other rows.
 
     ``prior``: share of toxic text; by default the learnable labels' share. Rows
@@ -128,13 +128,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     @F.arrow_udf("array<int>")
     def bins(col: pa.Array) -> pa.Array:
         return pa.array([present(t.as_py()) for t in col], pa.list_(pa.int32()))
-    sample = Stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-                    .join(F.broadcast(picked), "id").select("id", "p", bins("t").alias("bins")), "toxicity-sample")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(picked), "id")
+    sample = Stored(texts.groupBy(F.xxhash64("t").alias("h")).agg(F.max("p").alias("p"), F.min("id").alias("id"),
+                                                                  F.first("t").alias("t"))  # a copied text counts once
+                    .select("id", "p", bins("t").alias("bins")), "toxicity-sample")
     n_p, n_u = sample.df.agg(F.count_if(F.col("p")), F.count_if(~F.col("p"))).first()
-    # grams that tell the two sets apart most (squared difference of document shares by its variance), any direction
-    share = sample.df.select("p", F.explode("bins").alias("bin")).groupBy("bin") \
-        .agg(F.count_if(F.col("p")).alias("a"), F.count_if(~F.col("p")).alias("b")).where("a + b >= 4") \
-        .withColumn("s", (F.col("a") / n_p - F.col("b") / max(1, n_u)) ** 2 / (F.col("a") + F.col("b") + 10))
+    # document shares of every gram: a among positives, b among unlabelled, q among clean text if a share
+    # ``prior`` of the unlabelled is toxic; markers are far more common in a than in q
+    seen = sample.df.select("p", F.explode("bins").alias("bin")).groupBy("bin") \
+        .agg(F.count_if(F.col("p")).alias("a"), F.count_if(~F.col("p")).alias("b")).where("a >= 3")
+    a, b, pool = F.col("a") / n_p, F.col("b") / max(1, n_u), (F.col("a") + F.col("b")) / (n_p + n_u)
+    q = F.greatest(F.lit(0.0), b - prior * a) / (1 - prior)
+    z = (a - q) / F.sqrt(pool * (1 - pool) * (1 / n_p + 1 / max(1, n_u)) + 1e-12)
+    odds = (F.col("a") + 0.5) / (n_p + 1) / ((q * n_u + 0.5) / (n_u + 1))
+    share = seen.withColumn("s", z).where((z > 4) & (odds > 8))
     chosen = np.array(sorted(r.bin for r in share.orderBy(F.desc("s"), "bin").limit(n_grams).select("bin").collect()), np.int64)
     table = spark.sparkContext.broadcast(chosen)
 
