@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm import license_scan, quality_gam, simhash, token_binary, toxicity_pu
-from jobsmith.llm.common import held_out, table
+from jobsmith.llm import embed_dedup, license_scan, quality_gam, simhash, token_binary, token_rollup, toxicity_pu
+from jobsmith.llm.common import Stored, held_out, table
+from jobsmith.session import scratch_path
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2, seed=42)
 
 
+def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), floor=0.9)
+
+
 def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
@@ -31,6 +36,24 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day one: every document comes in under the first tokenizer. Day two: documents labelled as poor
+    are deleted (the batch is delivered twice). Day three: the long ones (over 1,000 characters) that
+    are left are counted again by the second tokenizer."""
+    docs = Stored(token_rollup.counted(table(spark, sf_dir, "documents")), "counted").df
+    poor = table(spark, sf_dir, "labels").where("quality = 0").select(F.col("doc_id").alias("id"))
+    first, second = (F.col(f"`{t}`") for t in token_rollup.TOKENIZERS)
+    one, two = token_rollup.TOKENIZERS
+    rollup = token_rollup.Rollup(spark, scratch_path(spark, "token-rollup"))
+    rollup.apply("day-1", token_rollup.signed(docs, 1, one, first))
+    gone = token_rollup.signed(docs.join(poor, "id", "left_semi"), -1, one, first)
+    rollup.apply("day-2", gone)
+    rollup.apply("day-2", gone)
+    left = docs.where("chars > 1000").join(poor, "id", "left_anti")
+    rollup.apply("day-3", token_rollup.revised(left, (one, first), (two, second)))
+    return rollup.totals()
+
+
 def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity_pu.train(docs, table(spark, sf_dir, "labels"))
@@ -39,6 +62,17 @@ def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op7_quality_gam, op9_toxicity_pu)}
-
-SQL: dict[str, str] = {}
+    f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op5_embed_dedup, op7_quality_gam,
+                               op8_token_rollup, op9_toxicity_pu)}
+
+SQL: dict[str, str] = {
+    "op8_token_rollup": """
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(chars) AS BIGINT) AS chars
+FROM (
+  SELECT source, lang, CASE WHEN length(t) > 1000 THEN 'word-2' ELSE 'blank-1' END AS tokenizer, length(t) AS chars,
+         CASE WHEN length(t) > 1000
+              THEN len(regexp_extract_all(t, '[0-9A-Za-z\\x{80}-\\x{10FFFF}]+|[!-/:-@\\[-`{-~]'))
+              ELSE len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) END AS tokens
+  FROM (SELECT source, lang, coalesce(text, '') AS t FROM documents
+        WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)))
+GROUP BY source, lang, tokenizer"""}
