@@ -140,7 +140,7 @@ class Encoder:
     The memo keeps two generations of words, so its size is bounded.
     """
 
-    MOST = 300_000
+    MOST = 100_000
     LATIN = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")  # composed letters that lower-case to one letter each
     PUNCTUATION = b".,;:!?\"#$%&()*+-/<=>@[\\]^_`{|}~"
 
@@ -224,7 +224,7 @@ def coded_ids(text: str | Column, tokenizer_path: str, end_id: int | None = 1) -
             for i, t in enumerate(col, 1):
                 part.append(np.concatenate((enc.text(t.as_py()), tail)))
                 n += len(part[-1])
-                if i == len(col) or n > 1 << 20:
+                if i == len(col) or n > 1 << 18:
                     out += [{"n": len(x), "words": w.tobytes()} for x, w in zip(part, encode_many(part))]
                     part, n = [], 0
             yield pa.array(out, kind)
