@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm import quality_gam, simhash, toxicity_pu
+from jobsmith.llm import decontaminate, quality_gam, simhash, toxicity_pu
 from jobsmith.llm.common import Stored, table
 
 
@@ -35,7 +35,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(keep, "doc_id", "left_semi")
 
 
-STAGES = [("quality classifier", quality), ("toxicity", toxicity), ("simhash near-dedup", near_duplicates)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage within the edit distance of a benchmark item."""
+    leaks = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+STAGES = [("quality classifier", quality), ("toxicity", toxicity), ("simhash near-dedup", near_duplicates),
+          ("benchmark decontamination", decontamination)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

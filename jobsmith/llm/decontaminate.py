@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -80,26 +81,24 @@ def cgk(ids: np.ndarray, starts: np.ndarray, n: int, bits: np.ndarray, wanted: n
     return out
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Exact word edit distance if it is at most ``most``, else ``most`` + 1."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    row = np.arange(len(b) + 1)
-    step = np.arange(len(b) + 1)
-    for i, x in enumerate(a, 1):
-        new = np.minimum(row[:-1] + (b != x), row[1:] + 1)
-        row = np.concatenate(([i], new))
-        row = np.minimum.accumulate(row - step) + step   # insertions
-        if row.min() > most:
-            return most + 1
-    return min(int(row[-1]), most + 1)
+def edit_distance(a: list[int], b: list[int], most: int) -> int:
+    """Exact word edit distance if it is at most ``most``, else ``most`` + 1 (bit-parallel rows)."""
+    n = len(a)
+    if abs(n - len(b)) > most or not n:
+        return min(max(n, len(b)), most + 1)
+    places: dict[int, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    plus, minus, d = full, 0, n
+    for y in b:
+        eq = places.get(y, 0)
+        diag = (((eq & plus) + plus) ^ plus) | eq | minus
+        up, down = minus | ~(diag | plus) & full, plus & diag
+        d += bool(up & top) - bool(down & top)
+        up = up << 1 | 1
+        plus, minus = ((down << 1) | ~(diag | up)) & full, up & diag & full
+    return min(d, most + 1)
 
 
 class Index:
@@ -123,6 +122,7 @@ class Index:
         rng = np.random.default_rng(lsh.seed)
         self.bits = rng.integers(0, 1 << 63, (lsh.walks, len(held), longest * 2 // 64 + 1), np.uint64, endpoint=True)
         self.bits |= rng.integers(0, 2, self.bits.shape, np.uint64) << np.uint64(63)
+        self.mixers = rng.integers(1 << 62, 1 << 63, lsh.sample, np.uint64) | np.uint64(1)  # key: a sum of products
         self.items, self.needs, self.keys = {}, {}, {}
         for n, group in sorted(by_length.items()):
             seqs = np.array([seq for _, seq in group], np.int32)
@@ -141,10 +141,7 @@ class Index:
                 steps, where = np.unique(at, return_inverse=True)
                 seen = cgk(ids, starts, n, self.bits[walk], steps).astype(np.uint64)
                 for k, rows in enumerate(where.reshape(at.shape)):
-                    key = np.zeros(len(starts), np.uint64)
-                    for r in rows:
-                        key = _mix(key * np.uint64(31) + seen[r] + np.uint64(1))
-                    yield (walk, k), key
+                    yield (walk, k), sum(seen[r] * m for r, m in zip(rows, self.mixers))
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """Per text: (item, first word, words, distance) of every leak."""
@@ -153,7 +150,7 @@ class Index:
         size, get = 0, self.vocabulary.get
         for t, text in enumerate(texts):
             ws = words(text)
-            part.append((t, np.fromiter((get(w, 0) for w in ws), np.int32, len(ws))))
+            part.append((t, np.fromiter(map(get, ws, repeat(0)), np.int32, len(ws))))
             size += len(ws)
             if size > CHUNK_WORDS or t == len(texts) - 1:
                 self._search(part, out)
@@ -176,7 +173,7 @@ class Index:
             found: dict[tuple[int, int], list[tuple[int, int]]] = {}
             for lo in range(0, len(starts), 1 << 16):
                 for s, j in self._candidates(ids, starts[lo:lo + (1 << 16)], n):
-                    d = edit_distance(seqs[j], ids[s:s + n], most)
+                    d = edit_distance(seqs[j].tolist(), ids[s:s + n].tolist(), most)
                     if d <= most:
                         t = int(np.searchsorted(firsts, s + n - 1, side="right")) - 1
                         found.setdefault((t, j), []).append((d, s))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm import embed_dedup, license_scan, quality_gam, simhash, token_binary, token_rollup, toxicity_pu
+from jobsmith.llm import decontaminate, embed_dedup, license_scan, quality_gam, simhash, token_binary, token_rollup, toxicity_pu
 from jobsmith.llm.common import Stored, held_out, table
 from jobsmith.session import scratch_path
 
@@ -29,6 +29,11 @@ def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), floor=0.9)
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per leak of a benchmark item in a document."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
@@ -62,8 +67,8 @@ def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op5_embed_dedup, op7_quality_gam,
-                               op8_token_rollup, op9_toxicity_pu)}
+    f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op5_embed_dedup, op6_decontaminate,
+                               op7_quality_gam, op8_token_rollup, op9_toxicity_pu)}
 
 SQL: dict[str, str] = {
     "op8_token_rollup": """
