@@ -206,16 +206,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark, lsh = docs.sparkSession, lsh or Lsh()
     frames = []
     for block in _blocks(items.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))):
-        sent = spark.sparkContext.broadcast(block)  # at most BLOCK items
-
-        @F.arrow_udf(LEAK)
-        def find(cols: Iterator[pa.Array], sent=sent) -> Iterator[pa.Array]:
-            index = Index(sent.value, lsh)
-            kind = pa.list_(pa.struct([("item", pa.int64()), ("first", pa.int64()), ("words", pa.int32()),
-                                       ("distance", pa.int32())]))
-            for col in cols:
-                yield pa.array([[dict(zip(("item", "first", "words", "distance"), x)) for x in found]
-                                for found in index.search(col.to_pylist())], kind)
+        find = _finder(spark.sparkContext.broadcast(block), lsh)  # at most BLOCK items
         frames.append(docs.select(F.col(id_col).alias("d"), F.explode(find(F.col(text_col))).alias("x")).select(
             F.col("d").alias(id_col), F.col("x.item").alias(item_col), F.col("x.first").alias("first_word"),
             F.col("x.words").alias("n_words"), F.col("x.distance").alias("distance"),
@@ -225,6 +216,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     return union_all(frames) if frames else empty
 
 
+def _finder(sent, lsh: Lsh):
+    """UDF: leaks of the sent items in each text. A worker builds the index once a task."""
+    kind = pa.list_(pa.struct([("item", pa.int64()), ("first", pa.int64()), ("words", pa.int32()),
+                               ("distance", pa.int32())]))
+
+    @F.arrow_udf(LEAK)
+    def find(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        index = Index(sent.value, lsh)
+        for col in cols:
+            yield pa.array([[dict(zip(("item", "first", "words", "distance"), x)) for x in found]
+                            for found in index.search(col.to_pylist())], kind)
+    return find
+
+
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of at most BLOCK, one block in memory at a time."""
     block: list[tuple[int, str]] = []
