@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm import decontaminate, embed_dedup, license_scan, quality_gam, simhash, token_binary, token_rollup, toxicity_pu
+from jobsmith.llm import decontaminate, embed_dedup, license_scan, lm_score, quality_gam, simhash, token_binary, token_rollup, toxicity_pu
 from jobsmith.llm.common import Stored, held_out, table
 from jobsmith.session import scratch_path
 
@@ -25,6 +25,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2, seed=42)
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as good; background: all documents."""
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    target = Stored(docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text"), "lm-target").df
+    return lm_score.cross_entropy_difference(docs, target, docs)
+
+
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), floor=0.9)
 
@@ -67,8 +75,8 @@ def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op5_embed_dedup, op6_decontaminate,
-                               op7_quality_gam, op8_token_rollup, op9_toxicity_pu)}
+    f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op4_lm_score, op5_embed_dedup,
+                               op6_decontaminate, op7_quality_gam, op8_token_rollup, op9_toxicity_pu)}
 
 SQL: dict[str, str] = {
     "op8_token_rollup": """
