@@ -9,10 +9,11 @@ extra columns pass through the filters; an empty table passes as it is.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm import decontaminate, quality_gam, simhash, toxicity_pu
+from jobsmith.llm import decontaminate, quality_gam, sentencepiece_lattice, simhash, toxicity_pu
 from jobsmith.llm.common import Stored, table
 
 
@@ -41,8 +42,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, score): every document as SentencePiece ids."""
+    return sentencepiece_lattice.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES = [("quality classifier", quality), ("toxicity", toxicity), ("simhash near-dedup", near_duplicates),
-          ("benchmark decontamination", decontamination)]
+          ("benchmark decontamination", decontamination),
+          ("sentencepiece encoding", encoding)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

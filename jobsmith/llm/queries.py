@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm import decontaminate, embed_dedup, license_scan, lm_score, quality_gam, simhash, token_binary, token_rollup, toxicity_pu
+from jobsmith.llm import (decontaminate, embed_dedup, license_scan, lm_score, quality_gam, sentencepiece_lattice, simhash,
+                           token_binary, token_rollup, toxicity_pu)
 from jobsmith.llm.common import Stored, held_out, table
 from jobsmith.session import scratch_path
 
@@ -74,9 +75,13 @@ def op9_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_lattice.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_token_binary, op3_simhash, op4_lm_score, op5_embed_dedup,
-                               op6_decontaminate, op7_quality_gam, op8_token_rollup, op9_toxicity_pu)}
+                               op6_decontaminate, op7_quality_gam, op8_token_rollup, op9_toxicity_pu, op10_sentencepiece)}
 
 SQL: dict[str, str] = {
     "op8_token_rollup": """
