@@ -3,7 +3,7 @@
 Accepted (as by the upstream parser): ``YYYY-MM-DD`` or ``YYYYMMDD``, optionally
 followed by any one separator character and a time ``HH``, ``HH:MM``,
 ``HH:MM:SS``, ``HH:MM:SS.f+`` (``.`` or ``,``), or the basic forms ``HHMM``,
-``HHMMSS``, ``HHMMSS.f+``; an optional offset ``+HH``, ``+HHMM``, ``+HH:MM``;
+``HHMMSS``, ``HHMMSS.f+``; an optional offset ``+HH``, ``+HHMM``, ``+HH:MM``, with a blank before it at most;
 ``Z`` means UTC; a naive value is UTC. Anything else, or an impossible
 calendar date, is NULL. Fractions beyond microseconds are truncated.
 
@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from jobsmith.functions.text import as_col, strip_ws
 
 # group 1 date | 2 hour | 3,4,5 min/sec/frac (extended) | 6,7,8 (basic) | 9 offset
+# A blank may stand before the offset unless a fraction does (texts are stripped, so none can end one).
 ISO_CORE = (r"(\d{4}-\d{2}-\d{2}|\d{8})"
             r"(?:[\s\S](\d{2})"
-            r"(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
+            r"(?::(\d{2})(?::(\d{2})(?:[.,](\d+)|\s)?|\s)?|(\d{2})(?:(\d{2})(?:[.,](\d+)|\s)?|\s)?|\s)?"
             r"([+-]\d{2}(?::?\d{2})?)?)?")
-ISO_GUARD = "^" + ISO_CORE + "$"
 # Always matches the whole text: an ISO text fills the groups, anything else
 # matches the second branch and leaves every group empty.
 ISO_ANY = r"(?s)^" + ISO_CORE + r"\z|^.*\z"
@@ -44,10 +44,11 @@ def _format(a: Column) -> Column:
     frac = F.rpad(F.substring(a[4], 1, 6), 6, "0")
     off = a[5]
     off_txt = (F.when(off == "", F.lit("+00:00"))
+               .when(off.isin("-00", "-0000", "-00:00"), F.lit("+00:00"))
                .when(F.length(off) == 3, F.concat(off, F.lit(":00")))
                .when(F.length(off) == 5, F.concat(F.substring(off, 1, 3), F.lit(":"), F.substring(off, 4, 2)))
                .otherwise(off))
-    ts = F.when(d != "", F.concat(local, F.lit("."), frac, off_txt).try_cast("timestamp"))
+    ts = F.when((d != "") & ~d.startswith("0000"), F.concat(local, F.lit("."), frac, off_txt).try_cast("timestamp"))
     iso = F.when(ts.isNotNull(), F.concat(
         local, F.when(frac != "000000", F.concat(F.lit("."), frac)).otherwise(F.lit("")), off_txt))
     return F.struct(ts.alias("ts"), iso.alias("iso"))

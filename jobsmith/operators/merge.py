@@ -10,36 +10,23 @@ from pyspark.sql import functions as F
 from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS
 
 
-# Largest incoming batch whose distinct keys are broadcast (about 100 bytes a key).
-BROADCAST_SOURCE_ROWS = 1_000_000
-
-
 def upsert(target: DataFrame, source: DataFrame, key: str, *, columns: Sequence[str] | None = None,
            coalesce_new_old: Sequence[str] = (), keep_old: Sequence[str] = (),
-           check_unique: bool = True, broadcast_source_rows: int | None = BROADCAST_SOURCE_ROWS) -> DataFrame:
-    """``INSERT .. ON CONFLICT (key) DO UPDATE`` without MERGE INTO.
+           check_unique: bool = True) -> DataFrame:
+    """``INSERT .. ON CONFLICT (key) DO UPDATE`` without MERGE INTO: one full outer join.
 
     Matched keys take the source value for every column, except
     ``coalesce_new_old`` columns (``COALESCE(new, old)``) and ``keep_old``
     columns (not updated). Unmatched target rows stay; unmatched source rows are
-    inserted. With ``check_unique`` a key present twice in ``source`` fails the
-    job in-plan: a partially aggregated per-key count feeds a scalar subquery,
-    so even a key repeated across a third of the batch never lands in one task.
-
-    Plan: when the source has at most ``broadcast_source_rows`` rows (counted
-    first), its distinct keys are broadcast; target rows without a match pass
-    through a broadcast anti join (the large target is never shuffled) and only
-    the matched target rows meet the source in the full outer join. Larger
-    sources use one full outer join of both sides.
+    inserted. The join strategy is left to AQE, which knows the sides' sizes.
+
+    With ``check_unique`` a key present twice in ``source``, or a NULL key, fails
+    the job whatever columns are read: a partially aggregated per-key count feeds
+    a scalar subquery in a filter of its own, so even a key repeated across a
+    third of the batch never lands in one task. Pass a source that is stored (a
+    staging table), as it is read for the check and for the join.
     """
     cols = [c for c in (columns or target.columns) if c != key]
-    if broadcast_source_rows is not None and source.count() <= broadcast_source_rows:
-        keys = F.broadcast(source.select(key).distinct())
-        untouched = target.join(keys, key, "left_anti").select(key, *cols)
-        touched = target.join(keys, key, "left_semi")
-        merged = upsert(touched, source, key, columns=[key, *cols], coalesce_new_old=coalesce_new_old,
-                        keep_old=keep_old, check_unique=check_unique, broadcast_source_rows=None)
-        return untouched.unionByName(merged)
     s = source.select(key, *cols).withColumn("_in_s", F.lit(True))
     t = target.select(key, *cols).withColumn("_in_t", F.lit(True))
     j = t.alias("t").join(s.alias("s"), on=key, how="full_outer")
@@ -57,11 +44,11 @@ def upsert(target: DataFrame, source: DataFrame, key: str, *, columns: Sequence[
         out.append(v.alias(c))
     res = j.select(*out)
     if check_unique:
-        dups = (source.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .agg(F.count(F.lit(1))).scalar())
-        res = res.withColumn(key, F.when(dups > 0, F.raise_error(
-            F.concat(F.lit("duplicate key in upsert source ("), dups.cast("string"), F.lit(" keys)"))))
-            .otherwise(F.col(key)))
+        bad = (source.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | F.col(key).isNull())
+               .agg(F.count(F.lit(1))).scalar())
+        res = res.filter(F.when(bad > 0, F.raise_error(F.concat(
+            F.lit("duplicate key or NULL key in upsert source ("), bad.cast("string"), F.lit(" keys)"))).cast("boolean"))
+            .otherwise(F.lit(True)))
     return res
 
 

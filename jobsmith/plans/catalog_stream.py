@@ -19,7 +19,7 @@ from jobsmith.plans.catalog_batch import API_POST, RAW, W
 from jobsmith.plans.registry import ntz, query
 from jobsmith.plans.tables import read
 from jobsmith.schema import MESSAGE_FIELDS, STREAM_COLUMNS
-from jobsmith.session import scratch_path
+from jobsmith.session import materialize, scratch_path
 from jobsmith.sources.files import paged_results, read_json_documents
 from jobsmith.streaming import jobs as S
 
@@ -267,11 +267,11 @@ def dedup_last_arrival(spark, sf):
 @query("sink_upsert_stream", STREAM_TABLE_SQL)
 def sink_upsert_stream(spark, sf):
     """Stream-table merge in batch form: the last chunk merged into the table built from the others."""
-    msgs = event_messages(spark, sf)
-    rows = event_payload_rows(spark, sf).join(
-        msgs.select(F.col("value"), "chunk").withColumn("_seq", seq_of(F.col("value"))).drop("value"), "_seq")
+    rows = stream_payload(event_messages(spark, sf).withColumn("_seq", seq_of(F.col("value"))), clock=clock_of_seq(),
+                          keep=["_seq", "chunk"])
     first = collapse_last_arrival(rows.filter(F.col("chunk") < CHUNKS - 1).drop("chunk"), "job_hash", "_seq")
-    last = collapse_last_arrival(rows.filter(F.col("chunk") == CHUNKS - 1).drop("chunk"), "job_hash", "_seq")
+    last = materialize(collapse_last_arrival(rows.filter(F.col("chunk") == CHUNKS - 1).drop("chunk"), "job_hash", "_seq"),
+                       "last_chunk")
     return stream_out(upsert_stream(first, last, STREAM_COLUMNS + ["_seq"]))
 
 

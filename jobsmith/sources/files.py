@@ -18,32 +18,59 @@ def null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
                        for c in df.columns])
 
 
-def read_postings_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA, na_tokens=None) -> DataFrame:
-    """Header CSV, quoted fields may hold commas and newlines; every column STRING."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
-    return null_tokens(df, na_tokens)
-
-
-def read_json_documents(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
+def read_postings_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA, na_tokens=None, multi_line: bool = True,
+                      mode: str = "FAILFAST") -> DataFrame:
+    """Header CSV, quoted fields may hold commas and newlines; every column STRING.
+
+    Columns are bound by the names in each file's header (files may differ);
+    columns of ``schema`` that a file lacks are NULL, others are left out. A row
+    whose fields don't match its header fails the read (``mode="PERMISSIVE"``:
+    Spark's repair). With ``multi_line`` a file is one task: write many files, or
+    switch it off where no field holds a line break, and files are split.
+    """
+    names = schema.fieldNames() if hasattr(schema, "fieldNames") else \
+        spark.createDataFrame([], schema).columns
+    options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"', "mode": mode}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(spark.read.options(**options).csv(path).inputFiles()):  # a first line a file, not its rows
+        by_header.setdefault(tuple(spark.read.options(**options).csv(f).columns), []).append(f)
+    out = spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
+    for header, files in by_header.items():
+        df = spark.read.options(**options).schema(", ".join(f"`{h}` string" for h in header)).csv(files)
+        out = out.unionByName(df.select(*[(F.col(f"`{n}`") if n in header else F.lit(None).cast("string")).alias(n)
+                                          for n in names]))
+    return null_tokens(out, na_tokens)
+
+
+def read_json_documents(spark: SparkSession, path: str, one_per_file: bool = False,
+                        on_malformed: str = "fail") -> DataFrame:
     """JSON payloads as VARIANT ``v``: one per line, or one per file.
 
     The JSON source builds the VARIANT during the scan, so later filters on
-    fields of ``v`` do not parse the text again; malformed payloads are dropped.
+    fields of ``v`` do not parse the text again. A malformed payload fails the
+    job; ``on_malformed="drop"`` leaves it out (see ``malformed_documents``).
     """
-    reader = spark.read.option("singleVariantColumn", "v").option("multiLine", one_per_file)
+    reader = spark.read.option("singleVariantColumn", "v").option("multiLine", one_per_file) \
+        .option("mode", "PERMISSIVE" if on_malformed == "drop" else "FAILFAST")
     return reader.json(path).filter(F.col("v").isNotNull())
 
 
+def malformed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line) of the one-per-line payloads that are not JSON."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    return lines.filter((F.trim("line") != "") & F.expr("try_parse_json(line)").isNull())
+
+
 def paged_results(pages: DataFrame, *, start_page: int = 1, max_pages: int | None = None,
                   max_jobs: int | None = None, default_max_jobs: int = 0) -> DataFrame:
     """Postings of landed API pages ``{page, results: [...]}`` in fetch order.
 
     Same stop rules as a paging client: begin at ``start_page`` (>= 1), stop
-    before the first page >= start that is empty or absent, stop after
-    ``max_pages`` pages, and once ``max_jobs`` postings are held keep exactly
+    before the first page >= start that is landed and empty, or after the last
+    landed page, stop after ``max_pages`` pages, and once ``max_jobs`` postings are held keep exactly
     that many in (page, position) order. ``max_jobs`` <= 0 means no cap; None
-    falls back to ``default_max_jobs`` with the same rule.
+    falls back to ``default_max_jobs`` with the same rule. A page missing in
+    between fails the job: what lies behind it must not be lost in silence.
     Returns (page, pos, j) with ``j`` the posting as VARIANT.
     """
     start = max(1, int(start_page))
@@ -55,15 +82,14 @@ def paged_results(pages: DataFrame, *, start_page: int = 1, max_pages: int | Non
     p = p.filter(F.col("page") >= start)
     if max_pages is not None:
         p = p.filter(F.col("page") <= start + max(1, int(max_pages)) - 1)
-    # One row per non-empty page, written once to the shared folder so the stop
-    # page does not re-parse the landed pages.
-    full = materialize(p.filter(F.size("results") > 0).select("page").distinct(), "page_index")
-    first = full.agg(F.min("page")).scalar()
-    # first page after a full page that is not itself full (equi anti self-join)
-    gap = (full.select((F.col("page") + 1).alias("page")).join(full, "page", "left_anti")
-           .agg(F.min("page")).scalar())
-    stop = F.when(first.isNull() | (first != F.lit(start)), F.lit(start)).otherwise(gap)
-    out = (p.filter(F.col("page") < stop)
+    # One row per page, written once to the shared folder so that the stop page
+    # does not re-parse the landed pages.
+    index = materialize(p.groupBy("page").agg(F.max(F.size("results")).alias("n")), "page_index")
+    last = F.coalesce(index.filter("n = 0").agg(F.min("page") - 1).scalar(), index.agg(F.max("page")).scalar())
+    held = index.filter(F.col("page") <= last).agg(F.count(F.lit(1))).scalar()
+    missing = F.when(held < last - start + 1, F.raise_error(F.concat(
+        F.lit("missing pages: "), (last - start + 1 - held).cast("string"))).cast("boolean")).otherwise(F.lit(True))
+    out = (p.filter(F.col("page") <= last).filter(missing)
            .select("page", F.posexplode_outer("results").alias("pos", "j")).filter(F.col("pos").isNotNull()))
     if target is not None:
         out = out.orderBy("page", "pos").limit(target)

@@ -1,10 +1,11 @@
 """Structured Streaming jobs: publish postings as keyed messages, and upsert
 consumed messages into the stream table.
 
-Delivery: checkpoints record source progress; the upsert writes snapshot
-version ``batch_id + 1`` from version ``batch_id`` only, so a retried batch
-rewrites the same version from the same input (idempotent), and no path that
-is being read is ever overwritten.
+Delivery: checkpoints record source progress; the upsert appends every
+micro-batch, folded per key, as a part named by (query, batch). A retried batch
+finds its finished part and adds nothing; a new checkpoint on an existing table
+is another query and appends after what is there. No path that is being read is
+ever overwritten, and a batch costs what it holds, not what the table holds.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from jobsmith.operators.dedup import collapse_last_arrival
-from jobsmith.operators.merge import split_quarantine, upsert_stream
+from jobsmith.operators.merge import split_quarantine
 from jobsmith.operators.normalize import stream_message, stream_payload
 from jobsmith.schema import MESSAGE_FIELDS, STREAM_COLUMNS, STREAM_SCHEMA
 
@@ -69,8 +70,12 @@ def publish(postings: DataFrame, *, posting_col: str = "j", event_time: str | No
     Without ``dedup_delay`` the state store keeps every key ever seen (exact
     first-seen dedup). With it, ``dropDuplicatesWithinWatermark`` bounds the
     state: a key is suppressed for ``dedup_delay`` of event time after its first
-    occurrence, then forgotten — a defined bound instead of an arbitrary cut.
+    occurrence, then forgotten — a defined bound instead of an arbitrary cut. A
+    first occurrence later than the watermark is left out by it as well; where
+    that may happen use the exact form. Postings that are not JSON (NULL) are not
+    published: see ``malformed``.
     """
+    postings = postings.filter(F.col(posting_col).isNotNull())
     msgs = stream_message(postings, posting_col=posting_col, keep=list(keep))
     if dedup_delay:
         ts = F.col(event_time).cast("timestamp")
@@ -81,70 +86,93 @@ def publish(postings: DataFrame, *, posting_col: str = "j", event_time: str | No
     return encode_records(msgs)
 
 
-class StreamTable:
-    """Stream-table snapshots under ``base``: ``v{n}`` holds the table after batch n-1."""
-
-    def __init__(self, spark: SparkSession, base: str, schema: StructType = STREAM_SCHEMA, seq: str = "_seq",
-                 seq_type: str = "struct<a:timestamp,b:bigint>"):
-        self.spark, self.base, self.schema, self.seq, self.seq_type = spark, base.rstrip("/"), schema, seq, seq_type
-
-    def _path(self, v: int) -> str:
-        return f"{self.base}/v{v:06d}"
+def malformed(postings: DataFrame, *, posting_col: str = "j") -> DataFrame:
+    """The rows that ``publish`` leaves out, with whatever other columns they carry."""
+    return postings.filter(F.col(posting_col).isNull())
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-    def read_before(self, batch_id: int, seq_type=None) -> DataFrame:
-        """Table as of the end of batch ``batch_id - 1`` (empty, with a sequence
-        column of ``seq_type``, before the first batch)."""
-        for v in range(batch_id, -1, -1):
-            if v > 0 and self._exists(self._path(v)):
-                return self.spark.read.parquet(self._path(v))
-        empty = self.spark.createDataFrame([], self.schema)
-        return empty.withColumn(self.seq, F.lit(None).cast(seq_type or self.seq_type))
+class StreamTable:
+    """Stream table under ``base``: one part a micro-batch, ``b{n}-{query}-{batch}``, and now and then a
+    compacted part ``c{n}-`` that holds the fold of everything before it. Only parts with ``_SUCCESS`` count."""
 
-    def write_after(self, batch_id: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self._path(batch_id + 1))
+    def __init__(self, spark: SparkSession, base: str, schema: StructType = STREAM_SCHEMA, seq: str = "_seq"):
+        self.spark, self.base, self.schema, self.seq = spark, base.rstrip("/"), schema, seq
 
-    def read(self) -> DataFrame:
+    def parts(self) -> list[str]:
+        """Names of the finished parts, in order."""
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.base)
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        vs = sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(p)
-                    if s.getPath().getName().startswith("v")) if fs.exists(p) else []
-        vs = [v for v in vs if self._exists(self._path(v))]
-        if not vs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.parquet(self._path(vs[-1])).drop(self.seq)
-
-
-def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = None,
-                    quarantine: str | None = None) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: payload -> quarantine key-less rows -> collapse per key
-    (last message wins, job_url last non-null, source first) -> merge."""
+        names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted((n for n in names if n[:1] in "bc" and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.base}/{n}/_SUCCESS"))),
+                      key=lambda n: (int(n[1:10]), n))
+
+    def _next(self, parts: list[str], kind: str, tail: str) -> str:
+        n = int(parts[-1][1:10]) + 1 if parts else 1
+        return f"{self.base}/{kind}{n:09d}-{tail}"
+
+    def append(self, query: str, batch_id: int, rows: DataFrame) -> bool:
+        """Add a batch (one row per key, with the sequence column); False if this query's batch is there already."""
+        parts, tail = self.parts(), f"{query}-{batch_id}"
+        if any(n.startswith("b") and n[11:] == tail for n in parts):
+            return False
+        rows.select(*self.schema.names, self.seq).write.mode("overwrite").parquet(self._next(parts, "b", tail))
+        return True
+
+    def read(self) -> DataFrame:
+        """One row per key: the parts folded in order, as one upsert after the other would."""
+        return self._fold(self.parts()).drop(self.seq)
+
+    def compact(self) -> None:
+        """Write the fold of all parts as one; later reads start from it. Parts stay until ``base`` is cleaned."""
+        parts = self.parts()
+        if parts:
+            self._fold(parts).write.mode("overwrite").parquet(self._next(parts, "c", "all"))
+
+    def _fold(self, parts: list[str]) -> DataFrame:
+        last = max((i for i, n in enumerate(parts) if n.startswith("c")), default=0)
+        live = parts[last:]
+        if not live:
+            return self.spark.createDataFrame([], self.schema).withColumn(self.seq, F.lit(None).cast("string"))
+        part = F.regexp_extract(F.col("_metadata.file_path"), "/[bc]([0-9]{9})-[^/]*/[^/]*$", 1).cast("long")
+        rows = self.spark.read.parquet(*[f"{self.base}/{n}" for n in live]) \
+            .withColumn("_order", F.struct(part.alias("part"), F.col(self.seq).alias("seq"))).drop(self.seq)
+        return collapse_last_arrival(rows, "job_hash", "_order") \
+            .select(*self.schema.names, F.col("_order.seq").alias(self.seq))
+
+
+def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = None, quarantine: str | None = None,
+                    query: str | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: payload -> quarantine rows without a key -> collapse per key
+    (last message wins, job_url last non-null, source first) -> append to the table.
+
+    Quarantined records keep every column they came with (key and value text,
+    partition and offset from a broker) and a reason; they go to ``quarantine``,
+    by default a folder beside the table. ``query`` names the writer; by default
+    it is the streaming query's id, which its checkpoint keeps.
+    """
+    where = quarantine or f"{table.base}-quarantine"
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        # decoded once: the micro-batch feeds both the quarantine and the merge
-        rows = stream_payload(batch.withColumn(table.seq, seq), clock=clock, keep=[table.seq]).persist()
+        own = query or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        came = [c for c in batch.columns if c not in STREAM_COLUMNS]
+        # decoded once: the micro-batch feeds both the quarantine and the table
+        rows = stream_payload(batch.withColumn(table.seq, seq), clock=clock, keep=[table.seq, *came]).persist()
         try:
             good, bad = split_quarantine(rows, ["job_hash"])
-            if quarantine:
-                bad.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-                    .parquet(f"{quarantine}/batch_id={batch_id}")
-            # one row per key by construction (no duplicate check needed); kept for
-            # the size check and the merge
-            collapsed = collapse_last_arrival(good, "job_hash", table.seq).persist()
-            before = table.read_before(batch_id, collapsed.schema[table.seq].dataType)
-            merged = upsert_stream(before, collapsed, STREAM_COLUMNS + [table.seq], check_unique=False)
-            table.write_after(batch_id, merged)
-            collapsed.unpersist()
+            reason = F.when(F.try_parse_json("value").isNull(), "not JSON").otherwise("no key")
+            bad.select(*came, table.seq, reason.alias("reason")).write.mode("overwrite") \
+                .parquet(f"{where}/query={own}/batch_id={batch_id}")
+            table.append(own, batch_id, collapse_last_arrival(good.drop(*came), "job_hash", table.seq))
         finally:
             rows.unpersist()
     return run
 
 
 def dedup_within(records: DataFrame, keys: Sequence[str], event_time: Column, delay: str) -> DataFrame:
-    """Bounded-state dedup: drop repeats of a key seen within ``delay`` of event time."""
+    """Bounded-state dedup: drop repeats of a key seen within ``delay`` of event time.
+
+    Rows later than the watermark are dropped by it, first occurrences too; where
+    they must be kept use ``dropDuplicates(keys)``, whose state keeps every key."""
     return (records.withColumn("_et", event_time.cast("timestamp")).withWatermark("_et", delay)
             .dropDuplicatesWithinWatermark(list(keys)).drop("_et"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobsmith.operators import merge as M
 from jobsmith.operators.dedup import collapse_last_arrival, dedup_first_seen, dedup_latest, dedup_latest_agg
+from jobsmith.session import materialize
 
 D = dt.datetime
 
@@ -21,9 +22,9 @@ def winners(df):
 
 
 def test_latest_wins(spark):
-    df = frame(spark, [("h1", D(2026, 3, 1), None, "csv", 1, "Old"), ("h1", D(2026, 3, 2), None, "csv", 2, "New"),
-                       ("h2", D(2026, 3, 1), None, "csv", 3, "Only")])
-    assert winners(dedup_latest(df)) == {"h1": "New", "h2": "Only"}
+    df = frame(spark, [("q", D(2025, 12, 30), None, "api", 3, "third"), ("q", D(2026, 1, 9), None, "api", 1, "winner"),
+                       ("q", D(2025, 7, 1), None, "csv", 2, "first"), ("r", None, None, "csv", 4, "undated")])
+    assert winners(dedup_latest(df)) == {"q": "winner", "r": "undated"}
 
 
 def test_tie_rules(spark):
@@ -163,20 +164,23 @@ def test_incremental_metrics_equal_full_recompute(spark):
     assert out[True][0][1] == 1
 
 
-@pytest.mark.parametrize("limit", [None, 0, 10])
-def test_upsert_plans_agree(spark, limit):
-    """Broadcast-keys plan (small source) and full-outer plan give the same rows."""
-    target = tbl(spark, [(f"k{i}", f"u{i}", "old", "api") for i in range(20)])
-    source = tbl(spark, [("k1", None, "new", "csv"), ("k5", "v5", "new", "csv"), ("n1", None, "ins", "csv")])
-    out = M.upsert(target, source, "job_hash", coalesce_new_old=("job_url",), keep_old=("source",),
-                   broadcast_source_rows=limit)
+def test_upsert_duplicate_key_fails_for_any_column(spark):
+    target = tbl(spark, [("k1", "u1", "old", "api")])
+    twice = tbl(spark, [("b", "u", "x", "csv"), ("b", "v", "y", "csv")])
+    with pytest.raises(Exception, match="duplicate key"):
+        M.upsert(target, twice, "job_hash").select("job_url").collect()
+    with pytest.raises(Exception, match="NULL key"):
+        M.upsert(target, tbl(spark, [(None, "u", "x", "csv")]), "job_hash").select("title").collect()
+
+
+def test_upsert_is_one_join_of_two_scans(spark):
+    target = materialize(tbl(spark, [(f"k{i}", f"u{i}", "old", "api") for i in range(20)]), "target")
+    source = materialize(tbl(spark, [("k1", None, "new", "csv"), ("n1", None, "ins", "csv")]), "source")
+    out = M.upsert(target, source, "job_hash", coalesce_new_old=("job_url",), keep_old=("source",))
     got = sorted(tuple(r) for r in out.collect())
-    assert len(got) == 21
-    assert ("k1", "u1", "new", "api") in got and ("k5", "v5", "new", "api") in got
-    assert ("n1", None, "ins", "csv") in got and ("k7", "u7", "old", "api") in got
-    if limit == 10:
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert len(got) == 21 and ("k1", "u1", "new", "api") in got and ("n1", None, "ins", "csv") in got
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and plan.count("Join ") == 1
 
 
 def test_full_refresh_replaces_clean_keeps_vanished_metrics(spark):

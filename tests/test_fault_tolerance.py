@@ -28,7 +28,7 @@ def test_snapshot_ignores_unfinished_version(spark):
 def test_stream_batch_replay_is_idempotent(spark):
     import json
     base = scratch_path(spark, "replay")
-    table = S.StreamTable(spark, base + "/t", seq_type="bigint")
+    table = S.StreamTable(spark, base + "/t")
     seq = F.get_json_object("value", "$.seq").cast("bigint")
     fn = S.upsert_batch_fn(table, seq=seq)
     batch = spark.createDataFrame([("k", json.dumps({"job_hash": "k", "job_url": "u", "title": "t", "seq": 1}))],
@@ -57,3 +57,35 @@ def test_stream_table_takes_batch_sequence_type(spark):
     fn(spark.createDataFrame([("k", json.dumps({"job_hash": "k", "title": "c"}), 0, 9)],
                              "key string, value string, partition int, offset long"), 1)
     assert [r["title"] for r in table.read().collect()] == ["c"]
+
+
+def test_new_checkpoint_appends_to_an_existing_stream_table(spark):
+    """Another query starts at batch 0 again: nothing that is there is lost or hidden, compacted or not."""
+    import json
+    table = S.StreamTable(spark, scratch_path(spark, "again") + "/t")
+    seq = F.get_json_object("value", "$.seq").cast("bigint")
+
+    def put(query, batch_id, *keys):
+        rows = [(k, json.dumps({"job_hash": k, "title": query, "seq": i})) for i, k in enumerate(keys)]
+        S.upsert_batch_fn(table, seq=seq, query=query)(spark.createDataFrame(rows, "key string, value string"), batch_id)
+
+    put("one", 0, "k1", "k2")
+    put("two", 0, "k3", "k2")
+    put("two", 0, "k3", "k2")
+    expect = [("k1", "one"), ("k2", "two"), ("k3", "two")]
+    assert sorted((r["job_hash"], r["title"]) for r in table.read().collect()) == expect
+    assert len(table.parts()) == 2
+    table.compact()
+    put("two", 1, "k4")
+    assert sorted((r["job_hash"], r["title"]) for r in table.read().collect()) == expect + [("k4", "two")]
+
+
+def test_quarantine_keeps_the_record(spark):
+    base = scratch_path(spark, "bad")
+    table = S.StreamTable(spark, base + "/t")
+    batch = spark.createDataFrame([("a", "{not json"), ("b", '{"title": "no key"}'), ("c", '{"job_hash": "c"}')],
+                                  "key string, value string")
+    S.upsert_batch_fn(table, seq=F.lit(1), query="q")(batch, 0)
+    got = sorted((r["key"], r["value"], r["reason"]) for r in spark.read.parquet(base + "/t-quarantine").collect())
+    assert got == [("a", "{not json", "not JSON"), ("b", '{"title": "no key"}', "no key")]
+    assert [r["job_hash"] for r in table.read().collect()] == ["c"]

@@ -1,20 +1,28 @@
 """Normalisers and sources: CSV, paged and flat API, stop rules."""
 
+import hashlib
 import json
 import os
 
+
+import pytest
 from pyspark.sql import functions as F
 
 from jobsmith.functions import json as J
 from jobsmith.operators.normalize import normalize_csv, normalize_flat_api, normalize_paged_api, union_sources
 from jobsmith.schema import UNIFIED_COLUMNS
 from jobsmith.session import scratch_path
-from jobsmith.sources.files import flat_results, paged_results, read_json_documents, read_postings_csv
+from jobsmith.sources.files import (flat_results, malformed_documents, paged_results, read_json_documents,
+                                    read_postings_csv)
+
+API_POSTING = {"id": 7041, "title": "Analytics Engineer, Data Platform", "company": {"display_name": "Birchwood Labs"},
+               "location": {"display_name": "Fully remote, Lisbon"}, "category": {"label": "Analytics"},
+               "created": "2025-11-04", "redirect_url": "https://jobs.test/p/7041",
+               "description": "Airflow pipelines in Python on Kubernetes"}
+
 
-API_POSTING = {"id": 123, "title": "Data Engineer", "company": {"display_name": "Acme"},
-               "location": {"display_name": "Remote"}, "category": {"label": "Software Development"},
-               "created": "2026-03-10", "redirect_url": "https://example.com/jobs/123",
-               "description": "Python SQL Docker Kafka"}
+def key(text):
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 def api_frame(spark, postings):
@@ -30,17 +38,17 @@ def csv_frame(spark, rows):
 
 def test_paged_api_row(spark):
     r = normalize_paged_api(api_frame(spark, [API_POSTING])).first()
-    assert r["job_hash"] == "897c181a964b2bad70d703602cd5cf70ccbaa5ab066ded450f2203f981c3e021"
+    assert r["job_hash"] == key("https://jobs.test/p/7041")
     assert (r["is_remote"], r["role_type"], r["source"], r["company"], r["category"]) == \
-        (True, "Data", "api", "Acme", "Software Development")
-    assert r["skills_extracted"] == ["docker", "kafka", "python", "sql"]
+        (True, "Data", "api", "Birchwood Labs", "Analytics")
+    assert r["skills_extracted"] == ["airflow", "kubernetes", "python"]
 
 
 def test_api_job_id_and_shapes(spark):
     ps = [dict(API_POSTING, id=0), dict(API_POSTING, id=""), {k: v for k, v in API_POSTING.items() if k != "id"},
           dict(API_POSTING, id="0"), dict(API_POSTING, company="Plain Co", location="Berlin", category=None)]
     out = normalize_paged_api(api_frame(spark, ps)).collect()
-    assert [r["job_id"] for r in out] == [None, None, None, "0", "123"]
+    assert [r["job_id"] for r in out] == [None, None, None, "0", "7041"]
     assert (out[4]["company"], out[4]["location"], out[4]["is_remote"], out[4]["category"]) == \
         ("Plain Co", "Berlin", False, "")
 
@@ -54,13 +62,12 @@ def test_api_fallback_chains(spark):
 
 
 def test_csv_row_and_union(spark):
-    rows = [("csv-1", "csv", "Backend Engineer", "WebCo", "EU", "false", "Software Development", "2026-03-11",
-             "https://example.com/jobs/1", "Python Postgres Docker")]
+    rows = [("row-9", "csv", "Backend Developer (Payments)", "Quayside", "Oslo", "false", "Fintech", "2025-12-19",
+             "https://jobs.test/c/9", "AWS and dbt, some Spark")]
     c = normalize_csv(csv_frame(spark, rows))
     r = c.first()
-    assert r["job_hash"] == "3fbd7ba759842c42fa111ccb54c53d97f45b0b177f0091a95f743c6d0cfc6f1a"
-    assert (r["role_type"], r["skills_extracted"], r["is_remote"]) == ("Backend", ["docker", "postgres", "python"],
-                                                                       False)
+    assert r["job_hash"] == key("https://jobs.test/c/9")
+    assert (r["role_type"], r["skills_extracted"], r["is_remote"]) == ("Backend", ["aws", "dbt", "spark"], False)
     u = union_sources(normalize_paged_api(api_frame(spark, [API_POSTING])), c)
     assert u.columns == UNIFIED_COLUMNS
     assert {r["source"] for r in u.collect()} == {"api", "csv"}
@@ -97,16 +104,44 @@ def ids(df):
 
 def test_paged_stop_rules(spark):
     path = scratch_path(spark, "pages")
-    write_lines(path, [page(1, 2), page(2, 2), page(3, 0), page(4, 2), page(6, 1)])
+    write_lines(path, [page(1, 2), page(2, 2), page(3, 0), page(4, 2), page(5, 1)])
     pages = read_json_documents(spark, path)
     assert ids(paged_results(pages)) == [100, 101, 200, 201]            # stop at the empty page 3
-    assert ids(paged_results(pages, start_page=4)) == [400, 401]         # page 5 is absent -> stop
+    assert ids(paged_results(pages, start_page=4)) == [400, 401, 500]    # the last landed page ends it
     assert ids(paged_results(pages, start_page=0, max_pages=1)) == [100, 101]
     assert ids(paged_results(pages, max_jobs=3)) == [100, 101, 200]      # trimmed to the target
     assert ids(paged_results(pages, max_jobs=0)) == [100, 101, 200, 201]  # <= 0: no cap
     assert ids(paged_results(pages, start_page=3)) == []
 
 
+def test_missing_page_and_malformed_payload_fail(spark):
+    """What lies behind a missing or broken page is not lost in silence."""
+    path = scratch_path(spark, "pages")
+    write_lines(path, [page(1, 2), page(3, 2)])
+    with pytest.raises(Exception, match="missing pages: 1"):
+        paged_results(read_json_documents(spark, path)).collect()
+    assert ids(paged_results(read_json_documents(spark, path), max_pages=1)) == [100, 101]
+    path = scratch_path(spark, "pages")
+    write_lines(path, [page(1, 1), '{"page": 2, "results": [', page(3, 1)])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        paged_results(read_json_documents(spark, path)).collect()
+    assert [r["line"] for r in malformed_documents(spark, path).collect()] == ['{"page": 2, "results": [']
+
+
+def test_csv_binds_by_name(spark):
+    path = scratch_path(spark, "csv")
+    os.makedirs(path)
+    for name, text in {"a.csv": "title,job_id,company,extra\nWelder,42,Forge,z\n", "b.csv": "company,title\nMill,Miller\n"}.items():
+        with open(os.path.join(path, name), "w") as f:
+            f.write(text)
+    got = {tuple(r) for r in read_postings_csv(spark, path).select("job_id", "title", "company", "source").collect()}
+    assert got == {("42", "Welder", "Forge", None), (None, "Miller", "Mill", None)}
+    with open(os.path.join(path, "c.csv"), "w") as f:
+        f.write("title,company\nCook,Inn,one too many\n")
+    with pytest.raises(Exception):
+        read_postings_csv(spark, path).collect()
+
+
 def test_flat_payloads(spark):
     path = scratch_path(spark, "flat")
     write_lines(path, [json.dumps({"jobs": [{"id": 1}, {"id": 2}]}), json.dumps([{"id": 9}]), json.dumps({"x": 1})])

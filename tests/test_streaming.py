@@ -41,7 +41,7 @@ def test_stream_upsert_across_batches(spark):
     land(records, "a.json", [("k", {"job_hash": "k", "job_url": "u1", "source": "api", "title": "t1"}, 1),
                              ("k", {"job_hash": "k", "job_url": None, "source": "x", "title": "t2"}, 2),
                              ("", {"title": "no key"}, 3)])
-    table = S.StreamTable(spark, base + "/table", seq_type="bigint")
+    table = S.StreamTable(spark, base + "/table")
     seq = J.vget(J.decode(F.col("value")), "$.seq", "bigint")
 
     def run():
