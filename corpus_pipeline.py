@@ -43,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids, score): every document as SentencePiece ids."""
+    """(doc_id, ids): every document as SentencePiece ids."""
     return sentencepiece_lattice.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 

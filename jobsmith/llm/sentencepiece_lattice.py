@@ -2,7 +2,7 @@
 
 1. Blanks become the model's ``\\u2581`` (one is put in front), and the text falls
    into units that no piece of the model crosses. Distinct units are found by one
-   partially aggregated shuffle.
+   shuffle, after every task has made its own distinct.
 2. Lattice: every unit is exploded into its substrings of at most the longest
    piece's length, equi-joined to the piece table; every character also has an
    edge of its own (its piece, or the unknown edge that stands for its bytes).
@@ -26,25 +26,37 @@ under the best-sum rule, which need not be the library's order of merges.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsmith.llm.common import Stored
 
-SPACE = "▁"
-SEND_UNITS = 8_000_000
-#: places to cut a text at, each with the pairs of characters that no piece may then hold side by side
-CUTS = ((r"(?<=\p{L})(?=\P{L})", lambda a, b: a.isalpha() and not b.isalpha()),
-        (r"(?=[0-9])", lambda a, b: b in "0123456789"),
-        (r"(?<=\n)|(?=\n)", lambda a, b: "\n" in a + b),
-        (rf"(?<=[^{SPACE}])(?={SPACE})", lambda a, b: a != SPACE and b == SPACE))
+SPACE = "\u2581"
+SEND_UNITS = 4_000_000
 BLOCK_CHARS = 1 << 23
+PART_CHARS = 250_000
+
+
+@contextmanager
+def _gathered_in_memory(spark: SparkSession):
+    """While a bounded lattice is gathered: keep Spark's list aggregate on its hash map (by default it turns
+    to sorting after 128 groups, which would write every edge to disk)."""
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(10 * PART_CHARS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 @lru_cache(maxsize=4)
@@ -61,39 +73,64 @@ def pieces(path: str) -> list[tuple[int, str, float]]:
             if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))]
 
 
-def cuts(rows: list[tuple[int, str, float]]) -> str:
-    """Regex of the places that no piece of the model crosses."""
-    pairs = {ab for _, p, _ in rows for ab in zip(p, p[1:])}
-    return "|".join(regex for regex, crossed in CUTS if not any(crossed(*ab) for ab in pairs))
-
-
-def units(text: str | Column, cut: str) -> Column:
-    """The text's units, in order: joined they are the text with a blank in front, blanks as U+2581."""
-    c = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    marked = F.concat(F.lit(SPACE), F.translate(c, " ", SPACE))
-    whole = F.array_remove(F.split(marked, cut), "") if cut else F.array(marked)
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(whole)
+def unit_pattern(rows: list[tuple[int, str, float]]) -> str:
+    """Regex whose matches, one after the other, are a text's units.
 
-
-def lattice(distinct_units: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """Edges (unit, start, end, id, score) of every unit; id -1 is the unknown character's edge."""
+    A unit is blanks with a word or with other characters, blanks alone, a digit
+    with other characters, or a line break. If a piece crosses such a unit, units
+    are blanks with all up to the next blank; if one crosses those, whole texts.
+    """
+    odd = "".join(sorted({c for _, p, _ in rows for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
+    letter = rf"[^\W\d_{odd}]"  # numerals such as superscripts are no letters
+    other = rf"(?:(?!{letter})[^0-9\n{SPACE}])"
+    kind = lambda c: "L" if re.match(letter, c) else c if c in f"\n{SPACE}" else "D" if c in "0123456789" else "O"
+    within = {(SPACE, SPACE), (SPACE, "L"), (SPACE, "O"), ("L", "L"), ("O", "O"), ("D", "O")}
+    pairs = {ab for _, p, _ in rows for ab in zip(p, p[1:])}
+    if {(kind(a), kind(b)) for a, b in pairs} <= within:
+        return rf"{SPACE}*(?:{letter}+|{other}+)|{SPACE}+|[0-9]{other}*|\n"
+    return "(?s).+" if any(b == SPACE != a for a, b in pairs) else rf"{SPACE}*[^{SPACE}]+|{SPACE}+"
+
+
+def units(text: str | None, pattern: re.Pattern) -> list[str]:
+    """The text's units in order: joined they are the text with a blank in front, blanks as U+2581."""
+    return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def distinct_units(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
+    """(h, unit): every task's distinct units, then distinct over all; h is the unit's hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, seen = re.compile(pattern), set()
+        for batch in batches:
+            for t in batch.column("t"):
+                seen.update(units(t.as_py(), cut))
+                if len(seen) > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["unit"])
+                    seen = set()
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["unit"])
+    return docs.select(F.col(text_col).alias("t")).mapInArrow(run, "unit string").distinct() \
+        .select(F.xxhash64("unit").alias("h"), "unit")
+
+
+def lattice(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Edges (h, unit, start, end, id, score) of every unit; id -1 is the unknown character's edge."""
     rows = pieces(path)
     longest, low = max(len(p) for _, p, _ in rows), min(s for *_, s in rows)
     table = spark.createDataFrame(pa.table({"id": [r[0] for r in rows], "piece": [r[1] for r in rows],
                                             "score": [r[2] for r in rows]}))  # the model's pieces: a fixed number
     n = F.char_length("unit")
-    spans = distinct_units.select("unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
-        "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
+    spans = words.select("h", "unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
+        "h", "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
     sub = F.substring(F.col("unit"), F.col("start"), F.col("len"))
     edges = spans.withColumn("piece", sub).join(F.broadcast(table), "piece", "left")
     return edges.where("id IS NOT NULL OR len = 1").select(
-        "unit", (F.col("start") - 1).alias("start"), (F.col("start") + F.col("len") - 1).alias("end"),
+        "h", "unit", (F.col("start") - 1).alias("start"), (F.col("start") + F.col("len") - 1).alias("end"),
         F.coalesce("id", F.lit(-1)).cast("int").alias("id"), F.coalesce("score", F.lit(low - 10.0)).alias("score"))
 
 
 def best_paths(edges: DataFrame) -> DataFrame:
-    """(unit, score, path): the best path's (id, start, end) edges, folded from the lattice."""
-    grouped = edges.groupBy("unit").agg(F.collect_list(F.struct("end", "start", "id", "score")).alias("e")) \
+    """(h, unit, score, path): the best path's (id, start, end) edges, folded from the lattice."""
+    grouped = edges.groupBy("h", "unit").agg(F.collect_list(F.struct("end", "start", "id", "score")).alias("e")) \
         .withColumn("e", F.sort_array("e"))
     # places[p] = best (score, -start of the last edge, its id) over all ways to place p; edges come ordered by end
     first = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("back"), F.lit(-2).alias("id")))
@@ -107,7 +144,7 @@ def best_paths(edges: DataFrame) -> DataFrame:
         return F.when(new, F.concat(acc, F.array(way))) \
             .when(way > last, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(way))).otherwise(acc)
     kind = "array<struct<s:double,back:int,id:int>>"
-    places = grouped.select("unit", F.aggregate("e", first.cast(kind), fold).alias("p"))
+    places = grouped.select("h", "unit", F.aggregate("e", first.cast(kind), fold).alias("p"))
     # walk back: at each place from the last, take its edge if the path stands there
     start = F.struct((F.size("p") - 1).alias("at"), F.array().cast("array<struct<id:int,start:int,end:int>>").alias("path"))
     walk = F.aggregate(
@@ -117,11 +154,11 @@ def best_paths(edges: DataFrame) -> DataFrame:
             F.concat(acc["path"], F.array(F.struct(F.element_at(F.col("p"), i + 1)["id"].alias("id"),
                                                    (-F.element_at(F.col("p"), i + 1)["back"]).alias("start"),
                                                    i.alias("end")))).alias("path"))).otherwise(acc))
-    return places.select("unit", F.element_at("p", -1)["s"].alias("score"), F.reverse(walk["path"]).alias("path"))
+    return places.select("h", "unit", F.element_at("p", -1)["s"].alias("score"), F.reverse(walk["path"]).alias("path"))
 
 
-def encode_units(distinct_units: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """(unit, ids, score): unknown characters as their bytes' pieces."""
+def encode_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """(h, unit, ids, score): unknown characters as their bytes' pieces."""
     m = model(path)
     byte = F.array(*[F.lit(m.piece_to_id(f"<0x{b:02X}>")) for b in range(256)])
     char = lambda e: F.substring(F.col("unit"), e["start"] + 1, 1)
@@ -130,72 +167,108 @@ def encode_units(distinct_units: DataFrame, spark: SparkSession, path: str) -> D
     known = F.transform("path", lambda e: F.array(e["id"]))
     plain = F.flatten(known)
     spelled = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(raw(e))))
-    return best_paths(lattice(distinct_units, spark, path)).select(
-        "unit", F.when(F.exists("path", lambda e: e["id"] < 0), spelled).otherwise(plain).alias("ids"), "score")
+    return best_paths(lattice(words, spark, path)).select(
+        "h", "unit", F.when(F.exists("path", lambda e: e["id"] < 0), spelled).otherwise(plain).alias("ids"), "score")
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           send_units: int = SEND_UNITS) -> DataFrame:
-    """One row per document: ``ids`` (array) and ``score`` (sum of the pieces' scores)."""
-    spark = docs.sparkSession
-    cut = cuts(pieces(path))
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    words = own.select(F.explode(units("t", cut)).alias("unit")).distinct()
-    table = Stored(encode_units(words, spark, path), "pieces-of-units")
-    schema = "id long, ids array<int>, score double"
-    listed = own.select("id", units("t", cut).alias("units"))
-    if table.df.count() <= send_units:  # checked: a bounded table
-        sent = table.df.toArrow().combine_chunks()
-        ids = sent["ids"].combine_chunks() if len(sent) else pa.array([], pa.list_(pa.int32()))
-        unit = sent["unit"].combine_chunks() if len(sent) else pa.array([], pa.string())
-        held = spark.sparkContext.broadcast((unit, np.array(ids.offsets, np.int64) if len(ids) else np.zeros(1, np.int64),
-                                             np.array(ids.flatten(), np.int32), np.array(sent["score"], np.float64)))
+class Held:
+    """Units' ids by the units' hashes, compact enough to be sent to every task, behind a bounded memo."""
 
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield _assemble(batch.column("id"), batch.column("units"), *held.value)
-        out = listed.mapInArrow(look_up, schema)
-    else:
-        chars = docs.agg(F.coalesce(F.sum(F.char_length(text_col).cast("long")), F.lit(0))).first()[0]
-        blocks = max(1, chars // BLOCK_CHARS + 1)
-        block = F.pmod(F.xxhash64("id", "units"), F.lit(blocks)).alias("block")
-        placed = listed.select(block, "id", "units")
-        need = placed.select("block", F.explode("units").alias("unit")).distinct().join(table.df, "unit")
-        out = placed.groupBy("block").cogroup(need.groupBy("block")).applyInArrow(_assemble_block, schema)
-    return out.withColumnRenamed("id", id_col)
+    MOST = 150_000
 
+    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, ids: np.ndarray):
+        self.hashes, self.offsets, self.ids = hashes, offsets, ids  # sorted by hash
+        self.memo: dict[str, bytes] = {}
 
-def _assemble(doc: pa.Array, lists: pa.Array, unit: pa.Array, offsets: np.ndarray, ids: np.ndarray,
-              score: np.ndarray) -> pa.RecordBatch:
-    """Documents' ids from their units' ids: one lookup of the batch's distinct units, then gathers."""
-    coded = lists.flatten().dictionary_encode()
-    at = np.array(pc.index_in(coded.dictionary, value_set=unit), np.int64)[np.array(coded.indices, np.int64)] \
-        if len(coded) else np.zeros(0, np.int64)
-    lens = (offsets[1:] - offsets[:-1])[at]
-    ends = np.cumsum(lens)
-    flat = ids[np.repeat(offsets[:-1][at] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)]
-    edge = np.concatenate(([0], ends))
-    cut = np.array(lists.offsets, np.int64) - lists.offsets[0].as_py()
-    total = np.concatenate(([0.0], np.cumsum(score[at])))
-    return pa.RecordBatch.from_arrays(
-        [doc.cast(pa.int64()), pa.ListArray.from_arrays(pa.array(edge[cut].astype(np.int32)), pa.array(flat)),
-         pa.array(_sums(score[at], cut))], names=["id", "ids", "score"]) if len(total) else None
+    def learn(self, unit: str) -> None:
+        h = np.uint64(xxhash.xxh64_intdigest(unit.encode(), 42)).astype(np.int64)
+        i = int(np.searchsorted(self.hashes, h))
+        self.memo[unit] = self.ids[self.offsets[i]:self.offsets[i + 1]].tobytes()
 
+    def encode(self, parts: list[str]) -> bytes:
+        if len(self.memo) > self.MOST:
+            self.memo = {}
+        out = []
+        for i in range(0, len(parts), 1 << 16):
+            part = parts[i:i + (1 << 16)]
+            for u in {u for u in part if u not in self.memo}:
+                self.learn(u)
+            out.append(b"".join(map(self.memo.__getitem__, part)))
+        return b"".join(out)
+
+
+def _rows(docs: Iterator[tuple], encode_one) -> Iterator[pa.RecordBatch]:
+    """(id, ids) batches of a bounded number of ids."""
+    names, lists, held = [], [], 0
+
+    def close():
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))) // 4
+        flat = pa.array(np.frombuffer(b"".join(lists), np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(
+            pa.array(ends.astype(np.int32)), flat)], names=["id", "ids"])
+    for i, t in docs:
+        names.append(i)
+        lists.append(encode_one(t))
+        held += len(lists[-1])
+        if held > 1 << 22:
+            yield close()
+            names, lists, held = [], [], 0
+    if names:
+        yield close()
 
-def _sums(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
-    """Sum of values[cut[i]:cut[i + 1]], each added up on its own."""
-    out = np.zeros(len(cut) - 1)
-    full = np.flatnonzero(np.diff(cut))
-    if len(full):
-        out[full] = np.add.reduceat(values, cut[:-1][full])
-    return out
 
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+           send_units: int = SEND_UNITS) -> DataFrame:
+    """One row per document: its id and ``ids`` (array of int)."""
+    spark = docs.sparkSession
+    pattern = unit_pattern(pieces(path))
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    words = Stored(distinct_units(own, "t", pattern), "units")
+    chars = words.df.agg(F.coalesce(F.sum(F.char_length("unit")), F.lit(0))).first()[0]
+    parts = words.df.repartition(int(chars // PART_CHARS) + 1, "h")  # a task's lattice fits in its memory
+    with _gathered_in_memory(spark):
+        table = Stored(encode_units(parts, spark, path).select("h", "unit", "ids"), "coded-units").df
+    words.drop()
+    n, hashes = table.agg(F.count("*"), F.count_distinct("h")).first() if table.count() <= send_units else (send_units + 1, 0)
+    schema = "id long, ids array<int>"
+    if n == hashes:  # a bounded table, and no two units of one hash
+        sent = table.select("h", "ids").toArrow()
+        h = np.array(sent["h"], np.int64)
+        lists = sent["ids"].combine_chunks() if n else pa.array([], pa.list_(pa.int32()))
+        del sent
+        order = np.argsort(h, kind="stable")
+        begin, flat = np.array(lists.offsets, np.int64), np.array(lists.flatten(), np.int32)
+        lens = np.diff(begin)[order] if n else np.zeros(0, np.int64)
+        ends = np.concatenate(([0], np.cumsum(lens)))
+        flat = flat[np.repeat(begin[:-1][order] - ends[:-1], lens) + np.arange(ends[-1])] if n else flat
+        held = spark.sparkContext.broadcast((h[order], ends, flat))
 
-def _assemble_block(left: pa.Table, right: pa.Table) -> pa.Table:
-    ids = right["ids"].combine_chunks()
-    batch = _assemble(left["id"].combine_chunks(), left["units"].combine_chunks(), right["unit"].combine_chunks(),
-                      np.array(ids.offsets, np.int64), np.array(ids.flatten(), np.int32), np.array(right["score"], np.float64))
-    return pa.Table.from_batches([batch])
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cut, known = re.compile(pattern), Held(*held.value)
+            yield from _rows(((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column("id"), b.column("t"))),
+                             lambda t: known.encode(units(t, cut)))
+        out = own.mapInArrow(look_up, schema)
+    else:
+        chars = own.agg(F.coalesce(F.sum(F.char_length("t").cast("long")), F.lit(0))).first()[0]
+        placed = own.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(chars // BLOCK_CHARS + 1)))
+
+        def own_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cut = re.compile(pattern)
+            for b in batches:
+                pairs = sorted({(k.as_py(), u) for k, t in zip(b.column("block"), b.column("t"))
+                                for u in units(t.as_py(), cut)})
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in pairs], pa.int64()),
+                                                  pa.array([u for _, u in pairs], pa.string())], names=["block", "unit"])
+        need = placed.mapInArrow(own_units, "block long, unit string").distinct().join(table.drop("h"), "unit")
+
+        def block(left: pa.Table, right: pa.Table) -> pa.Table:
+            cut = re.compile(pattern)
+            ids = {u: array("i", x).tobytes() for u, x in zip(right["unit"].to_pylist(), right["ids"].to_pylist())}
+            docs_ = zip(left["id"].to_pylist(), left["t"].to_pylist())
+            out = list(_rows(docs_, lambda t: b"".join([ids[u] for u in units(t, cut)])))
+            return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))]))
+        out = placed.groupBy("block").cogroup(need.groupBy("block")).applyInArrow(block, schema)
+    return out.withColumnRenamed("id", id_col)
 
 
 def decode(ids: str | Column, path: str) -> Column:
@@ -215,12 +288,12 @@ def decode(ids: str | Column, path: str) -> Column:
 
 
 def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: n_tokens, score, ids_crc32 (ids as little-endian uint32) and the decoded text's crc32."""
+    """One row per document: n_tokens, ids_crc32 (ids as little-endian uint32) and the decoded text's crc32."""
     import zlib
 
     @F.arrow_udf("long")
     def crc(col: pa.Array) -> pa.Array:
         return pa.array([zlib.crc32(np.array(x.values, "<u4").tobytes()) for x in col], pa.int64())
-    coded = encode(docs, path, id_col, text_col)
-    return coded.select(id_col, F.size("ids").cast("long").alias("n_tokens"), "score", crc("ids").alias("ids_crc32"),
-                        F.crc32(F.encode(decode("ids", path), "UTF-8")).alias("decoded_crc32"))
+    return encode(docs, path, id_col, text_col).select(
+        id_col, F.size("ids").cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"),
+        F.crc32(F.encode(decode("ids", path), "UTF-8")).alias("decoded_crc32"))
