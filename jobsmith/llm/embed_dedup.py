@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +53,9 @@ class Caps:
         return turn, codes
 
 
-def plan(n: int, dim: int, floor: float = 0.9, group: float = 48.0, shared: float = 24.0, codes: int = 14) -> Caps:
-    """Code size and threshold for n vectors: random vectors fall into a filter ``group`` at a time, and
-    two vectors at cosine ``floor`` share ``shared`` filters on average, at every n."""
+def plan(n: int, dim: int, floor: float = 0.9, group: float = 48.0, shared: float = 1.7, recall: float = 0.97) -> Caps:
+    """Code size, threshold and number of codes for n vectors: random vectors fall into a filter ``group`` at
+    a time, and codes are added until a ``recall`` share of simulated pairs at cosine ``floor`` meet in one."""
     p = min(0.05, group / max(n, 1))
     lo, hi = 0.0, 12.0
     while hi - lo > 1e-6:
@@ -64,8 +64,21 @@ def plan(n: int, dim: int, floor: float = 0.9, group: float = 48.0, shared: floa
     z = np.linspace(lo, lo + 8, 4000)  # a filter's product beyond the threshold, given one vector's
     w = np.exp(-z * z / 2)
     both = np.array([upper_tail((lo - floor * a) / math.sqrt(1 - floor * floor)) for a in z])
-    filters = shared / codes / (p * float((w * both).sum() / w.sum()))
-    return Caps(dim, max(2, math.ceil(filters ** (1 / PARTS))), lo / math.sqrt(dim), codes)
+    filters = shared / (p * float((w * both).sum() / w.sum()))  # of one code: a pair shares ``shared`` on average
+    caps = Caps(dim, max(2, math.ceil(filters ** (1 / PARTS))), lo / math.sqrt(dim))
+    rng = np.random.default_rng(caps.seed)
+    x, y = rng.standard_normal((2, 400, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = floor * x + math.sqrt(1 - floor * floor) * y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
+    best = sum(d.max(axis=1) for d in _dots(x, caps, 0))  # in few dimensions no filter may come so near
+    caps = replace(caps, threshold=min(caps.threshold, float(np.quantile(best, 0.3))))
+    met = np.zeros(len(x), bool)
+    for which in range(1000):
+        met |= [len(np.intersect1d(a, b)) > 0 for a, b in zip(_decode(x, caps, which), _decode(y, caps, which))]
+        if met.mean() >= recall:
+            break
+    return replace(caps, codes=which + 1)
 
 
 def decode(x: np.ndarray, caps: Caps) -> list[np.ndarray]:
@@ -74,13 +87,18 @@ def decode(x: np.ndarray, caps: Caps) -> list[np.ndarray]:
     return [np.concatenate(parts) for parts in zip(*found)]
 
 
-def _decode(x: np.ndarray, caps: Caps, which: int) -> list[np.ndarray]:
+def _dots(x: np.ndarray, caps: Caps, which: int) -> list[np.ndarray]:
+    """Inner products with every block's code vectors."""
     turn, codes = caps.blocks(which)
     y, at, dots = x @ turn.T, 0, []
     for c, part in zip(codes, np.array_split(np.arange(caps.dim), PARTS)):
         dots.append(y[:, at:at + len(part)] @ c[:, :len(part)].T)
         at += len(part)
-    k = caps.code
+    return dots
+
+
+def _decode(x: np.ndarray, caps: Caps, which: int) -> list[np.ndarray]:
+    dots, k = _dots(x, caps, which), caps.code
     left = (dots[0][:, :, None] + dots[1][:, None, :]).reshape(len(x), -1)
     right = (dots[2][:, :, None] + dots[3][:, None, :]).reshape(len(x), -1)
     row, i = np.nonzero(left >= caps.threshold - right.max(axis=1, keepdims=True))  # halves that can still make it

@@ -133,13 +133,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                                                                   F.first("t").alias("t"))  # a copied text counts once
                     .select("id", "p", bins("t").alias("bins")), "toxicity-sample")
     n_p, n_u = sample.df.agg(F.count_if(F.col("p")), F.count_if(~F.col("p"))).first()
+    if not n_p or not n_u:  # nothing to tell apart
+        sample.drop()
+        return Model(-4.0, np.zeros(0, np.int64), np.zeros(0))
     # document shares of every gram: a among positives, b among unlabelled, q among clean text if a share
     # ``prior`` of the unlabelled is toxic; markers are far more common in a than in q
     seen = sample.df.select("p", F.explode("bins").alias("bin")).groupBy("bin") \
         .agg(F.count_if(F.col("p")).alias("a"), F.count_if(~F.col("p")).alias("b")).where("a >= 3")
-    a, b, pool = F.col("a") / n_p, F.col("b") / max(1, n_u), (F.col("a") + F.col("b")) / (n_p + n_u)
+    a, b, pool = F.col("a") / n_p, F.col("b") / n_u, (F.col("a") + F.col("b")) / (n_p + n_u)
     q = F.greatest(F.lit(0.0), b - prior * a) / (1 - prior)
-    z = (a - q) / F.sqrt(pool * (1 - pool) * (1 / n_p + 1 / max(1, n_u)) + 1e-12)
+    z = (a - q) / F.sqrt(pool * (1 - pool) * (1 / n_p + 1 / n_u) + 1e-12)
     odds = (F.col("a") + 0.5) / (n_p + 1) / ((q * n_u + 0.5) / (n_u + 1))
     share = seen.withColumn("s", z).where((z > 4) & (odds > 8))
     chosen = np.array(sorted(r.bin for r in share.orderBy(F.desc("s"), "bin").limit(n_grams).select("bin").collect()), np.int64)
