@@ -72,7 +72,7 @@ def plan(n: int, dim: int, floor: float = 0.9, group: float = 48.0, shared: floa
     y -= (x * y).sum(axis=1, keepdims=True) * x
     y = floor * x + math.sqrt(1 - floor * floor) * y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
     best = sum(d.max(axis=1) for d in _dots(x, caps, 0))  # in few dimensions no filter may come so near
-    caps = replace(caps, threshold=min(caps.threshold, float(np.quantile(best, 0.3))))
+    caps = replace(caps, threshold=min(caps.threshold, 0.95 * float(np.quantile(best, 0.95))))
     met = np.zeros(len(x), bool)
     for which in range(1000):
         met |= [len(np.intersect1d(a, b)) > 0 for a, b in zip(_decode(x, caps, which), _decode(y, caps, which))]
