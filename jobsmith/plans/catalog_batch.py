@@ -653,22 +653,33 @@ def text_classify_first_match(spark, sf):
     return out.select("doc_id", "role_type")
 
 
-@query("text_classify_word_match", f"SELECT doc_id, {O.seniority(DOC_HAY)} AS seniority_level FROM documents")
+# words that occur in these texts: the default rules' words hardly do
+DOC_LEVELS = [("Rude", ["idiot", "stupid", "moron"]), ("French", ["les", "des"]), ("German", ["der", "und"]),
+              ("Spanish", ["los", "el"]), ("Thing", ["thing"])]
+
+
+@query("text_classify_word_match", f"SELECT doc_id, {O.seniority(DOC_HAY, DOC_LEVELS)} AS seniority_level FROM documents")
 def text_classify_word_match(spark, sf):
-    out = with_enrichment(doc_frame(spark, sf), "title", "description", outputs=("seniority_level",))
+    out = with_enrichment(doc_frame(spark, sf), "title", "description", outputs=("seniority_level",),
+                          seniority_rules=DOC_LEVELS)
     return out.select("doc_id", "seniority_level")
 
 
 CONV_HAY = O.hay(O.nws("role"), O.nws("text"))
 
 
-@query("text_enrich", f"""SELECT conv_id, turn, to_json({O.skills(CONV_HAY, None)})::VARCHAR AS skills,
-  {O.role(CONV_HAY)} AS role_type, {O.seniority(CONV_HAY)} AS seniority_level FROM conversations""")
+TURN_SKILLS = ["thing", "that", "by", "von", "the of", "los"]
+TURN_ROLES = [("Longing", ["thth", "inging"]), ("Ending", ["ction", "ention"]), ("Other tongue", ["ung ", "eau"])]
+
+
+@query("text_enrich", f"""SELECT conv_id, turn, to_json({O.skills(CONV_HAY, TURN_SKILLS)})::VARCHAR AS skills,
+  {O.role(CONV_HAY, TURN_ROLES)} AS role_type, {O.seniority(CONV_HAY, DOC_LEVELS)} AS seniority_level FROM conversations""")
 def text_enrich(spark, sf):
-    """All three rule tables (default rules) on conversation turns."""
+    """All three rule tables on conversation turns, with rules that occur there."""
     c = read_spread(spark, sf, "conversations", "conv_id").select("conv_id", "turn", normalize_ws("role").alias("title"),
                                                 normalize_ws("text").alias("description"))
-    out = with_enrichment(c, "title", "description")
+    out = with_enrichment(c, "title", "description", keywords=TURN_SKILLS, role_rules=TURN_ROLES,
+                          seniority_rules=DOC_LEVELS)
     return out.select("conv_id", "turn", jtxt("skills_extracted", "skills"), "role_type", "seniority_level")
 
 

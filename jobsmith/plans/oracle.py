@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from jobsmith import rules as R
 from jobsmith.functions.dates import ISO_CORE
-from jobsmith.functions.text import WS_CLASS_RE2, word_pattern
+from jobsmith.functions.text import WS_CLASS_RE2
 from jobsmith.plans.adapters import DOC_KEYWORDS, FIXED_CLOCK, REMOTE_TEXT
 
 
@@ -33,9 +33,15 @@ def truthy(e: str) -> str:
             f"ELSE trim({e}) <> '' END")
 
 
+def whole_word(needles: list[str]) -> str:
+    """RE2 pattern of whole words, written apart from the library's: no letter, digit or underscore on either side."""
+    edge = r"[^\p{L}\p{N}_]"
+    return f"(^|{edge})({'|'.join(n.lower().replace('.', '[.]') for n in needles)})({edge}|$)"
+
+
 def skills(hay: str, keywords: list[str] | None) -> str:
     kws = sorted({k.lower() for k in (R.SKILL_KEYWORDS if keywords is None else keywords)})
-    items = ", ".join(f"CASE WHEN regexp_matches({hay}, {q(word_pattern([k], 're2'))}) THEN {q(k)} END"
+    items = ", ".join(f"CASE WHEN regexp_matches({hay}, {q(whole_word([k]))}) THEN {q(k)} END"
                       for k in kws)
     return f"list_sort(list_filter([{items}], lambda x: x IS NOT NULL))"
 
@@ -51,7 +57,7 @@ def role(hay: str, rules=None, default: str = R.ROLE_DEFAULT) -> str:
 def seniority(hay: str, rules=None, default: str = R.SENIORITY_DEFAULT) -> str:
     parts = []
     for label, needles in (R.SENIORITY_RULES if rules is None else rules):
-        parts.append(f"WHEN regexp_matches({hay}, {q(word_pattern([n.lower() for n in needles], 're2'))}) "
+        parts.append(f"WHEN regexp_matches({hay}, {q(whole_word(needles))}) "
                      f"THEN {q(label)}")
     return "CASE " + " ".join(parts) + f" ELSE {q(default)} END"
 
