@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -56,6 +57,7 @@ class Lsh:
     min_words: int = 8
     seed: int = 11
 
+    @lru_cache(maxsize=10_000)  # noqa: B019 - frozen, and asked for again for every chunk of text
     def positions(self, walk: int, n: int) -> np.ndarray:
         """Sampled steps of a walk over n words, a row a key; the last third of the 3n steps is
         left out, where most walks are past the end and all write the same."""
@@ -191,9 +193,10 @@ class Index:
         pairs = set()
         for which, key in self._keys(ids, starts, n):
             table, order = self.keys[n, which]
-            lo, hi = np.searchsorted(table, key, "left"), np.searchsorted(table, key, "right")
-            for s in np.flatnonzero(hi > lo).tolist():
-                pairs.update((int(starts[s]), int(order[t])) for t in range(lo[s], hi[s]))
+            lo = np.searchsorted(table, key, "left")
+            hits = np.flatnonzero(table[np.minimum(lo, len(table) - 1)] == key)
+            for s, hi in zip(hits.tolist(), np.searchsorted(table, key[hits], "right").tolist()):
+                pairs.update((int(starts[s]), int(order[t])) for t in range(lo[s], hi))
         return sorted(pairs)
 
 
