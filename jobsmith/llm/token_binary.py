@@ -135,8 +135,10 @@ class Encoder:
 
     A pre-token of this tokenizer never spans a blank, so a text's ids are its
     words' ids joined; trailing ASCII punctuation but the apostrophe is split off
-    by the same argument. Words of Latin-1 letters are one pre-token and
-    go straight to the library's BPE model, all others through its whole encoder.
+    where the library itself starts a pre-token there (after a letter or digit; a
+    symbol, mark or apostrophe before it is one pre-token with it). Words of Latin-1
+    letters are one pre-token and go straight to the library's BPE model, all others
+    through its whole encoder.
     The memo keeps two generations of words, so its size is bounded.
     """
 
@@ -184,7 +186,7 @@ class Encoder:
             ids = self.old.get(word)
             if ids is None:
                 stem = word.rstrip(self.PUNCTUATION)
-                if len(stem) == len(word):
+                if len(stem) == len(word) or stem and not self.parts(stem.decode("utf-8", "replace")[-1]):
                     ids = self.letters(word.decode("utf-8", "surrogatepass"))
                 else:
                     ids = (self.learn(stem) if stem else b"") + self.library(word[len(stem):].decode())
@@ -197,6 +199,12 @@ class Encoder:
             return array("I", [t.id for t in self.whole.model.tokenize(shown)]).tobytes()
         return self.library(word.encode("utf-8", "replace").decode())
 
+    @lru_cache(maxsize=10_000)  # noqa: B019 - one encoder a worker; last characters repeat
+    def parts(self, char: str) -> bool:
+        """Punctuation after the character is a pre-token of its own, also when it is normalised to several."""
+        shown = self.whole.pre_tokenizer.pre_tokenize_str(self.whole.normalizer.normalize_str(char + "."))
+        return len(shown) > 1 and shown[-1][0] == "."
+
     @lru_cache(maxsize=10_000)  # noqa: B019 - one encoder a worker; punctuation repeats
     def library(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()

@@ -119,6 +119,18 @@ def test_token_digest_equals_library(spark):
     assert token_binary.token_digest(docs(spark, []), path).count() == 0
 
 
+def test_token_encoder_equals_library_where_punctuation_meets_symbols_and_marks():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, ours = Tokenizer.from_file(path), token_binary.Encoder(path)
+    texts = ["dogs', and", "the dogs'.", "20°: x", "“no”.", "e\u0301\u0323. İ. \u0958! ½, ²; x\u2003. 'S. O'R, ﬁ."]
+    rng = random.Random(13)
+    alphabet = "aZsé9.,!'\"“”°€½²İΣ你\u0958\u0301\u0338\u1161\u11a8ᄀ🙂\u200d\u00a0\u2003\u0085 \n-<"
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 25))) for _ in range(20_000)]
+    for t in texts:
+        assert ours.text(t).tolist() == library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 def plain_simhash(text, k=3):
     lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     ws = re.findall(r"[^\x20\x09-\x0D]+", lower)
