@@ -6,11 +6,13 @@ the mean over its words of  log p_target - log p_background  (its background los
 less its target loss per word): the higher, the more it reads like the target.
 
 Counts come from every document of both corpora. The shared vocabulary holds the
-words that at least ``min_share`` of either corpus' documents have, all others
-are one unknown word; bigrams are cut off by the same share. The cut-offs are
-relative, so the model's size is bounded by the mean number of distinct words
-(bigrams) a document has over ``min_share``, however many documents there are,
-and it can be sent to every task; the counts behind it are shuffled as they grow.
+words that at least ``min_docs`` documents of either corpus have, all others are
+one unknown word; bigrams are cut off by the same number (one with an unknown word
+counts a document once for each different pair of words behind it). The cut-off is
+the same however large the corpora are, so the model grows with them: it stays in
+Spark tables, and documents are scored by joining their bigrams to it. Words are
+told apart by 64-bit hashes there. ``min_share`` (0: none) asks for a share of the
+documents on top. ``train`` gathers the same model on the driver, for small corpora.
 
     p(w | v) = L c(vw) / c(v)  +  (1 - L K(v)) p(w),    K(v): kept bigrams' share of c(v)
     p(w)     = (c(w) + 1) / (N + V)
@@ -28,10 +30,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsmith.llm.common import Stored, words
+from jobsmith.llm.common import Stored, union_all, words
 
 LAMBDA = 0.6
 
@@ -122,7 +126,9 @@ def _bigram_counts(docs: DataFrame, text_col: str, sent) -> DataFrame:
                 if len(w):
                     key = np.concatenate(([size - 1], w[:-1])) * size + w
                     keys.append(key)
-                    first.append(np.unique(key))
+                    ws = words(t.as_py())
+                    once = dict(zip(zip([None, *ws], ws), key.tolist()))  # a document's different pairs of words
+                    first.append(np.array(list(once.values()), np.int64))
                     held += len(key)
                     if held > 1 << 22:
                         yield flush()
@@ -133,9 +139,9 @@ def _bigram_counts(docs: DataFrame, text_col: str, sent) -> DataFrame:
         .groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
-def train(target: DataFrame, background: DataFrame, text_col: str = "text", min_share: float = 5e-4,
+def train(target: DataFrame, background: DataFrame, text_col: str = "text", min_share: float = 0.0,
           min_docs: int = 2) -> Models:
-    """Both models, from all texts of both corpora."""
+    """Both models, from all texts of both corpora, on the driver: for small corpora."""
     spark = background.sparkSession
     corpora = (target, background)
     tables = [Stored(_word_counts(c, text_col), "lm-words") for c in corpora]
@@ -184,7 +190,7 @@ def _common(both: DataFrame, sizes: list[int], min_share: float, min_docs: int)
 
 def score(text: str | Column, models: Models, spark) -> Column:
     """Struct column: ``n_words`` and both losses per word; their difference is the score."""
-    sent = spark.sparkContext.broadcast(models)  # bounded by the relative cut-offs
+    sent = spark.sparkContext.broadcast(models)
 
     @F.arrow_udf("struct<n_words:long,target:double,background:double>")
     def run(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -196,10 +202,108 @@ def score(text: str | Column, models: Models, spark) -> Column:
     return run(text)
 
 
+START, UNKNOWN = 0, 1   # in place of word hashes
+
+
+def _pair_rows(docs: DataFrame, text_col: str, id_col: str | None = None) -> DataFrame:
+    """(row, id, v, w, n): the bigrams of every document as word hashes, and one row without any that has its id."""
+    id_type = docs.schema[id_col].dataType.simpleString() if id_col else "long"
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, known = TaskContext.get().partitionId() << 40, {}
+        for batch in batches:
+            ids, texts = batch.column("id"), batch.column("t")
+            for lo in range(0, len(texts), 256):
+                rows, v, w, n = [], [], [], []
+                for t in texts.slice(lo, 256):
+                    ws = words(t.as_py())
+                    if len(known) > 200_000:
+                        known = {}
+                    for x in ws:
+                        if x not in known:
+                            known[x] = xxhash.xxh64_intdigest(x.decode("utf-8", "replace").encode(), 42)
+                    h = np.fromiter(map(known.get, ws), np.uint64, len(ws)).view(np.int64)
+                    u, at = np.unique(h, return_inverse=True)
+                    before = np.concatenate(([len(u)], at[:-1])) if len(h) else at
+                    key, count = np.unique(before * (len(u) + 1) + at, return_counts=True)
+                    u = np.append(u, START)
+                    v.append(u[key // len(u)])
+                    w.append(u[key % len(u)])
+                    n.append(count)
+                    rows.append(np.full(len(key), row, np.int64))
+                    row += 1
+                rows, v, w, n = (np.concatenate(x).astype(np.int64) for x in (rows, v, w, n))
+                part = ids.slice(lo, 256)
+                mine, none = pa.array(np.arange(row - len(part), row)), pa.nulls(len(part), pa.int64())
+                names = ["row", "id", "v", "w", "n"]
+                yield pa.RecordBatch.from_arrays([mine, part, none, none, none], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.nulls(len(rows), part.type), pa.array(v), pa.array(w),
+                                                  pa.array(n)], names=names)
+    return docs.select((F.col(id_col) if id_col else F.lit(None).cast("long")).alias("id"), F.col(text_col).alias("t")) \
+        .mapInArrow(pairs, f"row long, id {id_type}, v long, w long, n long")
+
+
+def _word_table(target: DataFrame, background: DataFrame, text_col: str, sizes: list[int], min_share: float,
+                min_docs: int) -> tuple[Stored, list[int]]:
+    """Known words (h, t, b: both corpora's counts), and the words of each corpus."""
+    tables = [Stored(_word_counts(c, text_col), "lm-words") for c in (target, background)]
+    both = tables[0].df.select("word", F.col("docs").alias("dt"), F.col("n").alias("t")).join(
+        tables[1].df.select("word", F.col("docs").alias("db"), F.col("n").alias("b")), "word", "full_outer").fillna(0)
+    kept = Stored(_common(both, sizes, min_share, min_docs).select(F.xxhash64("word").alias("h"), "t", "b"), "lm-known")
+    totals = [t.df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for t in tables]
+    for t in tables:
+        t.drop()
+    return kept, totals
+
+
+def _pair_table(frames: list[tuple[DataFrame, str]], known: DataFrame, totals: list[int], sizes: list[int],
+                min_share: float, min_docs: int) -> DataFrame:
+    """(v, w, lt, lb): log p of both models for every bigram of the frames; the frames' roles hold t, b or neither."""
+    zero = F.lit(0).cast("long")
+    counted = union_all([f.where("n IS NOT NULL").select("v", "w", *[
+        x.alias(c + k) for c in "tb" for k, x in (("", F.col("n") if c in role else zero),
+                                                    ("d", F.lit(1).cast("long") if c in role else zero))])
+        for f, role in frames])
+    raw = counted.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in ("t", "td", "b", "bd")])
+    n_known, kt, kb = known.agg(F.count("*"), F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    size, rest = n_known + 2, (totals[0] - kt, totals[1] - kb)
+    mapped = Stored(
+        raw.join(known.select(F.col("h").alias("v"), F.lit(True).alias("v_known")), "v", "left")
+        .join(known.select(F.col("h").alias("w"), F.col("t").alias("wt"), F.col("b").alias("wb")), "w", "left")
+        .withColumn("mv", F.when((F.col("v") == START) | F.col("v_known"), F.col("v")).otherwise(UNKNOWN))
+        .withColumn("mw", F.when(F.col("wt").isNotNull(), F.col("w")).otherwise(UNKNOWN))
+        .withColumns({f"s{c}": F.log((F.coalesce(f"w{c}", F.lit(rest[i])) + 1) / (totals[i] + size))
+                      for i, c in enumerate("tb")}).drop("v_known", "wt", "wb"), "lm-pairs")
+    model = Stored(mapped.df.groupBy("mv", "mw").agg(*[F.sum(c).alias(c) for c in ("t", "b")], F.sum("td").alias("dt"),
+                                                     F.sum("bd").alias("db")), "lm-bigrams")
+    after = model.df.groupBy("mv").agg(*[F.greatest(F.sum(c), F.lit(1)).alias(f"a{c}") for c in "tb"])
+    kept = Stored(_common(model.df, sizes, min_share, min_docs).join(after, "mv")
+                  .select("mv", "mw", *[(F.col(c) / F.col(f"a{c}")).alias(f"k{c}") for c in "tb"]), "lm-kept")
+    back = kept.df.groupBy("mv").agg(*[F.log(1 - LAMBDA * F.least(F.sum(f"k{c}"), F.lit(1.0))).alias(f"back{c}") for c in "tb"])
+    found = mapped.df.join(kept.df, ["mv", "mw"], "left").join(back, "mv", "left")
+
+    def logp(c: str) -> Column:
+        plain = F.coalesce(f"back{c}", F.lit(0.0)) + F.col(f"s{c}")
+        return F.when(F.col(f"k{c}").isNull(), plain).otherwise(F.log(LAMBDA * F.col(f"k{c}") + F.exp(plain)))
+    return found.select("v", "w", logp("t").alias("lt"), logp("b").alias("lb"))
+
+
 def cross_entropy_difference(docs: DataFrame, target: DataFrame, background: DataFrame, id_col: str = "doc_id",
-                             text_col: str = "text", min_share: float = 5e-4, min_docs: int = 2) -> DataFrame:
+                             text_col: str = "text", min_share: float = 0.0, min_docs: int = 2) -> DataFrame:
     """One row per document: n_words, both losses in nats per word, and the score."""
-    models = train(target, background, text_col, min_share, min_docs)
-    return docs.select(F.col(id_col), score(F.col(text_col), models, docs.sparkSession).alias("s")).select(
-        id_col, F.col("s.n_words").alias("n_words"), F.col("s.target").alias("target_loss"),
-        F.col("s.background").alias("background_loss"), (F.col("s.background") - F.col("s.target")).alias("score"))
+    sizes = [max(1, c.count()) for c in (target, background)]
+    known, totals = _word_table(target, background, text_col, sizes, min_share, min_docs)
+    mine = Stored(_pair_rows(docs, text_col, id_col), "lm-rows").df
+    frames = [(mine, "b" if background is docs else ""), (Stored(_pair_rows(target, text_col), "lm-rows").df, "t")]
+    if background is not docs:
+        frames.append((Stored(_pair_rows(background, text_col), "lm-rows").df, "b"))
+    logs = Stored(_pair_table(frames, known.df, totals, sizes, min_share, min_docs), "lm-logs").df
+    sums = mine.where("n IS NOT NULL").select("row", "v", "w", "n").join(logs, ["v", "w"]) \
+        .select("row", "n", (F.col("n") * F.col("lt")).alias("t"), (F.col("n") * F.col("lb")).alias("b"))
+    none = mine.where("n IS NULL").select("row", F.col("id").alias(id_col), F.lit(0).cast("long").alias("n"),
+                                          F.lit(0.0).alias("t"), F.lit(0.0).alias("b"))
+    per = none.unionByName(sums, allowMissingColumns=True).groupBy("row").agg(
+        F.max(id_col).alias(id_col), *[F.sum(c).alias(c) for c in ("n", "t", "b")])
+    loss = lambda c: -F.col(c) / F.greatest(F.col("n"), F.lit(1))
+    return per.select(id_col, F.col("n").alias("n_words"), loss("t").alias("target_loss"), loss("b").alias("background_loss"),
+                      (loss("b") - loss("t")).alias("score"))

@@ -283,6 +283,24 @@ def test_lm_models_equal_brute_force(spark):
     assert [r["score"] for r in empty] == [0, 0]
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_lm_tables_equal_driver_model_with_the_same_cut_at_every_size(spark, same):
+    rng = random.Random(14)
+    draw = lambda ws, i: " ".join(rng.choice(ws + [f"pair{i // 2}", f"one{i}"]) for _ in range(rng.randrange(1, 20)))
+    back = [draw(["a", "b", "c", "d"], i) for i in range(9000)] + [None, "", "seldom word"] + ["seldom word"]
+    target, texts = back[:300], ["nowhere seldom word a", "pair3 pair3 one7 never never", None, ""]
+    background = docs(spark, back)
+    scored = background if same else docs(spark, texts)
+    models = lm_score.train(docs(spark, target), background)
+    assert b"seldom" in models.vocabulary    # two documents of 9,004
+    got = by_id(lm_score.cross_entropy_difference(scored, docs(spark, target), background), "doc_id", "n_words",
+                "target_loss", "background_loss")
+    assert [r[0] for r in got] == list(range(len(back if same else texts)))
+    for (_, n, t, b), text in zip(got, back if same else texts):
+        m, mt, mb = models.losses(text)
+        assert n == m and abs(t * max(n, 1) - mt) < 1e-6 and abs(b * max(n, 1) - mb) < 1e-6, text
+
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
