@@ -8,7 +8,7 @@ length. To find such windows:
    writes the word under it and moves on by a random bit that depends on the
    step and the word. Windows a few edits apart write mostly the same words, so
    edit distance becomes Hamming distance.
-2. Bit-sampling LSH: each of ``walks`` walks is sampled at ``keys`` random sets of
+2. Bit-sampling LSH: each of the length's walks is sampled at ``keys`` random sets of
    ``sample`` positions; windows and items that agree on a set are candidates.
 3. Candidates are verified by exact edit distance.
 
@@ -47,22 +47,56 @@ RARE_SHARE = 0.02
 
 @dataclass(frozen=True)
 class Lsh:
-    """Search parameters: ``walks`` x ``keys`` position sets of ``sample`` positions each. With
-    the defaults a window at the largest distance is found with probability 0.9 or more
-    (measured in the tests; an exact passage always)."""
+    """Search parameters: at least ``walks`` x ``keys`` position sets of ``sample`` positions each. Longer
+    items lose more walks to edits: each length gets so many that a ``recall`` share of simulated windows at
+    the largest distance is found (the tests ask for 0.9 at that distance; an exact passage always)."""
     max_edits: float = 0.2
     walks: int = 4
     keys: int = 8
     sample: int = 4
     min_words: int = 8
     seed: int = 11
+    recall: float = 0.95
+    most_walks: int = 48
 
     @lru_cache(maxsize=10_000)  # noqa: B019 - frozen, and asked for again for every chunk of text
-    def positions(self, walk: int, n: int) -> np.ndarray:
+    def positions(self, walk: int, n: int, sample: int) -> np.ndarray:
         """Sampled steps of a walk over n words, a row a key; the last third of the 3n steps is
         left out, where most walks are past the end and all write the same."""
         rng = np.random.default_rng((self.seed, walk, n))
-        return np.array([rng.choice(2 * n, min(self.sample, 2 * n), replace=False) for _ in range(self.keys)])
+        return np.array([rng.choice(2 * n, min(sample, 2 * n), replace=False) for _ in range(self.keys)])
+
+    def plan(self, n: int) -> tuple[int, int]:
+        """(walks, sample) for items of n words, simulated for the next multiple of 4 (longer is harder)."""
+        return self._plan(-(-n // 4) * 4)
+
+    @lru_cache(maxsize=10_000)  # noqa: B019 - frozen, asked for once a length
+    def _plan(self, n: int) -> tuple[int, int]:
+        most, trials, other = int(self.max_edits * n), 400, 1000
+        rng = np.random.default_rng((self.seed, n))
+        x, y = [], []
+        while len(x) < trials:
+            a = rng.integers(1, other, n).tolist()
+            b, pairs = list(a), min(most // 2, int(rng.binomial(most, 1 / 3)))
+            for kind in rng.permutation([0] * (most - 2 * pairs) + [1, 2] * pairs).tolist():
+                p = int(rng.integers(len(b)))
+                b[p:p + 1] = [[other], [], [other, b[p]]][kind]  # replace, leave out, put in
+            if edit_distance(a, b, n) == most:
+                x.append(a)
+                y.append(b)
+        ids = np.array([*np.ravel(x), 0, *np.ravel(y), *[0] * (n + 1)], np.int32)
+        starts = np.arange(trials) * n
+        for sample in range(self.sample, 0, -1):
+            met = np.zeros(trials, bool)
+            for walk in range(self.most_walks):
+                bits = rng.integers(0, 1 << 63, (other + 1, n * 2 // 64 + 1), np.uint64, endpoint=True)
+                bits |= rng.integers(0, 2, bits.shape, np.uint64) << np.uint64(63)
+                at = self.positions(walk, n, sample)
+                same = np.equal(*(cgk(ids, s, n, bits, at.ravel()) for s in (starts, starts + trials * n + 1)))
+                met |= same.reshape(*at.shape, trials).all(axis=1).any(axis=0)
+                if walk + 1 >= self.walks and met.mean() >= self.recall:
+                    return walk + 1, sample
+        raise ValueError(f"no search of {self.most_walks} walks finds items of {n} words within {most} edits")
 
 
 def cgk(ids: np.ndarray, starts: np.ndarray, n: int, bits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -106,7 +140,7 @@ def edit_distance(a: list[int], b: list[int], most: int) -> int:
 class Index:
     """One block of items: vocabulary, rare words, and per length the items' keys."""
 
-    def __init__(self, items: list[tuple[int, str]], lsh: Lsh):
+    def __init__(self, items: list[tuple[int, str]], lsh: Lsh, plans: dict[int, tuple[int, int]] | None = None):
         self.lsh, self.vocabulary = lsh, {}
         by_length: dict[int, list[tuple[int, list[int]]]] = {}
         for item, text in items:
@@ -121,8 +155,9 @@ class Index:
         self.rare = (held <= max(2, RARE_SHARE * held.max(initial=0), RARE_SHARE * len(items))) & (held > 0)
         longest = max(by_length, default=0)
         self.gap = int(lsh.max_edits * longest) + 1  # unknown words between texts, more than any window may hold
+        self.plans = {n: plans[n] if plans else lsh.plan(n) for n in by_length}
         rng = np.random.default_rng(lsh.seed)
-        self.bits = rng.integers(0, 1 << 63, (lsh.walks, len(held), longest * 2 // 64 + 1), np.uint64, endpoint=True)
+        self.bits = rng.integers(0, 1 << 63, (max((w for w, _ in self.plans.values()), default=0), len(held), longest * 2 // 64 + 1), np.uint64, endpoint=True)
         self.bits |= rng.integers(0, 2, self.bits.shape, np.uint64) << np.uint64(63)
         self.mixers = rng.integers(1 << 62, 1 << 63, lsh.sample, np.uint64) | np.uint64(1)  # key: a sum of products
         self.items, self.needs, self.keys = {}, {}, {}
@@ -138,8 +173,9 @@ class Index:
     def _keys(self, ids: np.ndarray, starts: np.ndarray, n: int) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
         """((walk, set), 64-bit key per window)."""
         with np.errstate(over="ignore"):
-            for walk in range(self.lsh.walks):
-                at = self.lsh.positions(walk, n)
+            walks, sample = self.plans[n]
+            for walk in range(walks):
+                at = self.lsh.positions(walk, n, sample)
                 steps, where = np.unique(at, return_inverse=True)
                 seen = cgk(ids, starts, n, self.bits[walk], steps).astype(np.uint64)
                 for k, rows in enumerate(where.reshape(at.shape)):
@@ -209,7 +245,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark, lsh = docs.sparkSession, lsh or Lsh()
     frames = []
     for block in _blocks(items.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))):
-        find = _finder(spark.sparkContext.broadcast(block), lsh)  # at most BLOCK items
+        lengths = {len(words(t)) for _, t in block}
+        plans = {n: lsh.plan(n) for n in lengths if n >= lsh.min_words}
+        find = _finder(spark.sparkContext.broadcast(block), lsh, plans)  # at most BLOCK items
         frames.append(docs.select(F.col(id_col).alias("d"), F.explode(find(F.col(text_col))).alias("x")).select(
             F.col("d").alias(id_col), F.col("x.item").alias(item_col), F.col("x.first").alias("first_word"),
             F.col("x.words").alias("n_words"), F.col("x.distance").alias("distance"),
@@ -219,14 +257,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     return union_all(frames) if frames else empty
 
 
-def _finder(sent, lsh: Lsh):
+def _finder(sent, lsh: Lsh, plans: dict[int, tuple[int, int]]):
     """UDF: leaks of the sent items in each text. A worker builds the index once a task."""
     kind = pa.list_(pa.struct([("item", pa.int64()), ("first", pa.int64()), ("words", pa.int32()),
                                ("distance", pa.int32())]))
 
     @F.arrow_udf(LEAK)
     def find(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Index(sent.value, lsh)
+        index = Index(sent.value, lsh, plans)
         for col in cols:
             yield pa.array([[dict(zip(("item", "first", "words", "distance"), x)) for x in found]
                             for found in index.search(col.to_pylist())], kind)

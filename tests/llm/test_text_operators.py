@@ -248,6 +248,24 @@ def test_leaks_are_found_and_exact(spark):
     assert decontaminate.leaks(docs(spark, texts), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [15, 30, 45, 59, 64, 100])
+def test_leaks_at_the_largest_distance_are_found(n):
+    rng = random.Random(n)
+    items, most, texts = passages(rng, 300, n), int(0.2 * n), []
+    for item in items:
+        while True:
+            leak, pairs = list(item), rng.randrange(most // 2 + 1)
+            for kind in rng.sample([0] * (most - 2 * pairs) + [1, 2] * pairs, most):
+                p = rng.randrange(len(leak))
+                leak[p:p + 1] = [["new"], [], [leak[p], "ins"]][kind]
+            if decontaminate.edit_distance(item, leak, n) == most:
+                break
+        texts.append(" ".join(["zz"] * 40 + leak + ["yy"] * 40))
+    index = decontaminate.Index([(i, " ".join(x)) for i, x in enumerate(items)], decontaminate.Lsh())
+    found = index.search(texts)
+    assert np.mean([i in {f[0] for f in x} for i, x in enumerate(found)]) >= 0.9
+
+
 def test_lm_models_equal_brute_force(spark):
     rng = random.Random(10)
     draw = lambda ws: " ".join(rng.choice(ws) for _ in range(rng.randrange(1, 30)))
