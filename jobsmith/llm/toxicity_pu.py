@@ -13,8 +13,8 @@ classifier is a sparse linear model in numpy over presence of hashed byte
 Training reads a bounded sample (``max_positive``, ``max_unlabelled``); gram
 counts of the sample are summed by Spark and only ``n_grams`` grams reach the
 driver. Scores cover whole texts of every row. Null and empty texts have the
-intercept's score; without a learnable positive every score is the prior's
-logistic floor (all zero weights); repeated rows score alike; other columns pass
+intercept's score; without a learnable positive, or with too few for any gram to
+stand out, every score is the prior's logistic floor (all zero weights); repeated rows score alike; other columns pass
 through untouched.
 """
 
@@ -146,6 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = (F.col("a") + 0.5) / (n_p + 1) / ((q * n_u + 0.5) / (n_u + 1))
     share = seen.withColumn("s", z).where((z > 4) & (odds > 8))
     chosen = np.array(sorted(r.bin for r in share.orderBy(F.desc("s"), "bin").limit(n_grams).select("bin").collect()), np.int64)
+    if not len(chosen):  # no gram tells them apart
+        sample.drop()
+        return Model(-4.0, np.zeros(0, np.int64), np.zeros(0))
     table = spark.sparkContext.broadcast(chosen)
 
     @F.arrow_udf("array<int>")

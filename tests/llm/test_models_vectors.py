@@ -93,6 +93,15 @@ def test_pu_held_out(spark, labelled):
     assert all(r[0] < 0.7 for r in d.select(toxicity_pu.score("text", untaught)).collect())
 
 
+@pytest.mark.parametrize("n", [1, 2])
+def test_pu_with_few_toxic_labels(spark, labelled, n):
+    d, labels = labelled
+    few = labels.where("toxic = 1 AND doc_id < 600").where(learnable("doc_id")).orderBy("doc_id").limit(n)
+    model = toxicity_pu.train(d, few.unionByName(labels.where("toxic = 0")))
+    scores = [r[0] for r in d.select(toxicity_pu.score("text", model)).collect()]
+    assert len(scores) == 603 and len(set(scores)) == 1 and scores[0] < 0.7
+
+
 def test_pu_risk_never_steps_on_negative_unlabelled_risk():
     """With a prior far too high the corrected term goes negative; training must not push it down further."""
     rng = np.random.default_rng(3)
