@@ -29,17 +29,28 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(toxicity_pu.score(F.col("text"), model) < 0.7)
 
 
+ROW = "pipeline row key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, stored with them: ids may be null or repeated."""
+    return Stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows").df
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates: the one with the smallest id."""
-    ids = simhash.near_duplicates(docs, shingle=3, max_bits=2, seed=42)
-    keep = ids.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    """One row of each group of SimHash near-duplicates: the one with the smallest id (null ids last)."""
+    keyed = _keyed(docs)
+    groups = simhash.near_duplicates(keyed, id_col=ROW, shingle=3, max_bits=2, seed=42).select(ROW, "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(ROW).alias("row")))
+    keep = keyed.select(ROW, "doc_id").join(groups, ROW).groupBy("component_id").agg(first.alias("x"))
+    return keyed.join(keep.select(F.col("x.row").alias(ROW)), ROW, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage within the edit distance of a benchmark item."""
-    leaks = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+    keyed = _keyed(docs)
+    leaks = decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=ROW)
+    return keyed.join(leaks.select(ROW).distinct(), ROW, "left_anti").select(docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

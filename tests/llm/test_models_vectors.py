@@ -265,6 +265,21 @@ def test_stages(spark, tmp_path, labelled):
         assert f(spark, whole.limit(0), sf).count() == 0
 
 
+def test_filters_judge_rows_with_null_or_repeated_ids_one_by_one(spark, tmp_path):
+    rng = random.Random(15)
+    text = lambda k: " ".join(f"{k}{rng.randrange(90)}" for _ in range(60))
+    item, copied, alone, one, two = (text(k) for k in ("kor", "vel", "tam", "rud", "zek"))
+    rows = [(None, alone), (5, copied), (5, copied), (None, copied), (7, copied), (8, one), (8, two)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    held = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert held(corpus_pipeline.near_duplicates(spark, make(rows), str(tmp_path))) == sorted(
+        [(None, alone), (5, copied), (8, one), (8, two)], key=str)
+    leaks = [(None, item), (None, alone), (8, one), (8, f"{two} {item}")]
+    assert held(corpus_pipeline.decontamination(spark, make(leaks), str(tmp_path))) == sorted(
+        [(None, alone), (8, one)], key=str)
+
+
 def test_queries_registered():
     import __spark_entry__ as E
     assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in E.LLM_QUERIES if q != "pipeline"}
