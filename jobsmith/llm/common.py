@@ -50,8 +50,8 @@ class Stored:
     unlike a cached table they survive the loss of every executor.
     """
 
-    def __init__(self, df: DataFrame, name: str):
-        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, name)
+    def __init__(self, df: DataFrame, name: str, path: str | None = None):
+        self.spark, self.path = df.sparkSession, path or scratch_path(df.sparkSession, name)
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 

@@ -10,7 +10,9 @@ has left, stripped of their last turn; both are grouped by what is left of the
 chain. That one aggregation finds the level's nodes and sums up their subtrees;
 stripped again, they go up. A level is written to the shared folder (lineage cut)
 and every aggregation is partial first, so a turn that a third of all conversations
-share is a row a map task. Rounds: the turns of the longest conversation.
+share is a row a map task. Nodes deeper than any that two different sequences
+share hold one sequence each: they are written out at once, and peeling begins at
+the deepest shared node (found by one partially aggregated count of the prefixes).
 
 A node's ended conversations are hashed in id order: range-partitioned tasks
 join runs of ids into strings, and the last task of a node streams those.
@@ -31,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsmith.llm.common import Stored, union_all, width
+from jobsmith.llm.common import Stored, width
+from jobsmith.session import scratch_path
 
 SIZE = 32
 CHUNK_IDS = 4096
@@ -124,48 +127,80 @@ def _ends(ended: DataFrame) -> DataFrame:
     return runs.repartition(n, "chain").sortWithinPartitions("chain", "low").mapInArrow(hashed, "chain binary, ends_sha256 string")
 
 
+SUMS = ["n_convs", "n_children", "n_leaves", "saved_tokens"]
+
+
+def _prefix(depth: Column) -> Column:
+    """Digest of the chain's prefix of that depth; of the empty one, the empty string."""
+    return F.when(depth > 0, F.substring("chain", F.lit(1) + (depth - 1) * SIZE, F.lit(SIZE))).otherwise(F.lit(b""))
+
+
+def _named(nodes: DataFrame) -> DataFrame:
+    """Nodes with their own and their parent's prefix digest."""
+    return nodes.withColumn("id", _prefix(F.col("depth"))).withColumn("up", _prefix(F.col("depth") - 1))
+
+
 def trie(convs: DataFrame) -> DataFrame:
     """Nodes of the conversations (conv_id, turns): ``conv_id`` (smallest member), ``depth``, ``parent_conv_id``,
     ``n_convs`` (members), ``n_children``, ``n_leaves``, ``saved_tokens`` (over the subtree: members less one, times the
     bytes of the last text) and ``ends_sha256`` (of the members that end there)."""
+    spark, zero = convs.sparkSession, F.lit(0).cast("long")
     rows = Stored(convs.select("conv_id", F.size("turns").alias("depth"), _chain(F.transform("turns", lambda t: t["digest"]))
                                .alias("chain"), F.transform("turns", lambda t: t["bytes"]).alias("bytes")), "trie-chains")
-    zero = F.lit(0).cast("long")
     grouped = rows.df.groupBy("depth", "chain", "bytes").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"))
     ended = Stored(grouped.select("depth", "chain", "bytes", "conv_id", "n_convs", zero.alias("n_children"),
-                                  zero.alias("n_leaves"), zero.alias("saved_tokens")), "trie-ended")
-    deepest = ended.df.agg(F.max("depth")).first()[0]
-    levels, left = [], None
-    for d in range(deepest if deepest is not None else -1, -1, -1):
-        level = Stored(_level(ended.df.where(F.col("depth") == d).drop("depth"), left, d), "trie-level")
-        levels.append(level.df.withColumn("depth", F.lit(d).cast("long")))
-        left = level.df
-    if not levels:
-        return convs.sparkSession.createDataFrame([], "conv_id long, depth long, parent_conv_id long, n_convs long, n_children "
-                                                  "long, n_leaves long, saved_tokens long, ends_sha256 string")
-    nodes = union_all([x.drop("bytes") for x in levels])
-    key = lambda depth: F.when(depth > 0, F.substring("chain", F.lit(1) + (depth - 1) * SIZE, F.lit(SIZE))) \
-        .otherwise(F.lit(b""))  # noqa: E731  of the chain's prefix of that depth
-    parents = nodes.where("n_children > 0").select(F.col("depth").alias("above"), key(F.col("depth")).alias("up"),
+                                  zero.alias("n_leaves"), zero.alias("saved_tokens")), "trie-ended").df
+    each = ended.select("chain", F.explode(F.sequence(F.lit(0), "depth")).alias("d"))
+    shared = each.groupBy("d", _prefix(F.col("d")).alias("id")).agg(F.count("*").alias("c")).where("c > 1") \
+        .agg(F.max("d")).first()[0] or 0
+    long_ = F.col("depth") > shared
+    tails = _tails(ended.where(long_), shared)
+    left = _stripped(ended.where(long_).withColumn("n_leaves", F.lit(1).cast("long")).withColumn("saved_tokens", _saved(F.lit(shared + 1))),
+                     shared)
+    path = scratch_path(spark, "trie-levels")
+    for d in range(shared, -1, -1):
+        level = _level(ended.where(F.col("depth") == d).drop("depth").unionByName(left), d)
+        left = _stripped(Stored(level, "trie-level", f"{path}/depth={d}").df, d - 1)
+    levels = spark.read.schema(f"{LEVEL}, depth long").parquet(path).drop("chain", "bytes")
+    nodes = levels.unionByName(tails)
+    parents = nodes.where("n_children > 0").select(F.col("depth").alias("above"), F.col("id").alias("up"),
                                                    F.col("conv_id").alias("parent_conv_id"))
-    own = nodes.withColumn("above", F.col("depth") - 1).withColumn("up", key(F.col("depth") - 1)) \
-        .withColumn("id", key(F.col("depth")))
-    ends = _ends(rows.df.select(key(F.col("depth")).alias("chain"), "conv_id")).select(F.col("chain").alias("id"), "ends_sha256")
+    ends = _ends(rows.df.select(_prefix(F.col("depth")).alias("chain"), "conv_id")).select(F.col("chain").alias("id"), "ends_sha256")
     empty = F.lit(hashlib.sha256(b"").hexdigest())
-    return own.join(parents, ["above", "up"], "left").join(ends, "id", "left").select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
-        F.coalesce("ends_sha256", empty).alias("ends_sha256"))
-
-
-def _level(ended: DataFrame, below: DataFrame | None, d: int) -> DataFrame:
-    """Nodes of depth d: the sequences that end there, and the nodes of depth d + 1 without their last turn."""
-    both = ended
-    if below is not None:
-        both = ended.unionByName(below.select(
-            F.substring("chain", 1, d * SIZE).alias("chain"), F.slice("bytes", 1, d).alias("bytes"), "conv_id", "n_convs",
-            F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens"))
-    sums = both.groupBy("chain", "bytes").agg(
-        F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")])
+    return nodes.withColumn("above", F.col("depth") - 1).join(parents, ["above", "up"], "left").join(ends, "id", "left").select(
+        "conv_id", "depth", "parent_conv_id", *SUMS, F.coalesce("ends_sha256", empty).alias("ends_sha256"))
+
+
+LEVEL = ("chain binary, bytes array<bigint>, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, "
+         "id binary, up binary")
+
+
+def _saved(depth: Column) -> Column:
+    """Bytes that an unshared sequence's copies save from that depth on."""
+    return F.when(F.col("n_convs") > 1, (F.col("n_convs") - 1) * F.aggregate(
+        F.slice("bytes", depth, F.greatest(F.size("bytes") - depth + 1, F.lit(0))), F.lit(0).cast("long"), lambda a, b: a + b)) \
+        .otherwise(F.lit(0).cast("long"))
+
+
+def _tails(ended: DataFrame, shared: int) -> DataFrame:
+    """Nodes deeper than any that two different sequences share: each sequence's own, without a round a level."""
+    d = F.col("d")
+    own = ended.withColumn("d", F.explode(F.sequence(F.lit(shared + 1), "depth"))) \
+        .withColumn("n_children", (d < F.col("depth")).cast("long")).withColumn("n_leaves", F.lit(1).cast("long")) \
+        .withColumn("saved_tokens", _saved(d)).withColumn("depth", d.cast("long"))
+    return _named(own).select("conv_id", *SUMS, "id", "up", "depth")
+
+
+def _stripped(nodes: DataFrame, depth: int) -> DataFrame:
+    """Nodes cut to their first ``depth`` turns, each one child of what is left."""
+    return nodes.select(F.substring("chain", 1, depth * SIZE).alias("chain"), F.slice("bytes", 1, max(depth, 0)).alias("bytes"),
+                        "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens")
+
+
+def _level(rows: DataFrame, d: int) -> DataFrame:
+    """Nodes of depth d, from the sequences that end there and the deeper nodes stripped to it."""
+    sums = rows.groupBy("chain", "bytes").agg(F.min("conv_id").alias("conv_id"), *[F.sum(c).alias(c) for c in SUMS])
     last = F.element_at("bytes", d) if d else F.lit(0)
-    return sums.withColumn("n_leaves", F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("n_leaves")).cast("long")) \
+    level = sums.withColumn("n_leaves", F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("n_leaves")).cast("long")) \
         .withColumn("saved_tokens", F.col("saved_tokens") + (F.col("n_convs") - 1) * last)
+    return _named(level.withColumn("depth", F.lit(d))).drop("depth")
