@@ -54,18 +54,9 @@ def _sorted_pairs(kind: str, name: str) -> Column:
     return F.transform(F.sort_array(F.collect_list(entry)), lambda x: F.struct(x["jobs"], x[name].alias(name)))
 
 
-def daily_metrics(jobs: DataFrame, *, k: int = R.TOP_K, clock: Column | None = None) -> DataFrame:
-    """One row per publication day: total_jobs, top_companies, top_skills,
-    role_counts and computed_at.
-
-    Single pass over ``jobs``: every row becomes (day, kind, label) entries —
-    one total entry, one role entry, one company entry when present, one per
-    skill — counted by one partially-aggregated groupBy. Companies and skills
-    are ranked per (day, kind) with ``row_number() <= k``; totals and roles get a
-    window partition per label, so they always survive the same filter and the
-    map-side WindowGroupLimit still applies. Ties on count break by label.
-    Role counts are keyed in jsonb order (key length, then bytes).
-    """
+def metric_entries(jobs: DataFrame) -> DataFrame:
+    """(metric_date, kind, label) of every dated posting: a total entry ``t``, a role entry ``r``, a company
+    entry ``c`` when there is one, and an ``s`` entry a skill."""
     empty = F.array().cast("array<struct<kind:string,label:string>>")
     comp = F.col("company")
     entries = F.concat(
@@ -79,8 +70,11 @@ def daily_metrics(jobs: DataFrame, *, k: int = R.TOP_K, clock: Column | None = N
     )
     # entries always hold the total and role entries, so the outer form yields
     # the same rows and keeps the optimizer from copying them into a filter
-    long = dated(jobs).select("metric_date", F.inline_outer(entries))
-    counted = long.groupBy("metric_date", "kind", "label").agg(F.count("*").alias("n"))
+    return dated(jobs).select("metric_date", F.inline_outer(entries))
+
+
+def metrics_of_counts(counted: DataFrame, *, k: int = R.TOP_K, clock: Column | None = None) -> DataFrame:
+    """Metrics rows of (metric_date, kind, label, n) counts."""
     lane = F.when(F.col("kind").isin("t", "r"), F.col("label"))
     w = Window.partitionBy("metric_date", "kind", lane).orderBy(F.col("n").desc(), F.col("label").asc_nulls_first())
     ranked = counted.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -96,6 +90,22 @@ def daily_metrics(jobs: DataFrame, *, k: int = R.TOP_K, clock: Column | None = N
     return out.withColumn("computed_at", F.current_timestamp() if clock is None else clock)
 
 
+def daily_metrics(jobs: DataFrame, *, k: int = R.TOP_K, clock: Column | None = None) -> DataFrame:
+    """One row per publication day: total_jobs, top_companies, top_skills,
+    role_counts and computed_at.
+
+    Single pass over ``jobs``: every row becomes (day, kind, label) entries —
+    one total entry, one role entry, one company entry when present, one per
+    skill — counted by one partially-aggregated groupBy. Companies and skills
+    are ranked per (day, kind) with ``row_number() <= k``; totals and roles get a
+    window partition per label, so they always survive the same filter and the
+    map-side WindowGroupLimit still applies. Ties on count break by label.
+    Role counts are keyed in jsonb order (key length, then bytes).
+    """
+    counted = metric_entries(jobs).groupBy("metric_date", "kind", "label").agg(F.count("*").alias("n"))
+    return metrics_of_counts(counted, k=k, clock=clock)
+
+
 def metrics_as_json(metrics: DataFrame) -> DataFrame:
     """JSON text columns, as stored in the metrics table."""
     return metrics.select(

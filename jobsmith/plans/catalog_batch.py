@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsmith import rules as R
 from jobsmith.functions import json as J
@@ -27,11 +28,11 @@ from jobsmith.operators.normalize import normalize_csv, normalize_flat_api, norm
 from jobsmith.plans import adapters as A
 from jobsmith.plans import landing as L
 from jobsmith.plans import oracle as O
-from jobsmith.plans.batch import load, transform
+from jobsmith.plans.batch import transform
 from jobsmith.plans.registry import jtxt, ntz, query
-from jobsmith.plans.snapshots import Snapshot
+from jobsmith.plans.store import PostingStore
 from jobsmith.plans.tables import read, read_spread
-from jobsmith.schema import CSV_COLUMNS, METRICS_SCHEMA, POSTING_SCHEMA, UNIFIED_COLUMNS, conform
+from jobsmith.schema import CSV_COLUMNS, POSTING_SCHEMA, UNIFIED_COLUMNS, conform
 from jobsmith.session import materialize, scratch_path
 from jobsmith.sources.files import flat_results, paged_results, read_json_documents, read_postings_csv
 
@@ -44,6 +45,7 @@ def W(*ctes: str) -> str:
 RAW = O.raw_postings_cte()
 POST = O.postings_ctes()
 API_CLOCK = A.FIXED_CLOCK
+STORE_BUCKETS = 16
 CSV_CLOCK = "2026-01-01 00:00:01"
 NA_LIST = ", ".join(O.q(t) for t in R.CSV_NA_TOKENS)
 RAW_NA = "rawp_na AS (SELECT doc_id, " + ", ".join(
@@ -94,7 +96,8 @@ def merge_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     src = p.filter(F.col("location").isin(*SOURCE_LANGS)).withColumn("title", F.concat(F.lit("[updated] "), "title")) \
         .withColumn("job_url", F.when(F.col("is_remote"), F.col("job_url"))) \
         .withColumn("ingested_at", F.lit("2026-01-02 00:00:00").cast("timestamp"))
-    return target, dedup_latest(src, tie_breakers=order)
+    # the merge reads its source twice (key check and join): stored, its dedup runs once
+    return target, materialize(dedup_latest(src, tie_breakers=order), "merge_source")
 
 
 TGT_SRC = f"""tgt AS (
@@ -172,8 +175,13 @@ def sink_staging_overwrite(spark, sf):
 @query("sink_upsert_clean", W(*MERGE_CTES) + "SELECT " + POSTING_OUT_SQL.replace("job_hash,", "job_hash,", 1)
        + " FROM merged")
 def sink_upsert_clean(spark, sf):
-    """Insert-or-update by job_hash: all columns from the source, job_url = COALESCE(new, old)."""
-    return posting_out(upserted(spark, sf))
+    """Insert-or-update by job_hash: all columns from the source, job_url = COALESCE(new, old); only the
+    partitions that the source's keys fall into are read and replaced."""
+    target, src = merge_inputs(spark, sf)
+    store = PostingStore(spark, scratch_path(spark, "upsert"), STORE_BUCKETS, (T.StructField("doc_id", T.LongType()),))
+    store.load(target, clock=A.clock())
+    store.load(src, clock=A.clock())
+    return posting_out(store.postings())
 
 
 @query("sink_full_refresh", W(*MERGE_CTES) + f"SELECT {POSTING_OUT_SQL} FROM src")
@@ -718,24 +726,19 @@ def transform_batch(spark, sf):
 )""", O.metrics_sql("cleaned").replace("m_", "n_").replace("metrics AS", "m_new AS"))
        + "SELECT * FROM m_new UNION ALL SELECT * FROM m_old WHERE metric_date NOT IN (SELECT metric_date FROM m_new)")
 def load_batch(spark, sf):
-    """Two loads into versioned snapshots: the target rows, then the source rows
-    (staging overwrite -> upsert -> metrics upsert each time)."""
+    """Two loads into the posting store: the target rows, then the source rows
+    (staging overwrite -> upsert of touched partitions -> metrics by signed counts)."""
     target, src = merge_inputs(spark, sf)
-    base = scratch_path(spark, "load")
-    clean = Snapshot(spark, base + "/jobs_clean", POSTING_SCHEMA)
-    metrics = Snapshot(spark, base + "/daily_metrics", METRICS_SCHEMA)
+    store = PostingStore(spark, scratch_path(spark, "load"), STORE_BUCKETS)
     for batch in (target, src):
-        load(spark, batch, staging_path=base + "/jobs_staging", clean=clean, metrics=metrics, clock=A.clock())
-    return MT.metrics_as_json(metrics.read()).drop("computed_at")
+        store.load(batch, clock=A.clock())
+    return MT.metrics_as_json(store.metrics.read()).drop("computed_at")
 
 
 @query("batch_job", W(*TRANSFORM_SQL_CTES) + "SELECT job_hash, job_id, source, title, company, publication_date, job_url, role_type FROM transformed")
 def batch_job(spark, sf):
-    """Extract (landed pages + CSV) -> transform -> load into an empty clean table."""
-    base = scratch_path(spark, "job")
-    clean = Snapshot(spark, base + "/jobs_clean", POSTING_SCHEMA)
-    metrics = Snapshot(spark, base + "/daily_metrics", METRICS_SCHEMA)
-    out, _ = load(spark, transformed(spark, sf), staging_path=base + "/jobs_staging", clean=clean,
-                  metrics=metrics, full_refresh="1", clock=A.clock())
-    return out.select("job_hash", "job_id", "source", "title", "company", ntz("publication_date"), "job_url",
-                      "role_type")
+    """Extract (landed pages + CSV) -> transform -> load into an empty posting store."""
+    store = PostingStore(spark, scratch_path(spark, "job"), STORE_BUCKETS)
+    store.load(transformed(spark, sf), full_refresh="1", clock=A.clock())
+    return store.postings().select("job_hash", "job_id", "source", "title", "company", ntz("publication_date"), "job_url",
+                                   "role_type")

@@ -1,5 +1,5 @@
 """spark-submit entry for the batch job: landed API pages + CSV -> transform ->
-load into versioned snapshots under ``--out``. Exit code 1 on any failure.
+load into the posting store under ``--out``. Exit code 1 on any failure.
 
     spark-submit -m jobsmith.plans.submit --pages P --csv C --out O [--full-refresh 1]
 """
@@ -12,14 +12,13 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.plans.batch import load, transform
-from jobsmith.plans.snapshots import Snapshot
-from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA
+from jobsmith.plans.batch import transform
+from jobsmith.plans.store import PostingStore
 from jobsmith.sources.files import paged_results, read_json_documents, read_postings_csv
 
 
 def run(spark: SparkSession, pages: str, csv: str, out: str, *, full_refresh: str | None = None,
-        start_page: int = 1, max_pages: int | None = None, max_jobs: int | None = None):
+        start_page: int = 1, max_pages: int | None = None, max_jobs: int | None = None, buckets: int = 64):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     api = paged_results(read_json_documents(spark, pages), start_page=start_page, max_pages=max_pages,
                         max_jobs=max_jobs)
@@ -31,10 +30,9 @@ def run(spark: SparkSession, pages: str, csv: str, out: str, *, full_refresh: st
     rows = rows.withColumn("_pos", F.struct(F.lit(1), F.lit(0).cast("bigint"), F.monotonically_increasing_id()))
     postings = transform(api, rows, api_clock=api_clock, csv_clock=csv_clock, keep=["_pos"],
                          tie_breakers=[F.col("_pos").desc()])
-    clean = Snapshot(spark, f"{out}/jobs_clean", POSTING_SCHEMA)
-    metrics = Snapshot(spark, f"{out}/daily_metrics", METRICS_SCHEMA)
-    return load(spark, postings.drop("_pos"), staging_path=f"{out}/jobs_staging", clean=clean, metrics=metrics,
-                full_refresh=full_refresh)
+    store = PostingStore(spark, out, buckets)
+    store.load(postings.drop("_pos"), full_refresh=full_refresh)
+    return store.postings(), store.metrics.read()
 
 
 def main(argv: list[str] | None = None) -> int:
