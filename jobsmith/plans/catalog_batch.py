@@ -155,10 +155,9 @@ def src_flat_json(spark, sf):
 
 @query("src_table", "SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1, 2")
 def src_table(spark, sf):
-    """A stored table registered as a view and queried with SQL (a private view
-    name, so the caller's own views are left alone)."""
-    read(spark, sf, "orders").createOrReplaceTempView("jobsmith_src_orders")
-    return spark.sql("SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM jobsmith_src_orders GROUP BY 1, 2")
+    """SQL over a stored table, named by an argument: no view is left in the session."""
+    return spark.sql("SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM {orders} GROUP BY 1, 2",
+                     orders=read(spark, sf, "orders"))
 
 
 # ---------------------------------------------------------------- 2.2 sinks (batch)
@@ -178,9 +177,10 @@ def sink_upsert_clean(spark, sf):
     """Insert-or-update by job_hash: all columns from the source, job_url = COALESCE(new, old); only the
     partitions that the source's keys fall into are read and replaced."""
     target, src = merge_inputs(spark, sf)
-    store = PostingStore(spark, scratch_path(spark, "upsert"), STORE_BUCKETS, (T.StructField("doc_id", T.LongType()),))
-    store.load(target, clock=A.clock())
-    store.load(src, clock=A.clock())
+    store = PostingStore(spark, scratch_path(spark, "upsert"), STORE_BUCKETS, (T.StructField("doc_id", T.LongType()),),
+                         with_metrics=False)
+    store.load(target)
+    store.load(src)
     return posting_out(store.postings())
 
 

@@ -229,6 +229,29 @@ def stream_resume(spark, sf):
         .agg(F.count("*").alias("n"))
 
 
+@query("stream_daily_counts", """SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, event_type, COUNT(*) AS n
+  FROM events GROUP BY 1, 2""")
+def stream_daily_counts(spark, sf):
+    """Event-time day windows with a watermark, in two runs on one checkpoint: the second goes on from the
+    counts of the first."""
+    base = scratch_path(spark, "daily_counts")
+    records = base + "/records"
+    out = S.LatestTable(spark, base + "/out", ["day", "event_type"], "day date, event_type string, n long")
+
+    def run() -> None:
+        stream = S.record_stream(spark, records, max_files_per_trigger=1)
+        rows = stream.select(seq_of(F.col("value"))["a"].alias("ts"),
+                             J.vget(J.decode(F.col("value")), "$.title", "string").alias("event_type"))
+        S.start(S.daily_counts(rows, "ts", ["event_type"], "2 days"), checkpoint=base + "/_checkpoint", output_mode="update",
+                foreach_batch=out.write).awaitTermination()
+
+    land_event_records(spark, sf, range(0, CHUNKS - 1), records)
+    run()
+    land_event_records(spark, sf, range(CHUNKS - 1, CHUNKS), records)
+    run()
+    return out.read().select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")
+
+
 @query("stream_upsert", STREAM_TABLE_SQL)
 def stream_upsert(spark, sf):
     """Consume keyed records batch by batch; merge each into the stream table

@@ -5,10 +5,10 @@
   keys touch at most m of them. The partition is ``pmod(hash(key), buckets)``, the
   one that ``repartition(buckets, key)`` deals by, so the merge shuffles each side
   once and every task writes one partition.
-* Metric counts: (day, kind, label, n) in day partitions, changed by the load's
+* Metric counts: (day, kind, label, n) in month partitions, changed by the load's
   signed entries: plus the incoming rows', minus those of the rows they replace.
-  Only the days of those entries are read and replaced; the clean table is not.
-* Metrics: a row a day, of the changed days from their counts. A day that loses
+  Only the months of those entries are read and replaced; the clean table is not.
+* Metrics: a row a day, of the changed months from their counts. A day that loses
   its last posting keeps its row, as with a recomputation of the days that are there.
 
 A load first stages the new contents of all partitions it will replace and marks
@@ -30,8 +30,13 @@ from jobsmith.plans.snapshots import Snapshot, _fs
 from jobsmith.schema import METRICS_SCHEMA, POSTING_SCHEMA
 from jobsmith.session import materialize
 
-COUNT_SCHEMA = T.StructType([T.StructField("kind", T.StringType()), T.StructField("label", T.StringType()),
-                             T.StructField("n", T.LongType()), T.StructField("metric_date", T.DateType())])
+COUNT_SCHEMA = T.StructType([T.StructField("metric_date", T.DateType()), T.StructField("kind", T.StringType()),
+                             T.StructField("label", T.StringType()), T.StructField("n", T.LongType()),
+                             T.StructField("month", T.IntegerType())])
+
+
+def month_of(day: str = "metric_date") -> Column:
+    return F.year(day) * 100 + F.month(day)
 
 
 class Partitioned:
@@ -53,10 +58,11 @@ class Partitioned:
 
 
 class PostingStore:
-    """``extra``: fields that a clean row carries besides the posting's."""
+    """``extra``: fields that a clean row carries besides the posting's; ``with_metrics=False``: the clean table alone."""
 
-    def __init__(self, spark: SparkSession, base: str, buckets: int = 64, extra: tuple[T.StructField, ...] = ()):
-        self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, base: str, buckets: int = 64, extra: tuple[T.StructField, ...] = (),
+                 with_metrics: bool = True):
+        self.spark, self.base, self.buckets, self.with_metrics = spark, base.rstrip("/"), buckets, with_metrics
         self.schema = T.StructType([*POSTING_SCHEMA.fields, *extra])
         bucket = T.StructField("bucket", T.IntegerType())
         # the number of partitions is part of the path: a table is never read under another one
@@ -86,23 +92,24 @@ class PostingStore:
         merged = upsert(old.repartition(self.buckets, "job_hash"), staging.repartition(self.buckets, "job_hash"), "job_hash",
                         columns=self.schema.names, coalesce_new_old=("job_url",))
         merged.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.log}/clean")
-        replaced = old.join(staging.select("job_hash"), "job_hash", "left_semi")
-        self._new_counts(staging, replaced, refresh).write.mode("overwrite").partitionBy("metric_date") \
-            .parquet(f"{self.log}/counts")
+        if self.with_metrics:
+            replaced = old.join(staging.select("job_hash"), "job_hash", "left_semi")
+            self._new_counts(staging, replaced, refresh).withColumn("month", month_of()).hint("rebalance", "month") \
+                .write.mode("overwrite").partitionBy("month").parquet(f"{self.log}/counts")
         self._mark("whole" if refresh else "touched")
         self._apply(refresh, clock)
 
     def _new_counts(self, added: DataFrame, gone: DataFrame, refresh: bool) -> DataFrame:
-        """Counts of the days that the signed entries change. The total stays, also at zero: its day's partition
-        is replaced like the others."""
+        """Counts of the months that the signed entries change. A total stays, also at zero: its month's partition
+        is replaced like the others, and its day is known as one without postings."""
         signed = metric_entries(added).withColumn("n", F.lit(1)).unionByName(metric_entries(gone).withColumn("n", F.lit(-1)))
         change = materialize(signed.groupBy("metric_date", "kind", "label").agg(F.sum("n").alias("n")).where("n <> 0"),
                              "metric_changes")
         if not refresh:
-            low, high = change.agg(F.min("metric_date"), F.max("metric_date")).first()
-            kept = self.counts.read().where(F.col("metric_date").between(F.lit(low), F.lit(high))) \
-                .join(change.select("metric_date").distinct(), "metric_date", "left_semi")
-            change = change.unionByName(kept.select("metric_date", "kind", "label", "n"))
+            months = change.select(month_of().alias("month")).distinct()
+            low, high = months.agg(F.min("month"), F.max("month")).first()
+            kept = self.counts.read().where(F.col("month").between(F.lit(low), F.lit(high))).join(months, "month", "left_semi")
+            change = change.unionByName(kept.select(*change.columns))
         return change.groupBy("metric_date", "kind", "label").agg(F.sum("n").alias("n")).where("n <> 0 OR kind = 't'")
 
     def recover(self, clock: Column | None = None) -> bool:
@@ -121,10 +128,11 @@ class PostingStore:
     def _apply(self, whole: bool, clock: Column | None) -> None:
         staged = lambda t, name: self.spark.read.schema(t.schema).parquet(f"{self.log}/{name}")
         self.clean.write(staged(self.clean, "clean"), whole)
-        counts = staged(self.counts, "counts")
-        self.counts.write(counts, whole)
-        fresh = metrics_of_counts(counts.where("n <> 0"), clock=clock)
-        self.metrics.write(upsert_metrics(self.metrics.read(), fresh).select(*METRICS_SCHEMA.names))
+        if self.with_metrics:
+            counts = staged(self.counts, "counts")
+            self.counts.write(counts.hint("rebalance", "month"), whole)
+            fresh = metrics_of_counts(counts.where("n <> 0"), clock=clock)
+            self.metrics.write(upsert_metrics(self.metrics.read(), fresh).select(*METRICS_SCHEMA.names))
         self._forget()
 
     def _forget(self) -> None:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,32 @@ def null_tokens(df: DataFrame, tokens: list[str] | None = None) -> DataFrame:
                        for c in df.columns])
 
 
+def csv_headers(spark: SparkSession, files: list[str], threads: int = 16) -> list[tuple[str, ...]]:
+    """Column names of each file's header, read through Hadoop's file systems: no Spark job, whatever the number
+    of files. Names as the CSV source makes them: an empty one is ``_c{i}``, repeated ones carry their place."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(file: str) -> tuple[str, ...]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+                codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            text = line = reader.readLine()
+            while line is not None and text.count('"') % 2:  # a quoted name goes on in the next line
+                line = reader.readLine()
+                text += "\n" + (line or "")
+        finally:
+            stream.close()
+        names = next(csv.reader([(text or "").removeprefix("\ufeff")]), [])
+        often = Counter(n.lower() for n in names)
+        return tuple(f"_c{i}" if not n else f"{n}{i}" if often[n.lower()] > 1 else n for i, n in enumerate(names))
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(header, files))
+
+
 def read_postings_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA, na_tokens=None, multi_line: bool = True,
                       mode: str = "FAILFAST") -> DataFrame:
     """Header CSV, quoted fields may hold commas and newlines; every column STRING.
@@ -32,8 +62,10 @@ def read_postings_csv(spark: SparkSession, path: str, schema=CSV_SCHEMA, na_toke
         spark.createDataFrame([], schema).columns
     options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"', "mode": mode}
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for f in sorted(spark.read.options(**options).csv(path).inputFiles()):  # a first line a file, not its rows
-        by_header.setdefault(tuple(spark.read.options(**options).csv(f).columns), []).append(f)
+    files = sorted(spark.read.schema("c string").options(**options).csv(path).inputFiles())
+    for f, header in zip(files, csv_headers(spark, files)):
+        by_header.setdefault(header, []).append(f)
+    by_header.pop((), None)  # files without a line
     out = spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
     for header, files in by_header.items():
         df = spark.read.options(**options).schema(", ".join(f"`{h}` string" for h in header)).csv(files)

@@ -93,7 +93,8 @@ def malformed(postings: DataFrame, *, posting_col: str = "j") -> DataFrame:
 
 class StreamTable:
     """Stream table under ``base``: one part a micro-batch, ``b{n}-{query}-{batch}``, and now and then a
-    compacted part ``c{n}-`` that holds the fold of everything before it. Only parts with ``_SUCCESS`` count."""
+    compacted part ``c{n}-`` that holds the fold of all parts up to number n and hides only those: a batch that
+    lands while the fold is written has a later number and stays. Only parts with ``_SUCCESS`` count."""
 
     def __init__(self, spark: SparkSession, base: str, schema: StructType = STREAM_SCHEMA, seq: str = "_seq"):
         self.spark, self.base, self.schema, self.seq = spark, base.rstrip("/"), schema, seq
@@ -101,22 +102,17 @@ class StreamTable:
     def parts(self) -> list[str]:
         """Names of the finished parts, in order."""
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.base)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
-        return sorted((n for n in names if n[:1] in "bc" and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.base}/{n}/_SUCCESS"))),
-                      key=lambda n: (int(n[1:10]), n))
-
-    def _next(self, parts: list[str], kind: str, tail: str) -> str:
-        n = int(parts[-1][1:10]) + 1 if parts else 1
-        return f"{self.base}/{kind}{n:09d}-{tail}"
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.base}/[bc]*/_SUCCESS")
+        found = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+        return sorted((st.getPath().getParent().getName() for st in found), key=lambda n: (int(n[1:10]), n))
 
     def append(self, query: str, batch_id: int, rows: DataFrame) -> bool:
         """Add a batch (one row per key, with the sequence column); False if this query's batch is there already."""
         parts, tail = self.parts(), f"{query}-{batch_id}"
         if any(n.startswith("b") and n[11:] == tail for n in parts):
             return False
-        rows.select(*self.schema.names, self.seq).write.mode("overwrite").parquet(self._next(parts, "b", tail))
+        n = int(parts[-1][1:10]) + 1 if parts else 1
+        rows.select(*self.schema.names, self.seq).write.mode("overwrite").parquet(f"{self.base}/b{n:09d}-{tail}")
         return True
 
     def read(self) -> DataFrame:
@@ -126,8 +122,8 @@ class StreamTable:
     def compact(self) -> None:
         """Write the fold of all parts as one; later reads start from it. Parts stay until ``base`` is cleaned."""
         parts = self.parts()
-        if parts:
-            self._fold(parts).write.mode("overwrite").parquet(self._next(parts, "c", "all"))
+        if parts and parts[-1].startswith("b"):
+            self._fold(parts).write.mode("overwrite").parquet(f"{self.base}/c{parts[-1][1:10]}-all")
 
     def _fold(self, parts: list[str]) -> DataFrame:
         last = max((i for i, n in enumerate(parts) if n.startswith("c")), default=0)
@@ -142,14 +138,15 @@ class StreamTable:
 
 
 def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = None, quarantine: str | None = None,
-                    query: str | None = None) -> Callable[[DataFrame, int], None]:
+                    query: str | None = None, compact_every: int = 64) -> Callable[[DataFrame, int], None]:
     """foreachBatch body: payload -> quarantine rows without a key -> collapse per key
     (last message wins, job_url last non-null, source first) -> append to the table.
 
     Quarantined records keep every column they came with (key and value text,
     partition and offset from a broker) and a reason; they go to ``quarantine``,
     by default a folder beside the table. ``query`` names the writer; by default
-    it is the streaming query's id, which its checkpoint keeps.
+    it is the streaming query's id, which its checkpoint keeps. Every ``compact_every``-th batch folds the
+    table's parts into one, so that a read does not grow with the batches.
     """
     where = quarantine or f"{table.base}-quarantine"
 
@@ -166,6 +163,8 @@ def upsert_batch_fn(table: StreamTable, *, seq: Column, clock: Column | None = N
             table.append(own, batch_id, collapse_last_arrival(good.drop(*came), "job_hash", table.seq))
         finally:
             rows.unpersist()
+        if batch_id % compact_every == compact_every - 1:
+            table.compact()
     return run
 
 
@@ -176,3 +175,31 @@ def dedup_within(records: DataFrame, keys: Sequence[str], event_time: Column, de
     they must be kept use ``dropDuplicates(keys)``, whose state keeps every key."""
     return (records.withColumn("_et", event_time.cast("timestamp")).withWatermark("_et", delay)
             .dropDuplicatesWithinWatermark(list(keys)).drop("_et"))
+
+
+def daily_counts(events: DataFrame, event_time: str | Column, keys: Sequence[str] = (), delay: str = "1 day") -> DataFrame:
+    """Rows a day (tumbling event-time window) and key: (day, *keys, n), kept in the state store.
+
+    A row counts if its day has not been closed: a day closes once the watermark, the latest event time of
+    the batches before less ``delay``, has passed its end. Later rows for it are left out, and its state goes,
+    so the state holds the days within ``delay`` of the newest. Rows without an event time belong to no day."""
+    ts = F.col(event_time) if isinstance(event_time, str) else event_time
+    return (events.withColumn("_et", ts.cast("timestamp")).where("_et IS NOT NULL").withWatermark("_et", delay)
+            .groupBy(F.window("_et", "1 day").alias("w"), *keys).agg(F.count("*").alias("n"))
+            .select(F.to_date(F.col("w.start")).alias("day"), *keys, "n"))
+
+
+class LatestTable:
+    """Updates of a stateful query (output mode ``update``), one folder a micro-batch; reading gives the last
+    update of every key. A replayed batch overwrites its own folder."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], schema: str):
+        self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), list(keys), schema
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+    def read(self) -> DataFrame:
+        rows = self.spark.read.schema(f"{self.schema}, batch_id long").parquet(self.path)
+        rest = [c for c in rows.columns if c not in (*self.keys, "batch_id")]
+        return rows.groupBy(*self.keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])

@@ -89,3 +89,34 @@ def test_quarantine_keeps_the_record(spark):
     got = sorted((r["key"], r["value"], r["reason"]) for r in spark.read.parquet(base + "/t-quarantine").collect())
     assert got == [("a", "{not json", "not JSON"), ("b", '{"title": "no key"}', "no key")]
     assert [r["job_hash"] for r in table.read().collect()] == ["c"]
+
+
+def test_batch_that_lands_while_the_table_is_compacted_stays(spark, monkeypatch):
+    table = S.StreamTable(spark, scratch_path(spark, "race") + "/t")
+    rows = lambda *keys: spark.createDataFrame([(k, 1) for k in keys], "job_hash string, _seq long").select(
+        *[F.col(c) if c == "job_hash" else F.lit(None).cast(table.schema[c].dataType).alias(c) for c in table.schema.names], "_seq")
+    table.append("q", 0, rows("a"))
+    table.append("q", 1, rows("b"))
+    fold = table._fold
+
+    def folded_while_another_lands(parts):
+        out = fold(parts)
+        table.append("q", 2, rows("c"))
+        return out
+    monkeypatch.setattr(table, "_fold", folded_while_another_lands)
+    table.compact()
+    monkeypatch.setattr(table, "_fold", fold)
+    assert sorted(r["job_hash"] for r in table.read().collect()) == ["a", "b", "c"]
+    assert not table.append("q", 2, rows("c")) and [p[:1] for p in table.parts()] == ["b", "b", "c", "b"]
+    table.compact()
+    table.compact()  # nothing new: nothing to do
+    assert sorted(r["job_hash"] for r in table.read().collect()) == ["a", "b", "c"] and len(table.parts()) == 5
+
+
+def test_upsert_folds_the_table_now_and_then(spark):
+    table = S.StreamTable(spark, scratch_path(spark, "folded") + "/t")
+    run = S.upsert_batch_fn(table, seq=F.lit(1), query="q", compact_every=3)
+    for i in range(7):
+        run(spark.createDataFrame([(f"k{i % 4}", '{"job_hash": "k%d", "title": "t%d"}' % (i % 4, i))], "key string, value string"), i)
+    assert sum(p.startswith("c") for p in table.parts()) == 2
+    assert {r["title"] for r in table.read().collect()} == {"t4", "t5", "t6", "t3"}

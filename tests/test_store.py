@@ -15,8 +15,8 @@ from jobsmith.session import scratch_path
 CLOCK = dt.datetime(2026, 1, 1)
 
 
-def posting(key, day=None, company="c", role="r", skills=(), url=None, title="t"):
-    date = None if day is None else dt.datetime(2026, 3, day, 5)
+def posting(key, day=None, company="c", role="r", skills=(), url=None, title="t", month=3):
+    date = None if day is None else dt.datetime(2026, month, day, 5)
     return (key, None, "api", title, company, "", False, "", date, url, "", list(skills), role, "Mid", CLOCK)
 
 
@@ -35,13 +35,13 @@ def metrics_rows(df):
 
 def test_small_batch_replaces_only_its_partitions(spark):
     store = PostingStore(spark, scratch_path(spark, "store"), 32)
-    store.load(batch(spark, [posting(f"k{i}", 1 + i % 28) for i in range(1000)]))
+    store.load(batch(spark, [posting(f"k{i}", 1 + i % 28, month=1 + i % 12) for i in range(1000)]))
     clean, counts = files(store, store.clean), files(store, store.counts)
-    assert len(clean) == 32 and len(counts) == 28  # one file a partition
-    store.load(batch(spark, [posting(f"k{i}", 3, title="new") for i in (3, 4)]))  # k3: day 4, k4: day 5, both to day 3
-    after, days = files(store, store.clean), files(store, store.counts)
+    assert len(clean) == 32 and len(counts) == 12  # one file a partition
+    store.load(batch(spark, [posting(f"k{i}", 3, month=3, title="new") for i in (3, 4)]))  # from April and May to March
+    after, months = files(store, store.clean), files(store, store.counts)
     assert 1 <= len(clean - after) <= 2 and len(clean - after) == len(after - clean)
-    assert {f.split("metric_date=")[1][:10] for f in counts - days} == {"2026-03-03", "2026-03-04", "2026-03-05"}
+    assert {f.split("month=")[1][:6] for f in counts - months} == {"202603", "202604", "202605"}
     assert store.postings().count() == 1000
     assert {r["job_hash"] for r in store.postings().where("title = 'new'").collect()} == {"k3", "k4"}
     plan = store.clean.read().where(F.col("bucket").isin(1, 2))._jdf.queryExecution().executedPlan().toString()

@@ -113,3 +113,24 @@ def test_bounded_dedup_forgets_after_delay(spark):
     got = sorted((r["key"], str(r["ts"])) for r in spark.read.parquet(base + "/out").collect())
     assert got == [("k", "2026-03-01 00:00:00"), ("k", "2026-03-05 03:00:00"), ("m", "2026-03-05 00:00:00"),
                    ("n", "2026-03-05 02:00:00")]
+
+
+def test_daily_counts_late_rows_and_resume(spark):
+    """Rows for an open day count however late; a closed day's do not; a second run goes on from the first."""
+    base = scratch_path(spark, "days")
+    out = S.LatestTable(spark, base + "/out", ["day", "k"], "day date, k string, n long")
+
+    def land_and_run(*rows):
+        spark.createDataFrame(rows, "ts string, k string").coalesce(1).write.mode("append").json(base + "/in")
+        events = spark.readStream.schema("ts string, k string").option("maxFilesPerTrigger", 1).json(base + "/in")
+        S.start(S.daily_counts(events, F.col("ts").try_cast("timestamp"), ["k"], "1 day"), checkpoint=base + "/cp",
+                output_mode="update", foreach_batch=out.write).awaitTermination()
+        return {(str(r["day"]), r["k"]): r["n"] for r in out.read().collect()}
+
+    assert land_and_run(("2026-03-01T10:00:00", "a"), ("2026-03-01T11:00:00", "a"), ("2026-03-02T01:00:00", None), ("bad", "a")) == \
+        {("2026-03-01", "a"): 2, ("2026-03-02", None): 1}
+    # the watermark is 03-01 01:00: the first of March is open
+    assert land_and_run(("2026-03-01T00:30:00", "a"), ("2026-03-05T00:00:00", "a"))[("2026-03-01", "a")] == 3
+    # the watermark is 03-04 00:00: the first and the second are closed, the fourth is not
+    got = land_and_run(("2026-03-01T12:00:00", "a"), ("2026-03-02T12:00:00", "b"), ("2026-03-04T12:00:00", "b"))
+    assert got == {("2026-03-01", "a"): 3, ("2026-03-02", None): 1, ("2026-03-05", "a"): 1, ("2026-03-04", "b"): 1}
