@@ -8,7 +8,8 @@ listed ("list-decoded") from the blocks' products without visiting all of them.
 Vectors that share a filter are compared exactly, in double precision.
 
 Exact copies are grouped first. In a filter's group, members meet in tiles of at
-most ``tile`` x ``tile`` (a large group is many tiles in many tasks), and a tile
+most ``tile`` x ``tile`` (a large group is many tiles in many tasks; a task reads
+its tiles in order and holds one at a time), and a tile
 gives one row a member: its links and its tile component, never the pairs. A
 pair is counted in the smallest filter that its two vectors share.
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsmith.llm.common import Stored, connected_components, upper_tail
+from jobsmith.llm.common import Stored, connected_components, upper_tail, width
 
 PARTS = 4
 
@@ -103,7 +104,7 @@ def _decode(x: np.ndarray, caps: Caps, which: int) -> list[np.ndarray]:
     right = (dots[2][:, :, None] + dots[3][:, None, :]).reshape(len(x), -1)
     row, i = np.nonzero(left >= caps.threshold - right.max(axis=1, keepdims=True))  # halves that can still make it
     found = []
-    step = max(1, (1 << 22) // (k * k))
+    step = max(1, (1 << 21) // (k * k))
     for lo in range(0, len(row), step):
         r, h = row[lo:lo + step], i[lo:lo + step]
         at, j = np.nonzero(right[r] >= (caps.threshold - left[r, h])[:, None])
@@ -113,14 +114,17 @@ def _decode(x: np.ndarray, caps: Caps, which: int) -> list[np.ndarray]:
 
 
 def _filters(vector: str, caps: Caps) -> Column:
-    @F.arrow_udf("array<long>")
+    """Struct of the vector's filters: ``fs`` as an array, ``packed`` as the bytes of its numbers."""
+    @F.arrow_udf("fs array<long>, packed binary")
     def run(col: pa.Array) -> pa.Array:
         out: list = []
-        for i in range(0, len(col), 2048):
-            part = col.slice(i, 2048)
+        some = max(16, min(2048, (1 << 20) // caps.code ** 2))  # the blocks' pairwise sums of so many vectors at a time
+        for i in range(0, len(col), some):
+            part = col.slice(i, some)
             x = np.array(part.flatten(), np.float64).reshape(len(part), caps.dim)
             out += decode(x / np.linalg.norm(x, axis=1, keepdims=True), caps)
-        return pa.array(out, pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([pa.array(out, pa.list_(pa.int64())),
+                                           pa.array([f.astype("<i8").tobytes() for f in out], pa.binary())], ["fs", "packed"])
     return run(vector)
 
 
@@ -133,43 +137,60 @@ def _packed(vector: str, kind: str) -> Column:
 
 
 def _compare(floor: float, kind: str):
-    """mapInPandas-style tile comparison: rows (f, ti, tj, members of both chunks) -> (rep, n, low)."""
-    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow-style comparison of tiles, whose members come one after the other: rows (f, i, j, side, rep,
+    copies, v, fs) -> (rep, n, low). Only the tile at hand is held."""
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
-            for f, same, left, right in zip(*(batch.column(c) for c in ("f", "same", "a", "b"))):
-                f, same = f.as_py(), same.as_py()
-                a = _members(left, kind)
-                b = a if same else _members(right, kind)
-                close = a[1] @ b[1].T >= floor
-                if same:
-                    np.fill_diagonal(close, False)
-                if not close.any():
+            key = np.stack([np.array(batch.column(c), np.int64) for c in ("f", "i", "j")])
+            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if hi == lo:
                     continue
-                # pairs that share a smaller filter are counted there
-                seen = np.unique(np.concatenate([a[3], b[3]]))
-                seen = seen[seen < f]
-                if len(seen):
-                    pa_, pb = _holds(a, seen), _holds(b, seen)
-                    close &= (pa_ @ pb.T) == 0
-                if not close.any():
-                    continue
-                rep = a[0] if same else np.concatenate([a[0], b[0]])
-                n = close @ b[2] if same else np.concatenate([close @ b[2], close.T @ a[2]])
-                low = _lowest(a[0], b[0], close, same)
-                hit = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(rep[hit], pa.int64()), pa.array(n[hit].astype(np.int64)),
-                                                  pa.array(low[hit], pa.int64())], names=["rep", "n", "low"])
-    return tile
-
-
-def _members(chunk, kind: str) -> tuple:
+                at = tuple(key[:, lo].tolist())
+                if held and held[0] != at:
+                    yield from one(*held)
+                    held = []
+                held = [at, [*(held[1] if held else []), batch.slice(lo, hi - lo)]]
+        if held:
+            yield from one(*held)
+
+    def one(at: tuple, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        f, same = at[0], at[1] == at[2]
+        left = np.array(rows.column("side"), bool)
+        a = _members(rows, left, kind)
+        b = a if same else _members(rows, ~left, kind)
+        if not (len(a[0]) and len(b[0])):
+            return
+        close = a[1] @ b[1].T >= floor
+        if same:
+            np.fill_diagonal(close, False)
+        if not close.any():
+            return
+        # pairs that share a smaller filter are counted there
+        seen = np.unique(np.concatenate([a[3], b[3]]))
+        if len(seen):
+            close &= (_holds(a, seen) @ _holds(b, seen).T) == 0
+        if not close.any():
+            return
+        rep = a[0] if same else np.concatenate([a[0], b[0]])
+        n = close @ b[2] if same else np.concatenate([close @ b[2], close.T @ a[2]])
+        low = _lowest(a[0], b[0], close, same)
+        hit = n > 0
+        yield pa.RecordBatch.from_arrays([pa.array(rep[hit], pa.int64()), pa.array(n[hit].astype(np.int64)),
+                                          pa.array(low[hit], pa.int64())], names=["rep", "n", "low"])
+    return tiles
+
+
+def _members(rows: pa.RecordBatch, mine: np.ndarray, kind: str) -> tuple:
     """ids, unit vectors, copies, smaller filters (flat) and their number per member of one chunk."""
-    m = chunk.values
-    x = np.array([np.frombuffer(v.as_buffer(), kind) for v in m.field("v")], np.float64).reshape(len(m), -1)
-    lists = m.field("fs")
-    return (np.array(m.field("rep"), np.int64), x / np.linalg.norm(x, axis=1, keepdims=True),
-            np.array(m.field("copies"), np.float64), np.array(lists.flatten(), np.int64),
-            np.array([len(y) for y in lists], np.int64))
+    at = np.flatnonzero(mine).tolist()
+    v, fs = ([col[k].as_buffer() for k in at] for col in (rows.column("v"), rows.column("fs")))
+    x = np.frombuffer(b"".join(v), kind).astype(np.float64).reshape(len(at), -1)
+    return (np.array(rows.column("rep"), np.int64)[mine], x / np.linalg.norm(x, axis=1, keepdims=True),
+            np.array(rows.column("copies"), np.float64)[mine], np.frombuffer(b"".join(fs), "<i8"),
+            np.array([len(y) // 8 for y in fs], np.int64))
 
 
 def _holds(m: tuple, seen: np.ndarray) -> np.ndarray:
@@ -209,7 +230,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     rows = vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("v"))
     ok = rows.where(usable("v"))
     classes = Stored(ok.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "embed-classes")
-    dims = [r.d for r in classes.df.groupBy(F.size("v").alias("d")).count().select("d").orderBy("d").limit(64).collect()]
+    dims = [r.d for r in classes.df.select(F.size("v").alias("d")).distinct().orderBy("d").collect()]
     links = None
     for d in dims:
         mine = classes.df.where(F.size("v") == d)
@@ -231,16 +252,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
 def _links(classes: DataFrame, caps: Caps, floor: float, tile: int, kind: str) -> DataFrame:
     """Per class and tile: links counted there, smallest id of the tile component."""
-    filtered = Stored(classes.select("rep", "copies", _packed("v", kind).alias("v"), _filters("v", caps).alias("fs")),
-                      "embed-filters").df
+    filtered = Stored(classes.select("rep", "copies", _packed("v", kind).alias("v"), _filters("v", caps).alias("x"))
+                      .select("rep", "copies", "v", "x.*"), "embed-filters").df
     sizes = filtered.select(F.explode("fs").alias("f")).groupBy("f").agg(F.count("*").alias("m")).where("m > 1")
     # a member goes to chunk c of its filter's k chunks by a hash of its id, and to tiles (c, o) for every chunk o
-    member = filtered.select(F.posexplode("fs").alias("p", "f"), "rep", "copies", "v", "fs").join(sizes, "f") \
+    member = filtered.select(F.posexplode("fs").alias("p", "f"), "rep", "copies", "v", "packed").join(sizes, "f") \
         .withColumn("k", F.ceil(F.col("m") / tile)).withColumn("c", F.pmod(F.xxhash64("rep"), F.col("k"))) \
         .withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
-    tiles = member.select("f", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", F.struct(
-        "rep", "copies", "v", F.slice("fs", F.lit(1), F.col("p")).alias("fs")).alias("m")) \
-        .groupBy("f", "i", "j").agg(F.collect_list(F.when(F.col("c") == F.col("i"), F.col("m"))).alias("a"),
-                                    F.collect_list(F.when(F.col("c") != F.col("i"), F.col("m"))).alias("b"))
-    return tiles.select("f", (F.col("i") == F.col("j")).alias("same"), "a", "b") \
+    tiles = member.select("f", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), (F.col("c") <= F.col("o")).alias("side"),
+                          "rep", "copies", "v", F.substring("packed", F.lit(1), F.col("p") * 8).alias("fs"))
+    key = ["f", "i", "j"]
+    return tiles.repartition(width(classes.sparkSession), *key).sortWithinPartitions(*key) \
         .mapInArrow(_compare(floor, kind), "rep long, n long, low long")

@@ -57,10 +57,12 @@ class Rollup:
         return True
 
     def compact(self) -> str:
-        """Fold all committed deltas into one batch that replaces them."""
-        live = [r.batch_id for r in self.commits().select("batch_id").collect()]  # one row a batch
+        """Fold the deltas committed so far into one batch that replaces them. The commits are read once: a batch
+        that comes in meanwhile is neither in the fold nor replaced by it."""
+        live = self.commits().collect()  # one row a batch since the last compaction
         batch_id = f"compacted-{uuid.uuid4().hex}"
-        self._write(batch_id, self.totals(), live)
+        self._write(batch_id, self._sums(self.spark.createDataFrame(live, "batch_id string, attempt string")),
+                    [r.batch_id for r in live])
         return batch_id
 
     def _write(self, batch_id: str, deltas: DataFrame, replaces: list[str]) -> None:
@@ -72,7 +74,10 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """Additive totals by key, without keys that have come down to nothing."""
-        sums = self._read("deltas", DELTA).join(self.commits(), ["batch_id", "attempt"], "left_semi") \
+        return self._sums(self.commits())
+
+    def _sums(self, commits: DataFrame) -> DataFrame:
+        sums = self._read("deltas", DELTA).join(commits, ["batch_id", "attempt"], "left_semi") \
             .groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
         return sums.where(" OR ".join(f"{m} <> 0" for m in MEASURES))
 

@@ -158,7 +158,7 @@ def test_embedding_links_equal_brute_force(spark, tile):
 
 def test_embedding_recall_of_the_default_plan():
     rng = np.random.default_rng(5)
-    for n in (500, 50_000, 1_000_000):
+    for n in (500, 50_000, 1_000_000, 3_000_000):
         caps = embed_dedup.plan(n, 64)
         x = rng.standard_normal((600, 64))
         x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -169,6 +169,21 @@ def test_embedding_recall_of_the_default_plan():
         assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)]) >= 0.95
 
 
+def test_default_plan_against_brute_force(spark):
+    """Links found with the default plan: none below the floor, nearly all at or above it; every length is compared."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((400, 24))
+    near = [0.95 * a / np.linalg.norm(a) + 0.2 * b / np.linalg.norm(b) for a, b in zip(x, rng.standard_normal((400, 24)))]
+    rows = np.float32([*x, *near]).tolist() + [[float(i + 1)] * d for d in range(30, 100) for i in (0, 1)]  # 70 lengths
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(df).collect()}
+    y = np.array(rows[:800], np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    n = ((y @ y.T >= 0.9) & ~np.eye(800, dtype=bool)).sum(axis=1)
+    assert all(got[i] <= n[i] for i in range(800)) and sum(got[i] for i in range(800)) >= 0.95 * n.sum() > 300
+    assert all(got[i] == 1 for i in range(800, len(rows)))
+
+
 def test_list_decoding_equals_all_filters():
     caps = embed_dedup.Caps(10, 3, 0.3, codes=2)
     x = np.random.default_rng(6).standard_normal((20, 10))
@@ -225,6 +240,21 @@ def test_rollup_batches(spark):
     assert rollup.apply("empty", put.limit(0)) and totals(rollup) == sorted(expect, key=str)
 
 
+def test_batch_that_comes_in_while_the_rollup_is_compacted_counts_once(spark, tmp_path, monkeypatch):
+    rollup = token_rollup.Rollup(spark, str(tmp_path / "race"))
+    put = spark.createDataFrame([("s", "en", "t", 1, 5, 9)], "source string, lang string, tokenizer string, docs long, tokens long, chars long")
+    rollup.apply("one", put)
+    write = rollup._write
+
+    def another_first(batch_id, deltas, replaces):
+        if batch_id.startswith("compacted"):
+            rollup.apply("two", put)
+        write(batch_id, deltas, replaces)
+    monkeypatch.setattr(rollup, "_write", another_first)
+    rollup.compact()
+    assert [r["docs"] for r in rollup.totals().collect()] == [2]
+
+
 def test_rollup_query_equals_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "labels"):
@@ -282,5 +312,5 @@ def test_filters_judge_rows_with_null_or_repeated_ids_one_by_one(spark, tmp_path
 
 def test_queries_registered():
     import __spark_entry__ as E
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in E.LLM_QUERIES if q != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in E.LLM_QUERIES if q != "pipeline"}
     assert "pipeline" in E.queries()
