@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsmith.llm.common import Stored
+from jobsmith.llm.common import Stored, width
 
 SPACE = "\u2581"
 SEND_UNITS = 4_000_000
@@ -132,19 +132,20 @@ def best_paths(edges: DataFrame) -> DataFrame:
     """(h, unit, score, path): the best path's (id, start, end) edges, folded from the lattice."""
     grouped = edges.groupBy("h", "unit").agg(F.collect_list(F.struct("end", "start", "id", "score")).alias("e")) \
         .withColumn("e", F.sort_array("e"))
-    # places[p] = best (score, -start of the last edge, its id) over all ways to place p; edges come ordered by end
-    first = F.array(F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("back"), F.lit(-2).alias("id")))
-    step = lambda acc, e: F.struct(
-        (F.element_at(acc, e["start"] + 1)["s"] + e["score"]).alias("s"), (-e["start"]).alias("back"), e["id"].alias("id"))
+    # edges come ordered by end: ``cur`` is the best way (score, -start of its last edge, its id) to place ``at``
+    # so far, ``done`` the best ways to the places before it
+    kind = "struct<done:array<struct<s:double,back:int,id:int>>,cur:struct<s:double,back:int,id:int>,at:int>"
+    first = F.struct(F.array().alias("done"), F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("back"), F.lit(-2).alias("id"))
+                     .alias("cur"), F.lit(0).alias("at"))
 
     def fold(acc, e):
-        way = step(acc, e)
-        new = F.size(acc) == e["end"]  # the first edge that ends here
-        last = F.element_at(acc, -1)
-        return F.when(new, F.concat(acc, F.array(way))) \
-            .when(way > last, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(way))).otherwise(acc)
-    kind = "array<struct<s:double,back:int,id:int>>"
-    places = grouped.select("h", "unit", F.aggregate("e", first.cast(kind), fold).alias("p"))
+        before = F.when(e["start"] == acc["at"], acc["cur"]["s"]).otherwise(F.get(acc["done"], e["start"])["s"])
+        way = F.struct((before + e["score"]).alias("s"), (-e["start"]).alias("back"), e["id"].alias("id"))
+        new = e["end"] > acc["at"]  # the first edge that ends here
+        return F.struct(F.when(new, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]).alias("done"),
+                        F.when(new, way).otherwise(F.greatest(acc["cur"], way)).alias("cur"), e["end"].alias("at"))
+    places = grouped.select("h", "unit", F.aggregate("e", first.cast(kind), fold, lambda x: F.concat(
+        x["done"], F.array(x["cur"]))).alias("p"))
     # walk back: at each place from the last, take its edge if the path stands there
     start = F.struct((F.size("p") - 1).alias("at"), F.array().cast("array<struct<id:int,start:int,end:int>>").alias("path"))
     walk = F.aggregate(
@@ -171,13 +172,33 @@ def encode_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
         "h", "unit", F.when(F.exists("path", lambda e: e["id"] < 0), spelled).otherwise(plain).alias("ids"), "score")
 
 
+def packed(table: DataFrame) -> DataFrame:
+    """(low, n, same, hashes, lens, ids) of rows (h, ids): runs of units in order of their hashes, as bytes, with
+    the number of hashes that two units of a run share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            h = np.array(batch.column("h"), np.int64)
+            lists = batch.column("ids")
+            if len(h):
+                same = int((h[1:] == h[:-1]).sum()) + int(last == h[0])
+                last = h[-1]
+                yield pa.RecordBatch.from_pydict({
+                    "low": [int(h[0])], "n": [len(h)], "same": [same], "hashes": [h.tobytes()],
+                    "lens": [np.diff(np.array(lists.offsets)).astype("<i4").tobytes()],
+                    "ids": [np.array(lists.flatten(), "<i4").tobytes()]})
+    return table.select("h", "ids").repartitionByRange(width(table.sparkSession), "h").sortWithinPartitions("h") \
+        .mapInArrow(run, "low long, n long, same long, hashes binary, lens binary, ids binary")
+
+
 class Held:
     """Units' ids by the units' hashes, compact enough to be sent to every task, behind a bounded memo."""
 
     MOST = 150_000
 
-    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, ids: np.ndarray):
-        self.hashes, self.offsets, self.ids = hashes, offsets, ids  # sorted by hash
+    def __init__(self, hashes: bytes, lens: bytes, ids: bytes):
+        self.hashes, self.ids = np.frombuffer(hashes, np.int64), np.frombuffer(ids, "<i4")  # sorted by hash
+        self.offsets = np.concatenate(([0], np.cumsum(np.frombuffer(lens, "<i4"), dtype=np.int64)))
         self.memo: dict[str, bytes] = {}
 
     def learn(self, unit: str) -> None:
@@ -229,22 +250,16 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     with _gathered_in_memory(spark):
         table = Stored(encode_units(parts, spark, path).select("h", "unit", "ids"), "coded-units").df
     words.drop()
-    n, hashes = table.agg(F.count("*"), F.count_distinct("h")).first() if table.count() <= send_units else (send_units + 1, 0)
     schema = "id long, ids array<int>"
-    if n == hashes:  # a bounded table, and no two units of one hash
-        sent = table.select("h", "ids").toArrow()
-        h = np.array(sent["h"], np.int64)
-        lists = sent["ids"].combine_chunks() if n else pa.array([], pa.list_(pa.int32()))
-        del sent
-        order = np.argsort(h, kind="stable")
-        begin, flat = np.array(lists.offsets, np.int64), np.array(lists.flatten(), np.int32)
-        lens = np.diff(begin)[order] if n else np.zeros(0, np.int64)
-        ends = np.concatenate(([0], np.cumsum(lens)))
-        flat = flat[np.repeat(begin[:-1][order] - ends[:-1], lens) + np.arange(ends[-1])] if n else flat
-        held = spark.sparkContext.broadcast((h[order], ends, flat))
-
+    sent = None
+    if table.count() <= send_units:  # a bounded table: some 20 bytes a unit
+        runs = sorted(packed(table).collect(), key=lambda r: r["low"])
+        if not sum(r["same"] for r in runs):  # no two units of one hash
+            sent = spark.sparkContext.broadcast([b"".join(r[c] for r in runs) for c in ("hashes", "lens", "ids")])
+        del runs
+    if sent is not None:
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cut, known = re.compile(pattern), Held(*held.value)
+            cut, known = re.compile(pattern), Held(*sent.value)
             yield from _rows(((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column("id"), b.column("t"))),
                              lambda t: known.encode(units(t, cut)))
         out = own.mapInArrow(look_up, schema)

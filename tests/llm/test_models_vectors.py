@@ -278,7 +278,7 @@ def test_stages(spark, tmp_path, labelled):
     labels.write.parquet(os.path.join(sf, "labels.parquet"))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(os.path.join(sf, "benchmark.parquet"))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "toxicity", "simhash near-dedup",
-                                                      "benchmark decontamination", "sentencepiece encoding"]
+                                                      "benchmark decontamination", "sentencepiece encoding and decoding"]
     whole = spark.read.parquet(os.path.join(sf, "documents.parquet"))
     kept = {name: {r["doc_id"] for r in f(spark, whole, sf).collect()} for name, f in corpus_pipeline.STAGES}
     junk, toxic = {i for i in range(600) if i % 3 == 0}, {i for i in range(600) if i % 3 and i % 4 == 0}
@@ -286,11 +286,12 @@ def test_stages(spark, tmp_path, labelled):
     assert len(kept["toxicity"] & toxic) <= 4 and len(kept["toxicity"] - toxic) >= 496
     assert 602 not in kept["simhash near-dedup"] and 1 in kept["simhash near-dedup"]    # 602 is a copy of 1
     assert kept["benchmark decontamination"] == set(range(len(texts))) - {603, 604}
-    assert kept["sentencepiece encoding"] == set(range(len(texts)))
+    assert kept["sentencepiece encoding and decoding"] == set(range(len(texts)))
     first = corpus_pipeline.STAGES[0][1](spark, whole, sf)
     assert first.columns == whole.columns
     out = corpus_pipeline.run(spark, sf)
-    assert out.columns == ["doc_id", "ids"] and 0 < out.count() < len(texts)
+    assert out.columns == ["doc_id", "ids", "decoded_crc32"] and 0 < out.count() < len(texts)
+    assert all(r["decoded_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in out.collect())
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, whole.limit(0), sf).count() == 0
 
