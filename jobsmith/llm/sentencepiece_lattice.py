@@ -27,6 +27,7 @@ under the best-sum rule, which need not be the library's order of merges.
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -172,7 +173,12 @@ def encode_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
         "h", "unit", F.when(F.exists("path", lambda e: e["id"] < 0), spelled).otherwise(plain).alias("ids"), "score")
 
 
-def packed(table: DataFrame) -> DataFrame:
+def id_kind(path: str) -> str:
+    """Bytes of an id in the packed table: two if the model's numbers fit."""
+    return "<u2" if model(path).get_piece_size() <= 1 << 16 else "<i4"
+
+
+def packed(table: DataFrame, kind: str) -> DataFrame:
     """(low, n, same, hashes, lens, ids) of rows (h, ids): runs of units in order of their hashes, as bytes, with
     the number of hashes that two units of a run share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +191,8 @@ def packed(table: DataFrame) -> DataFrame:
                 last = h[-1]
                 yield pa.RecordBatch.from_pydict({
                     "low": [int(h[0])], "n": [len(h)], "same": [same], "hashes": [h.tobytes()],
-                    "lens": [np.diff(np.array(lists.offsets)).astype("<i4").tobytes()],
-                    "ids": [np.array(lists.flatten(), "<i4").tobytes()]})
+                    "lens": [np.diff(np.array(lists.offsets)).astype("<u4").tobytes()],
+                    "ids": [np.array(lists.flatten()).astype(kind).tobytes()]})
     return table.select("h", "ids").repartitionByRange(width(table.sparkSession), "h").sortWithinPartitions("h") \
         .mapInArrow(run, "low long, n long, same long, hashes binary, lens binary, ids binary")
 
@@ -196,15 +202,16 @@ class Held:
 
     MOST = 150_000
 
-    def __init__(self, hashes: bytes, lens: bytes, ids: bytes):
-        self.hashes, self.ids = np.frombuffer(hashes, np.int64), np.frombuffer(ids, "<i4")  # sorted by hash
-        self.offsets = np.concatenate(([0], np.cumsum(np.frombuffer(lens, "<i4"), dtype=np.int64)))
+    def __init__(self, hashes: bytes, lens: bytes, ids: bytes, kind: str):
+        self.hashes, self.ids, self.size = np.frombuffer(hashes, np.int64), ids, np.dtype(kind).itemsize  # sorted by hash
+        self.offsets = np.concatenate(([0], np.cumsum(np.frombuffer(lens, "<u4"), dtype=np.uint32))).astype(np.uint32)
         self.memo: dict[str, bytes] = {}
 
-    def learn(self, unit: str) -> None:
-        h = np.uint64(xxhash.xxh64_intdigest(unit.encode(), 42)).astype(np.int64)
-        i = int(np.searchsorted(self.hashes, h))
-        self.memo[unit] = self.ids[self.offsets[i]:self.offsets[i + 1]].tobytes()
+    def learn(self, new: list[str]) -> None:
+        h = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in new], np.uint64).view(np.int64)
+        i = np.searchsorted(self.hashes, h)
+        lo, hi = ((self.offsets[at].astype(np.int64) * self.size).tolist() for at in (i, i + 1))
+        self.memo.update(zip(new, [self.ids[a:b] for a, b in zip(lo, hi)]))
 
     def encode(self, parts: list[str]) -> bytes:
         if len(self.memo) > self.MOST:
@@ -212,35 +219,59 @@ class Held:
         out = []
         for i in range(0, len(parts), 1 << 16):
             part = parts[i:i + (1 << 16)]
-            for u in {u for u in part if u not in self.memo}:
-                self.learn(u)
+            new = list({u for u in part if u not in self.memo})
+            if new:
+                self.learn(new)
             out.append(b"".join(map(self.memo.__getitem__, part)))
         return b"".join(out)
 
 
-def _rows(docs: Iterator[tuple], encode_one) -> Iterator[pa.RecordBatch]:
-    """(id, ids) batches of a bounded number of ids."""
-    names, lists, held = [], [], 0
+COLUMNS = {"ids": "array<int>", "n_tokens": "long", "ids_crc32": "long", "decoded_crc32": "long"}
+
+
+def spellings(path: str) -> list[bytes]:
+    """Text of every id: a byte piece's byte, U+2581 as a blank, nothing for a control piece."""
+    m = model(path)
+    return [bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else
+            b"" if m.is_control(i) else m.id_to_piece(i).replace(SPACE, " ").encode() for i in range(m.get_piece_size())]
+
+
+def spell(ids: list[int], raw: list[bytes]) -> str:
+    text = b"".join(map(raw.__getitem__, ids))
+    return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
+
+
+def _rows(docs: Iterator[tuple], encode_one, columns: tuple[str, ...], raw: list[bytes]) -> Iterator[pa.RecordBatch]:
+    """(id, columns) batches of a bounded number of ids; ``encode_one`` gives a text's ids as an array."""
+    out, held = {c: [] for c in ("id", *columns)}, 0
 
     def close():
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))) // 4
-        flat = pa.array(np.frombuffer(b"".join(lists), np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(
-            pa.array(ends.astype(np.int32)), flat)], names=["id", "ids"])
+        arrays = [pa.array(out["id"], pa.int64())]
+        for c in columns:
+            if c == "ids":
+                ends = np.concatenate(([0], np.cumsum([len(x) for x in out[c]]))).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out[c]))))
+            else:
+                arrays.append(pa.array(out[c], pa.int64()))
+        return pa.RecordBatch.from_arrays(arrays, names=["id", *columns])
     for i, t in docs:
-        names.append(i)
-        lists.append(encode_one(t))
-        held += len(lists[-1])
+        ids = encode_one(t).astype("<i4")
+        out["id"].append(i)
+        for c in columns:
+            out[c].append(ids if c == "ids" else len(ids) if c == "n_tokens" else zlib.crc32(ids.tobytes()) if c == "ids_crc32"
+                          else zlib.crc32(spell(ids.tolist(), raw).encode()))
+        held += 4 * len(ids) + 64
         if held > 1 << 22:
             yield close()
-            names, lists, held = [], [], 0
-    if names:
+            out, held = {c: [] for c in out}, 0
+    if out["id"]:
         yield close()
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           send_units: int = SEND_UNITS) -> DataFrame:
-    """One row per document: its id and ``ids`` (array of int)."""
+           send_units: int = SEND_UNITS, columns: tuple[str, ...] = ("ids",)) -> DataFrame:
+    """One row per document: its id and ``columns`` of ``ids`` (array of int), ``n_tokens``, ``ids_crc32`` (ids as
+    little-endian uint32) and ``decoded_crc32`` (of the text decoded from them again), all made in one pass."""
     spark = docs.sparkSession
     pattern = unit_pattern(pieces(path))
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
@@ -250,18 +281,19 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     with _gathered_in_memory(spark):
         table = Stored(encode_units(parts, spark, path).select("h", "unit", "ids"), "coded-units").df
     words.drop()
-    schema = "id long, ids array<int>"
+    schema = ", ".join(["id long", *[f"{c} {COLUMNS[c]}" for c in columns]])
+    kind, raw = id_kind(path), spellings(path)
     sent = None
     if table.count() <= send_units:  # a bounded table: some 20 bytes a unit
-        runs = sorted(packed(table).collect(), key=lambda r: r["low"])
+        runs = sorted(packed(table, kind).collect(), key=lambda r: r["low"])
         if not sum(r["same"] for r in runs):  # no two units of one hash
             sent = spark.sparkContext.broadcast([b"".join(r[c] for r in runs) for c in ("hashes", "lens", "ids")])
         del runs
     if sent is not None:
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cut, known = re.compile(pattern), Held(*sent.value)
+            cut, known = re.compile(pattern), Held(*sent.value, kind)
             yield from _rows(((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column("id"), b.column("t"))),
-                             lambda t: known.encode(units(t, cut)))
+                             lambda t: np.frombuffer(known.encode(units(t, cut)), kind), columns, raw)
         out = own.mapInArrow(look_up, schema)
     else:
         chars = own.agg(F.coalesce(F.sum(F.char_length("t").cast("long")), F.lit(0))).first()[0]
@@ -280,35 +312,23 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             cut = re.compile(pattern)
             ids = {u: array("i", x).tobytes() for u, x in zip(right["unit"].to_pylist(), right["ids"].to_pylist())}
             docs_ = zip(left["id"].to_pylist(), left["t"].to_pylist())
-            out = list(_rows(docs_, lambda t: b"".join([ids[u] for u in units(t, cut)])))
-            return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))]))
+            out = list(_rows(docs_, lambda t: np.frombuffer(b"".join([ids[u] for u in units(t, cut)]), "<i4"), columns, raw))
+            types = {"ids": pa.list_(pa.int32())}
+            return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), *[(c, types.get(c, pa.int64())) for c in columns]]))
         out = placed.groupBy("block").cogroup(need.groupBy("block")).applyInArrow(block, schema)
     return out.withColumnRenamed("id", id_col)
 
 
 def decode(ids: str | Column, path: str) -> Column:
     """Text of an id array: pieces joined, byte pieces as bytes, U+2581 as blanks, the first one off."""
-    m = model(path)
-    raw = [bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else
-           b"" if m.is_control(i) else m.id_to_piece(i).replace(SPACE, " ").encode() for i in range(m.get_piece_size())]
+    raw = spellings(path)
 
     @F.arrow_udf("string")
     def run(col: pa.Array) -> pa.Array:
-        out = []
-        for x in col:
-            text = b"".join([raw[i] for i in np.array(x.values).tolist()]) if x.is_valid else b""
-            out.append(text[1:].decode("utf-8", "replace") if text[:1] == b" " else text.decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
+        return pa.array([spell(np.array(x.values).tolist(), raw) if x.is_valid else "" for x in col], pa.string())
     return run(ids)
 
 
 def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: n_tokens, ids_crc32 (ids as little-endian uint32) and the decoded text's crc32."""
-    import zlib
-
-    @F.arrow_udf("long")
-    def crc(col: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(np.array(x.values, "<u4").tobytes()) for x in col], pa.int64())
-    return encode(docs, path, id_col, text_col).select(
-        id_col, F.size("ids").cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"),
-        F.crc32(F.encode(decode("ids", path), "UTF-8")).alias("decoded_crc32"))
+    """One row per document: n_tokens, ids_crc32 and the decoded text's crc32."""
+    return encode(docs, path, id_col, text_col, columns=("n_tokens", "ids_crc32", "decoded_crc32"))
