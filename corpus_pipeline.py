@@ -56,9 +56,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids, decoded_crc32): every document as SentencePiece ids, and the CRC-32 of the text decoded
     from them again (of the empty text for an empty or null one)."""
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    return sentencepiece_lattice.encode(docs, path).withColumn(
-        "decoded_crc32", F.crc32(F.encode(sentencepiece_lattice.decode("ids", path), "UTF-8")))
+    return sentencepiece_lattice.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), columns=("ids", "decoded_crc32"))
 
 
 STAGES = [("quality classifier", quality), ("toxicity", toxicity), ("simhash near-dedup", near_duplicates),
