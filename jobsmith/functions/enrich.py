@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsmith import rules as R
-from jobsmith.functions.text import NON_WORD_CHAR, _is_word_char, contains_any, contains_word, text_concat
+from jobsmith.functions.text import NON_WORD_CHAR, WORD_CHAR, _is_word_char, contains_any, contains_word, text_concat
 
 TOKEN_SPLIT = NON_WORD_CHAR + "+"
 
@@ -46,6 +46,44 @@ def extract_keywords(hay: Column, toks: Column, keywords: list[str] | None = Non
     return F.sort_array(merged)
 
 
+RUNS = f"{WORD_CHAR}+|{NON_WORD_CHAR}+"
+
+
+def extract_keywords_table(docs: DataFrame, keywords: DataFrame, hay: Column, *, id_col: str = "doc_id",
+                           keyword_col: str = "keyword", out: str = "skills_extracted") -> DataFrame:
+    """(id, sorted distinct keywords found as whole words) for dictionaries too large to be literals of a plan.
+
+    A text is cut into alternating runs of word and other characters. A keyword holds between ``\\b`` boundaries
+    exactly where its own runs are consecutive runs of the text and a run of other characters that it begins or ends
+    with does not touch the text's edge, so such edge runs are cut off. Places whose run begins some keyword (an
+    equi-join to the first runs) offer the joined runs of each length found in the dictionary, and those are
+    equi-joined to the keywords. Places alike in one text count once; what is shuffled grows with the text times the
+    number of distinct keyword lengths.
+
+    Null and empty texts have none, null and empty keywords are left out, repeated ones count once; rows of
+    one id are one document; a table without keywords gives empty lists."""
+    k = keywords.select(F.lower(F.col(keyword_col)).alias("gram")).where("gram <> ''").distinct() \
+        .withColumn("runs", F.regexp_extract_all("gram", F.lit(RUNS), 0)) \
+        .select("gram", F.col("runs")[0].alias("first"), F.size("runs").alias("n"))
+    lengths = sorted(r.n for r in k.select("n").distinct().collect())  # at most the longest keyword's runs
+    ids = docs.select(F.col(id_col).alias("id"))
+    if not lengths:
+        return ids.distinct().select(F.col("id").alias(id_col), F.array().cast("array<string>").alias(out))
+    runs = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(F.lower(hay), F.lit(RUNS), 0).alias("runs")) \
+        .select("id", F.filter("runs", lambda r, i: r.rlike(f"^{WORD_CHAR}") | (i > 0) & (i < F.size("runs") - 1)).alias("runs"))
+    offers = F.transform("runs", lambda r, i: F.struct(
+        r.alias("first"), F.array(*[F.array_join(F.slice("runs", i + 1, n), "") for n in lengths]).alias("grams")))
+    places = runs.select("id", F.explode(F.array_distinct(offers)).alias("p")).select("id", "p.first", "p.grams")
+    firsts = k.groupBy("first").agg(F.collect_set("n").alias("ns"))
+    at = F.array(*[F.lit(n) for n in lengths])
+    grams = places.join(firsts, "first").select(
+        "id", F.explode(F.filter("grams", lambda g, i: F.array_contains("ns", at[i]))).alias("gram"))
+    found = grams.join(k.select("gram"), "gram").select("id", "gram")
+    return found.unionByName(ids.select("id", F.lit(None).cast("string").alias("gram"))) \
+        .groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("found")) \
+        .select(F.col("id").alias(id_col), F.col("found").alias(out))
+
+
 def _word_hit(hay: Column, toks: Column, needles: list[str]) -> Column:
     words = [n.lower() for n in needles if is_plain_word(n)]
     phrases = [n.lower() for n in needles if not is_plain_word(n)]

@@ -15,9 +15,9 @@ from jobsmith import rules as R
 from jobsmith.functions import json as J
 from jobsmith.functions.arrays import unnest
 from jobsmith.functions.dates import sentinel_desc, with_iso_date
-from jobsmith.functions.enrich import with_enrichment
+from jobsmith.functions.enrich import RUNS, extract_keywords_table, with_enrichment
 from jobsmith.functions.hashing import sha256_hex
-from jobsmith.functions.text import cast_or_null, empty_to_null, lower_contains, normalize_ws, text_concat, \
+from jobsmith.functions.text import WORD_CHAR, cast_or_null, empty_to_null, lower_contains, normalize_ws, text_concat, \
     truthy_text
 from jobsmith.operators import merge as M
 from jobsmith.operators import metrics as MT
@@ -655,6 +655,27 @@ def text_extract_keywords(spark, sf):
     return out.select("doc_id", jtxt("skills_extracted", "skills"))
 
 
+RUNS_SQL = "regexp_extract_all({}, '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+')"
+
+
+@query("text_extract_keywords_table", f"""WITH b AS (SELECT {RUNS_SQL.format('lower(text)')} AS r FROM benchmark),
+  k AS (SELECT DISTINCT array_to_string(r[i:i + n - 1], '') AS g FROM (SELECT r, unnest(generate_series(1, len(r))) AS i FROM b),
+    (VALUES (1), (3)) AS lengths(n) WHERE i + n - 1 <= len(r) AND regexp_matches(r[i], '^[\\p{{L}}\\p{{N}}_]')),
+  d AS (SELECT doc_id, {RUNS_SQL.format(DOC_HAY)} AS r FROM documents),
+  hits AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, array_to_string(r[i:i + n - 1], '') AS g FROM
+    (SELECT doc_id, r, unnest(generate_series(1, len(r))) AS i FROM d), (VALUES (1), (3)) AS lengths(n)) JOIN k USING (g))
+  SELECT doc_id, CAST(COUNT(g) AS BIGINT) AS n, COALESCE(sha256(string_agg(g, '|' ORDER BY g COLLATE "binary")), '') AS digest
+  FROM documents LEFT JOIN hits USING (doc_id) GROUP BY doc_id""")
+def text_extract_keywords_table(spark, sf):
+    """Keywords from a table: every word and two-word phrase of the benchmark's texts."""
+    runs = read(spark, sf, "benchmark").select(F.regexp_extract_all(F.lower("text"), F.lit(RUNS), 0).alias("r"))
+    words = F.transform("r", lambda w, i: F.array(w, F.when(i + 2 < F.size("r"), F.array_join(F.slice("r", i + 1, 3), ""))))
+    keywords = runs.select(F.explode(F.flatten(words)).alias("keyword")).where(F.col("keyword").rlike(f"^{WORD_CHAR}"))
+    out = extract_keywords_table(doc_frame(spark, sf), keywords, text_concat("title", "description"))
+    return out.select("doc_id", F.size("skills_extracted").cast("bigint").alias("n"), F.when(
+        F.size("skills_extracted") > 0, F.sha2(F.array_join("skills_extracted", "|"), 256)).otherwise("").alias("digest"))
+
+
 @query("text_classify_first_match", f"SELECT doc_id, {O.role(DOC_HAY)} AS role_type FROM documents")
 def text_classify_first_match(spark, sf):
     out = with_enrichment(doc_frame(spark, sf), "title", "description", outputs=("role_type",))

@@ -21,6 +21,7 @@ from jobsmith.plans.tables import read
 from jobsmith.schema import MESSAGE_FIELDS, STREAM_COLUMNS
 from jobsmith.session import materialize, scratch_path
 from jobsmith.sources.files import paged_results, read_json_documents
+from jobsmith.sources.pages import page_stream
 from jobsmith.streaming import jobs as S
 
 CHUNKS = 3
@@ -163,7 +164,7 @@ def sink_kafka(spark, sf):
 @query("stream_publish", W(RAW, API_POST) + "SELECT DISTINCT job_hash AS key, CAST(1 AS BIGINT) AS n FROM api_postings")
 def stream_publish(spark, sf):
     """Postings delivered twice (a full delivery, then French postings again);
-    each key is published exactly once (first seen, state store)."""
+    each key is published exactly once (first seen, combined before the shuffle)."""
     base = scratch_path(spark, "publish")
     land = base + "/landing"
     res = paged_results(read_json_documents(spark, L.land_pages(spark, sf)))
@@ -173,10 +174,10 @@ def stream_publish(spark, sf):
     posts.filter(F.col("lang") == "fr").select("value").write.mode("append").text(land)
     stream = spark.readStream.option("singleVariantColumn", "j").option("maxFilesPerTrigger", "4") \
         .format("json").load(land)
-    S.start(S.publish(stream), checkpoint=base + "/_checkpoint", sink=base + "/out",
-            fmt="json").awaitTermination()
-    out = spark.read.schema(S.RECORD_SCHEMA).json(base + "/out")
-    return out.groupBy("key").agg(F.count("*").alias("n"))
+    records = S.publish(stream, dedup=False)
+    first = S.FirstSeen(spark, base + "/out", records.schema, fmt="json")
+    S.start(records, checkpoint=base + "/_checkpoint", foreach_batch=first.write).awaitTermination()
+    return first.read().groupBy("key").agg(F.count("*").alias("n"))
 
 
 @query("stream_dedup_bounded", """SELECT DISTINCT sha256(CAST(user_id AS VARCHAR) || '|' || event_type) AS key,
@@ -229,6 +230,23 @@ def stream_resume(spark, sf):
         .agg(F.count("*").alias("n"))
 
 
+@query("stream_page_cursor", """SELECT doc_id AS job_id, CAST(floor(doc_id / 100) + 1 AS BIGINT) AS page,
+  CASE WHEN floor(doc_id / 100) + 1 <= ceil((SELECT max(floor(doc_id / 100) + 1) FROM documents) / 2) THEN 2 ELSE 1 END
+  AS deliveries FROM documents""")
+def stream_page_cursor(spark, sf):
+    """Four polls, a run each on one checkpoint: both halves of the pages, nothing (the cursor goes back), the
+    first half again."""
+    base = scratch_path(spark, "page_cursor")
+    pages = L.land_pages(spark, sf, by_page=True)
+    half = -(-spark.read.text(pages).agg(F.max("page")).first()[0] // 2)
+    posts = page_stream(spark, pages, pages_per_poll=half) \
+        .select("page", F.explode(J.vget(F.try_parse_json("value"), "$.results", "array<variant>")).alias("j")) \
+        .select("page", J.vget(F.col("j"), "$.id", "bigint").alias("job_id"))
+    for _ in range(4):
+        S.start(posts, checkpoint=base + "/_checkpoint", sink=base + "/out", fmt="parquet").awaitTermination()
+    return spark.read.parquet(base + "/out").groupBy("job_id", "page").agg(F.count("*").alias("deliveries"))
+
+
 @query("stream_daily_counts", """SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, event_type, COUNT(*) AS n
   FROM events GROUP BY 1, 2""")
 def stream_daily_counts(spark, sf):
@@ -268,12 +286,12 @@ def stream_latest(spark, sf):
 
 @query("dedup_first_seen", "SELECT DISTINCT sha256(CAST(user_id AS VARCHAR) || '|' || event_type) AS key FROM events")
 def dedup_first_seen(spark, sf):
-    """Streaming first-seen dedup (state store); only order-independent columns are returned."""
+    """Streaming first-seen dedup, combined before the shuffle; only order-independent columns are returned."""
     base = scratch_path(spark, "first_seen")
     stream = S.record_stream(spark, land_event_records(spark, sf), max_files_per_trigger=1)
-    S.start(stream.dropDuplicates(["key"]), checkpoint=base + "/_checkpoint", sink=base + "/out",
-            fmt="parquet").awaitTermination()
-    return spark.read.parquet(base + "/out").select("key")
+    first = S.FirstSeen(spark, base + "/out", stream.schema, order=[seq_of(F.col("value"))])
+    S.start(stream, checkpoint=base + "/_checkpoint", foreach_batch=first.write).awaitTermination()
+    return first.read().select("key")
 
 
 def event_payload_rows(spark, sf) -> DataFrame:

@@ -45,8 +45,9 @@ def api_posting_json(scalar_company: Column) -> Column:
         obj(F.struct(F.col("company").alias("display_name"))))
 
 
-def land_pages(spark: SparkSession, sf_dir: str) -> str:
-    """JSON lines ``{"page": n, "results": [...]}``, ``PER_PAGE`` postings per page."""
+def land_pages(spark: SparkSession, sf_dir: str, by_page: bool = False) -> str:
+    """JSON lines ``{"page": n, "results": [...]}``, ``PER_PAGE`` postings per page; ``by_page``: a folder
+    ``page={n}`` each."""
     raw = A.raw_postings(spark, sf_dir, enrich=False)
     posts = raw.select((F.floor(F.col("doc_id") / PER_PAGE) + 1).cast("bigint").alias("page"), "doc_id",
                        api_posting_json(F.col("category") == "HOUSEHOLD").alias("js"))
@@ -54,7 +55,10 @@ def land_pages(spark: SparkSession, sf_dir: str) -> str:
     line = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"results":['),
                     F.array_join(F.transform("p", lambda x: x["js"]), ","), F.lit("]}"))
     path = scratch_path(spark, "pages")
-    pages.select(line.alias("value")).write.text(path)
+    if by_page:
+        pages.select("page", line.alias("value")).write.partitionBy("page").text(path)
+    else:
+        pages.select(line.alias("value")).write.text(path)
     return path
 
 

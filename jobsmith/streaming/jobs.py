@@ -63,7 +63,7 @@ def start(df: DataFrame, *, checkpoint: str, sink: str | None = None, fmt: str =
 
 
 def publish(postings: DataFrame, *, posting_col: str = "j", event_time: str | None = None,
-            dedup_delay: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+            dedup_delay: str | None = None, keep: Sequence[str] = (), dedup: bool = True) -> DataFrame:
     """Raw API postings (streaming, VARIANT ``posting_col``) -> keyed records,
     each key published once.
 
@@ -72,8 +72,9 @@ def publish(postings: DataFrame, *, posting_col: str = "j", event_time: str | No
     state: a key is suppressed for ``dedup_delay`` of event time after its first
     occurrence, then forgotten — a defined bound instead of an arbitrary cut. A
     first occurrence later than the watermark is left out by it as well; where
-    that may happen use the exact form. Postings that are not JSON (NULL) are not
-    published: see ``malformed``.
+    that may happen use the exact form. ``dedup=False`` leaves it to the sink:
+    ``FirstSeen`` is exact too and combines a hot key before it is shuffled.
+    Postings that are not JSON (NULL) are not published: see ``malformed``.
     """
     postings = postings.filter(F.col(posting_col).isNotNull())
     msgs = stream_message(postings, posting_col=posting_col, keep=list(keep))
@@ -81,7 +82,7 @@ def publish(postings: DataFrame, *, posting_col: str = "j", event_time: str | No
         ts = F.col(event_time).cast("timestamp")
         msgs = msgs.withColumn("_et", ts).withWatermark("_et", dedup_delay) \
             .dropDuplicatesWithinWatermark(["job_hash"]).drop("_et")
-    else:
+    elif dedup:
         msgs = msgs.dropDuplicates(["job_hash"])
     return encode_records(msgs)
 
@@ -91,6 +92,47 @@ def malformed(postings: DataFrame, *, posting_col: str = "j") -> DataFrame:
     return postings.filter(F.col(posting_col).isNull())
 
 
+class FirstSeen:
+    """Sink that keeps the first row of every key: one folder a micro-batch, which is the output and, for later
+    batches, the table of keys seen.
+
+    A batch is reduced to a row a key with partial aggregates, so a key with a third of the rows ships one row a
+    map task. Of the table only the keys that the batch holds are kept, by a semi join on the key column alone:
+    a small batch is broadcast (AQE's size check) and the table is not shuffled. Within a batch the first row is
+    the smallest by ``order`` (then by its columns). Null keys are one key. A replayed batch writes its own folder
+    again and does not look at it; a new checkpoint is another ``query`` and goes on after what is there."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, key: str = "key",
+                 order: Sequence[Column] = (), fmt: str = "parquet", query: str | None = None):
+        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
+        self.order, self.fmt, self.query = list(order), fmt, query
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        own = self.query or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        rest = F.struct(*[F.col(c) for c in self.schema.names])
+        rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(self.order)], rest.alias("row"))
+        one = batch.groupBy(self.key).agg(F.min(rank).alias("_r")).select("_r.row.*").persist()
+        try:
+            keys = one.select(F.col(self.key).alias("_k"))
+            before = self._rows().where(~((F.col("query") == own) & (F.col("batch_id") >= batch_id)))
+            known = before.select(F.col(self.key).alias("_s")).join(keys, F.expr("_s <=> _k"), "left_semi")
+            one.join(known, F.col(self.key).eqNullSafe(F.col("_s")), "left_anti") \
+                .write.mode("overwrite").format(self.fmt).save(f"{self.path}/query={own}/batch_id={batch_id}")
+        finally:
+            one.unpersist()
+
+    def read(self) -> DataFrame:
+        return self._rows().select(*self.schema.names)
+
+    def _rows(self) -> DataFrame:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        full = StructType(list(self.schema)).add("query", "string").add("batch_id", "long")
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], full)
+        return self.spark.read.schema(full).format(self.fmt).load(self.path)
+
+
 class StreamTable:
     """Stream table under ``base``: one part a micro-batch, ``b{n}-{query}-{batch}``, and now and then a
     compacted part ``c{n}-`` that holds the fold of all parts up to number n and hides only those: a batch that
