@@ -20,10 +20,16 @@ leak, reported at the closest one.
 
 The items are the query set: their table is sent to every task in blocks of at
 most ``BLOCK`` items (a proven bound), one pass over the documents a block.
-Items shorter than ``min_words`` words are too short to tell a leak and are not
-searched. Null and empty texts hold no leak; repeated items give a row each;
-repeated documents each give their rows; an empty table on either side gives no
-rows.
+Items of fewer than ``min_words`` words leak only as they are, without an edit.
+Items of more than ``whole_words`` words are looked for by their parts: of m parts
+one holds at most an m-th of the edits. A window like a part (twice its edits: the
+window may be cut off otherwise than the part) gives the place where the item would
+begin, and all windows as long as the item within ``max_edits`` of it are compared.
+
+Null and empty texts hold no leak, items without a word leak nowhere; very long
+texts are searched whole; repeated items give a row each; repeated documents each
+give their rows; an empty table on either side gives no rows. Other columns, also
+such with names of the result's, are left out.
 """
 
 from __future__ import annotations
@@ -58,6 +64,17 @@ class Lsh:
     seed: int = 11
     recall: float = 0.95
     most_walks: int = 48
+    whole_words: int = 100
+    part_words: int = 64
+
+    def most(self, n: int) -> int:
+        """Edits that a leak of an item of n words may have."""
+        return int(self.max_edits * n) if n >= self.min_words else 0
+
+    def parts(self, n: int) -> list[tuple[int, int]]:
+        """(first word, words) of the stretches by which an item of n words is looked for: all of it, or equal parts."""
+        m = -(-n // self.part_words) if n > self.whole_words else 1
+        return [(i * (n // m), n // m) for i in range(m)] if n else []
 
     @lru_cache(maxsize=10_000)  # noqa: B019 - frozen, and asked for again for every chunk of text
     def positions(self, walk: int, n: int, sample: int) -> np.ndarray:
@@ -68,7 +85,7 @@ class Lsh:
 
     def plan(self, n: int) -> tuple[int, int]:
         """(walks, sample) for items of n words, simulated for the next multiple of 4 (longer is harder)."""
-        return self._plan(-(-n // 4) * 4)
+        return self._plan(-(-n // 4) * 4) if self.most(n) else (1, self.sample)  # without edits all walks agree
 
     @lru_cache(maxsize=10_000)  # noqa: B019 - frozen, asked for once a length
     def _plan(self, n: int) -> tuple[int, int]:
@@ -142,19 +159,20 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], lsh: Lsh, plans: dict[int, tuple[int, int]] | None = None):
         self.lsh, self.vocabulary = lsh, {}
-        by_length: dict[int, list[tuple[int, list[int]]]] = {}
+        self.whole: list[tuple[int, list[int], int]] = []  # item, its words, most edits
+        by_length: dict[int, list[tuple[int, int, list[int]]]] = {}  # (place in ``whole``, first word, words)
         for item, text in items:
-            ws = words(text)
-            if len(ws) >= lsh.min_words:
-                by_length.setdefault(len(ws), []).append(
-                    (item, [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws]))
+            seq = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
+            for at, n in lsh.parts(len(seq)):
+                by_length.setdefault(n, []).append((len(self.whole), at, seq[at:at + n]))
+            self.whole.append((item, seq, lsh.most(len(seq))))
         held = np.zeros(len(self.vocabulary) + 1, np.int64)  # items that hold a word
-        for group in by_length.values():
-            for _, seq in group:
-                held[np.unique(seq)] += 1
+        for _, seq, _ in self.whole:
+            held[np.unique(np.array(seq, np.int32))] += 1
         self.rare = (held <= max(2, RARE_SHARE * held.max(initial=0), RARE_SHARE * len(items))) & (held > 0)
         longest = max(by_length, default=0)
-        self.gap = int(lsh.max_edits * longest) + 1  # unknown words between texts, more than any window may hold
+        self.longest = max((len(seq) for _, seq, _ in self.whole), default=0)
+        self.gap = int(lsh.max_edits * self.longest) + 1  # unknown words between texts, more than any window may hold
         self.plans = {n: plans[n] if plans else lsh.plan(n) for n in by_length}
         rng = np.random.default_rng(lsh.seed)
         self.bits = rng.integers(0, 1 << 63, (max((w for w, _ in self.plans.values()), default=0), len(held), longest * 2 // 64 + 1), np.uint64, endpoint=True)
@@ -162,10 +180,10 @@ class Index:
         self.mixers = rng.integers(1 << 62, 1 << 63, lsh.sample, np.uint64) | np.uint64(1)  # key: a sum of products
         self.items, self.needs, self.keys = {}, {}, {}
         for n, group in sorted(by_length.items()):
-            seqs = np.array([seq for _, seq in group], np.int32)
-            most = int(lsh.max_edits * n)
-            self.items[n] = (np.array([i for i, _ in group], np.int64), seqs, most)
-            self.needs[n] = (n - most, int(self.rare[seqs].sum(axis=1).min()) - most)
+            seqs = np.array([seq for *_, seq in group], np.int32)
+            mosts = [self.whole[o][2] // len(lsh.parts(len(self.whole[o][1]))) for o, *_ in group]
+            self.items[n] = ([(o, at) for o, at, _ in group], seqs, mosts)
+            self.needs[n] = (n - max(mosts), int((self.rare[seqs].sum(axis=1) - mosts).min()))
             for walk, key in self._keys(np.append(seqs.ravel(), 0), np.arange(len(seqs)) * n, n):
                 order = np.argsort(key, kind="stable")
                 self.keys[n, walk] = key[order], order
@@ -197,30 +215,45 @@ class Index:
 
     def _search(self, part: list[tuple[int, np.ndarray]], out: list[list]) -> None:
         gap = np.zeros(self.gap, np.int32)
-        longest = max(self.items, default=0)
-        ids = np.concatenate([gap, *(x for _, seq in part for x in (seq, gap)), np.zeros(longest + 1, np.int32)])
+        ids = np.concatenate([gap, *(x for _, seq in part for x in (seq, gap)), np.zeros(self.longest + 1, np.int32)])
         firsts = np.cumsum([self.gap] + [len(seq) + self.gap for _, seq in part])
         known = np.concatenate(([0], np.cumsum(ids > 0, dtype=np.int32)))
         rare = np.concatenate(([0], np.cumsum(self.rare[ids], dtype=np.int32)))
-        for n, (item_ids, seqs, most) in self.items.items():
+        found: dict[tuple[int, int], list[tuple[int, int]]] = {}  # (text, place in ``whole``): (distance, start)
+        hints: dict[tuple[int, int], set[int]] = {}  # the same: where it would begin
+
+        def text_of(last: int) -> int:
+            return int(np.searchsorted(firsts, last, side="right")) - 1
+        for n, (group, seqs, mosts) in self.items.items():
             need, need_rare = self.needs[n]
             ok = known[n:] - known[:-n] >= need
             if need_rare > 0:
                 ok &= rare[n:] - rare[:-n] >= need_rare
             starts = np.flatnonzero(ok[:len(ids) - n])
-            found: dict[tuple[int, int], list[tuple[int, int]]] = {}
             for lo in range(0, len(starts), 1 << 16):
                 for s, j in self._candidates(ids, starts[lo:lo + (1 << 16)], n):
+                    o, at = group[j]
+                    most = mosts[j] if n == len(self.whole[o][1]) else 2 * mosts[j]
                     d = edit_distance(seqs[j].tolist(), ids[s:s + n].tolist(), most)
+                    if d <= most and n == len(self.whole[o][1]):
+                        found.setdefault((text_of(s + n - 1), o), []).append((d, s))
+                    elif d <= most:
+                        hints.setdefault((text_of(s + n - 1), o), set()).add(s - at)
+        for (t, o), places in hints.items():
+            _, seq, most = self.whole[o]
+            near = {s for p in places for s in range(max(0, p - most), min(p + most, len(ids) - len(seq)) + 1)}
+            for s in sorted(near):
+                if known[s + len(seq)] - known[s] >= len(seq) - most:
+                    d = edit_distance(seq, ids[s:s + len(seq)].tolist(), most)
                     if d <= most:
-                        t = int(np.searchsorted(firsts, s + n - 1, side="right")) - 1
-                        found.setdefault((t, j), []).append((d, s))
-            for (t, j), places in found.items():
-                taken: list[int] = []
-                for d, s in sorted(places):
-                    if all(abs(s - u) >= n for u in taken):
-                        taken.append(s)
-                        out[part[t][0]].append((int(item_ids[j]), max(0, s - int(firsts[t])), n, d))
+                        found.setdefault((t, o), []).append((d, s))
+        for (t, o), places in found.items():
+            taken: list[int] = []
+            item, seq, _ = self.whole[o]
+            for d, s in sorted(places):
+                if all(abs(s - u) >= len(seq) for u in taken):
+                    taken.append(s)
+                    out[part[t][0]].append((item, max(0, s - int(firsts[t])), len(seq), d))
         for t, _ in part:
             out[t].sort()
 
@@ -245,8 +278,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark, lsh = docs.sparkSession, lsh or Lsh()
     frames = []
     for block in _blocks(items.select(F.col(item_col).alias("i"), F.col(item_text_col).alias("t"))):
-        lengths = {len(words(t)) for _, t in block}
-        plans = {n: lsh.plan(n) for n in lengths if n >= lsh.min_words}
+        plans = {n: lsh.plan(n) for _, t in block for _, n in lsh.parts(len(words(t)))}
         find = _finder(spark.sparkContext.broadcast(block), lsh, plans)  # at most BLOCK items
         frames.append(docs.select(F.col(id_col).alias("d"), F.explode(find(F.col(text_col))).alias("x")).select(
             F.col("d").alias(id_col), F.col("x.item").alias(item_col), F.col("x.first").alias("first_word"),

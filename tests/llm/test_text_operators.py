@@ -248,17 +248,18 @@ def test_leaks_are_found_and_exact(spark):
     assert decontaminate.leaks(docs(spark, texts), bench.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("n", [15, 30, 45, 59, 64, 100])
+@pytest.mark.parametrize("n", [8, 15, 30, 45, 59, 64, 100, 101, 300, 1000])
 def test_leaks_at_the_largest_distance_are_found(n):
     rng = random.Random(n)
-    items, most, texts = passages(rng, 300, n), int(0.2 * n), []
+    items, most, texts = passages(rng, 300 if n < 200 else 20, n), int(0.2 * n), []
     for item in items:
         while True:
             leak, pairs = list(item), rng.randrange(most // 2 + 1)
             for kind in rng.sample([0] * (most - 2 * pairs) + [1, 2] * pairs, most):
                 p = rng.randrange(len(leak))
                 leak[p:p + 1] = [["new"], [], [leak[p], "ins"]][kind]
-            if decontaminate.edit_distance(item, leak, n) == most:
+            d = decontaminate.edit_distance(item, leak, n)
+            if d == most or n > 100 and 0.9 * most < d <= most:  # many edits seldom leave exactly as large a distance
                 break
         texts.append(" ".join(["zz"] * 40 + leak + ["yy"] * 40))
     index = decontaminate.Index([(i, " ".join(x)) for i, x in enumerate(items)], decontaminate.Lsh())
@@ -266,6 +267,29 @@ def test_leaks_at_the_largest_distance_are_found(n):
     assert np.mean([i in {f[0] for f in x} for i, x in enumerate(found)]) >= 0.9
 
 
+def test_short_and_long_items_equal_brute_force():
+    rng = random.Random(4)
+    items = [["solo"], ["w1", "w2"], *passages(rng, 6, 5), *passages(rng, 3, 7), *passages(rng, 2, 130), []]
+    texts = [["x", "solo", "w1", "w2", "w1", "solo"], [], ["w2", "w1"]]
+    for item in items[2:]:
+        texts.append(["zz"] * 5 + item + ["yy"] * 3 + item[:-1] + ["qq"])
+        texts.append(item)
+        if len(item) > 100:  # ten words in front gone, ten put in behind; then a copy cut short, and one too far away
+            texts.append(["zz"] * 3 + item[10:] + ["qq"] * 50 + item[:110] + ["qq"] * 50 + item[:60] + ["qq"] * 40)
+    index = decontaminate.Index([(i, " ".join(x)) for i, x in enumerate(items)], decontaminate.Lsh())
+    for text, got in zip(texts, index.search([" ".join(t) for t in texts])):
+        for i, item in enumerate(items):
+            n, most = len(item), int(0.2 * len(item)) if len(item) >= 8 else 0
+            padded = ["-"] * most + text + ["-"] * most  # a window may reach over the text's ends
+            near = [(decontaminate.edit_distance(item, padded[s:s + n], most), s) for s in range(len(padded) - n + 1)] if n else []
+            near, taken = sorted(x for x in near if x[0] <= most), []
+            for d, s in near:
+                if all(abs(s - u) >= n for _, u in taken):
+                    taken.append((d, s))
+            assert sorted((max(0, s - most), d) for d, s in taken) == [(f, d) for j, f, _, d in got if j == i]
+    assert decontaminate.Index([], decontaminate.Lsh()).search(["a", None, ""]) == [[], [], []]
+
+
 def test_lm_models_equal_brute_force(spark):
     rng = random.Random(10)
     draw = lambda ws: " ".join(rng.choice(ws) for _ in range(rng.randrange(1, 30)))
