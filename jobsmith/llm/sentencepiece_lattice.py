@@ -16,8 +16,10 @@
 
 Decoding joins the pieces' texts, byte pieces as bytes, and takes off the blank
 in front. Null and empty texts have no ids and decode to the empty text; very long
-texts and units are whole (a unit's fold costs its length times the longest
-piece); repeated rows are encoded alike; an empty table gives no rows.
+texts and units are whole. A unit of over ``LONG_CHARS`` characters is cut into
+stretches before its substrings are taken, and its fold keeps only the last places
+in the state it copies, so it costs little more than its length times the longest
+piece; its lattice lies in one task. Other columns are left out; repeated rows are encoded alike; an empty table gives no rows.
 
 Scores are the model file's own. For a file of kind unigram that is exactly the
 library's segmentation; a file of kind BPE is read as the same pieces and scores
@@ -45,6 +47,8 @@ SPACE = "\u2581"
 SEND_UNITS = 4_000_000
 BLOCK_CHARS = 1 << 23
 PART_CHARS = 250_000
+LONG_CHARS = 512
+STRETCH = 256
 
 
 @contextmanager
@@ -113,12 +117,17 @@ def distinct_units(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
         .select(F.xxhash64("unit").alias("h"), "unit")
 
 
-def lattice(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """Edges (h, unit, start, end, id, score) of every unit; id -1 is the unknown character's edge."""
+def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, int, float]:
+    """(id, piece, score) as a table (the model's pieces: a fixed number), the longest piece's length, the lowest score."""
     rows = pieces(path)
-    longest, low = max(len(p) for _, p, _ in rows), min(s for *_, s in rows)
     table = spark.createDataFrame(pa.table({"id": [r[0] for r in rows], "piece": [r[1] for r in rows],
-                                            "score": [r[2] for r in rows]}))  # the model's pieces: a fixed number
+                                            "score": [r[2] for r in rows]}))
+    return table, max(len(p) for _, p, _ in rows), min(s for *_, s in rows)
+
+
+def lattice(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """Edges (h, unit, start, end, id, score) of every unit; id -1 is the unknown character's edge."""
+    table, longest, low = piece_table(spark, path)
     n = F.char_length("unit")
     spans = words.select("h", "unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
         "h", "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
@@ -173,6 +182,77 @@ def encode_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
         "h", "unit", F.when(F.exists("path", lambda e: e["id"] < 0), spelled).otherwise(plain).alias("ids"), "score")
 
 
+def encode_long_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """(h, unit, ids) of long units: the same lattice and fold, without a copy of the unit in every edge, and with
+    the places that no edge reaches back to any more put away as text, a stretch at a time."""
+    m = model(path)
+    table, longest, low = piece_table(spark, path)
+    keep = max(STRETCH, longest)
+    words = words.withColumn("key", F.sha2("unit", 256))
+    cut = F.regexp_extract_all("unit", F.lit(f"(?s).{{1,{keep}}}"), F.lit(0))
+    tail = lambda i: F.coalesce(F.substring(F.get("cut", i + 1), 1, longest - 1), F.lit(""))
+    parts = words.select("h", "key", cut.alias("cut")).select("h", "key", F.posexplode(F.transform(
+        "cut", lambda c, i: F.struct(F.char_length(c).alias("own"), F.concat(c, tail(i)).alias("text"))))
+        .alias("part", "x")).select("h", "key", "part", "x.own", "x.text")
+    spans = parts.select("h", "key", "part", "text", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("at")).select(
+        "h", "key", "part", "text", "at", F.explode(F.sequence(F.lit(1), F.least(
+            F.lit(longest), F.char_length("text") - F.col("at") + 1))).alias("len"))
+    start = F.col("part") * keep + F.col("at") - 1
+    edges = spans.withColumn("piece", F.substring(F.col("text"), F.col("at"), F.col("len"))) \
+        .join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR len = 1") \
+        .select("h", "key", F.struct((start + F.col("len")).cast("int").alias("end"), start.cast("int").alias("start"),
+                                     F.coalesce("id", F.lit(-1)).cast("int").alias("id"),
+                                     F.coalesce("score", F.lit(low - 10.0)).alias("score"),
+                                     F.when(F.col("id").isNull(), F.col("piece")).alias("char")).alias("e"))
+    # ``aggregate`` copies its state at every step, but not binaries. ``done`` holds the places from ``base`` on up to
+    # before ``at``; those before them are put away as text, "start,id" or "start,x" and an unknown character's bytes.
+    way = "struct<s:double,back:int,id:int,char:string>"
+    kind = f"struct<away:binary,done:array<{way}>,base:int,cur:{way},at:int>"
+    none = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("back"), F.lit(-2).alias("id"), F.lit(None).cast("string").alias("char"))
+    first = F.struct(F.lit("").cast("binary").alias("away"), F.array().alias("done"), F.lit(0).alias("base"),
+                     none.alias("cur"), F.lit(0).alias("at"))
+    said = lambda w: F.when(w["id"] != -1, w["id"].cast("string")).otherwise(
+        F.concat(F.lit("x"), F.hex(F.encode(w["char"], "UTF-8"))))
+    text = lambda ws: F.concat(F.array_join(F.transform(ws, lambda w: F.concat(
+        (-w["back"]).cast("string"), F.lit(","), said(w))), ";"), F.lit(";")).cast("binary")
+
+    def fold(acc, e):
+        before = F.when(e["start"] == acc["at"], acc["cur"]["s"]).otherwise(
+            F.get(acc["done"], e["start"] - acc["base"])["s"])
+        here = F.struct((before + e["score"]).alias("s"), (-e["start"]).alias("back"), e["id"].alias("id"),
+                        e["char"].alias("char"))
+        new = e["end"] > acc["at"]
+        full = new & (F.size(acc["done"]) >= 2 * longest)
+        more = F.concat(F.when(full, F.slice(acc["done"], longest + 1, longest)).otherwise(acc["done"]), F.array(acc["cur"]))
+        return F.struct(
+            F.when(full, F.concat(acc["away"], text(F.slice(acc["done"], 1, longest)))).otherwise(acc["away"]).alias("away"),
+            F.when(new, more).otherwise(acc["done"]).alias("done"),
+            F.when(full, acc["base"] + longest).otherwise(acc["base"]).alias("base"),
+            F.when(new, here).otherwise(F.greatest(acc["cur"], here)).alias("cur"), e["end"].alias("at"))
+    places = edges.groupBy("h", "key").agg(F.sort_array(F.collect_list("e")).alias("e")).select(
+        "h", "key", F.aggregate("e", first.cast(kind), fold, lambda x: F.concat(
+            x["away"], text(F.concat(x["done"], F.array(x["cur"]))))).alias("t")) \
+        .select("h", "key", F.transform(F.split(F.col("t").cast("string"), ";"), lambda w: F.split(w, ",")).alias("p"))
+    n = F.size("p") - 2  # the last part is empty, the first place has no edge
+    # the ids from the last to the first; a stretch of them at a time joins the binary
+    walk = F.aggregate(
+        F.sequence(n, F.lit(1)), F.struct(n.alias("at"), F.lit("").cast("binary").alias("away"), F.lit("").alias("part")),
+        lambda acc, i: F.when(i == acc["at"], F.struct(
+            F.element_at(F.col("p"), i + 1)[0].cast("int").alias("at"),
+            F.when(F.octet_length(acc["part"]) > 1000, F.concat(acc["away"], acc["part"].cast("binary")))
+            .otherwise(acc["away"]).alias("away"),
+            F.concat(F.when(F.octet_length(acc["part"]) > 1000, F.lit("")).otherwise(acc["part"]),
+                     F.element_at(F.col("p"), i + 1)[1], F.lit(",")).alias("part"))).otherwise(acc),
+        lambda x: F.concat(x["away"], x["part"].cast("binary")).cast("string"))
+    byte = F.array(*[F.lit(m.piece_to_id(f"<0x{b:02X}>")) for b in range(256)])
+    raw = lambda w: F.transform(F.sequence(F.lit(1), F.length(w).cast("int") - 2, F.lit(2)), lambda i: F.element_at(
+        byte, F.conv(F.substring(w, i + 1, F.lit(2)), 16, 10).cast("int") + 1))
+    ids = places.select("h", "key", walk.alias("path")).select("h", "key", F.flatten(F.transform(
+        F.reverse(F.split(F.rtrim("path", F.lit(",")), ",")),
+        lambda w: F.when(w.startswith("x"), raw(w)).otherwise(F.array(w.try_cast("int"))))).alias("ids"))
+    return words.join(ids, ["h", "key"]).select("h", "unit", "ids")
+
+
 def id_kind(path: str) -> str:
     """Bytes of an id in the packed table: two if the model's numbers fit."""
     return "<u2" if model(path).get_piece_size() <= 1 << 16 else "<i4"
@@ -269,17 +349,22 @@ def _rows(docs: Iterator[tuple], encode_one, columns: tuple[str, ...], raw: list
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           send_units: int = SEND_UNITS, columns: tuple[str, ...] = ("ids",)) -> DataFrame:
+           send_units: int = SEND_UNITS, columns: tuple[str, ...] = ("ids",), long_chars: int = LONG_CHARS) -> DataFrame:
     """One row per document: its id and ``columns`` of ``ids`` (array of int), ``n_tokens``, ``ids_crc32`` (ids as
     little-endian uint32) and ``decoded_crc32`` (of the text decoded from them again), all made in one pass."""
     spark = docs.sparkSession
     pattern = unit_pattern(pieces(path))
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     words = Stored(distinct_units(own, "t", pattern), "units")
-    chars = words.df.agg(F.coalesce(F.sum(F.char_length("unit")), F.lit(0))).first()[0]
-    parts = words.df.repartition(int(chars // PART_CHARS) + 1, "h")  # a task's lattice fits in its memory
+    n = F.char_length("unit")
+    chars, most = words.df.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    short = words.df if most <= long_chars else words.df.where(n <= long_chars)
+    parts = short.repartition(int(chars // PART_CHARS) + 1, "h")  # a task's lattice fits in its memory
+    coded = encode_units(parts, spark, path).select("h", "unit", "ids")
+    if most > long_chars:
+        coded = coded.unionByName(encode_long_units(words.df.where(n > long_chars), spark, path))
     with _gathered_in_memory(spark):
-        table = Stored(encode_units(parts, spark, path).select("h", "unit", "ids"), "coded-units").df
+        table = Stored(coded, "coded-units").df
     words.drop()
     schema = ", ".join(["id long", *[f"{c} {COLUMNS[c]}" for c in columns]])
     kind, raw = id_kind(path), spellings(path)

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -399,3 +400,26 @@ def test_viterbi_equals_all_segmentations(spark):
     df = spark.createDataFrame([(u,) for u in units], "unit string").select(F.xxhash64("unit").alias("h"), "unit")
     got = {r["unit"]: r["score"] for r in sentencepiece_lattice.encode_units(df, spark, PIECES).collect()}
     assert got == {u: best(u) for u in units}
+
+
+def test_long_units_are_folded_like_short_ones(spark):
+    rng = random.Random(12)
+    letters = "etaoinshrdlucmfwyp" + "éüß你好🙂ж"
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (3, 40, 255, 256, 257, 700, 1500)]
+    texts += ["a" * 1200, "the" * 500, "你" * 600, "!" * 900, "\U0001f642" * 300, "word " * 5, None, ""]
+    df = docs(spark, texts)
+    plain = {r["doc_id"]: r["ids"] for r in sentencepiece_lattice.encode(df, PIECES, long_chars=10_000).collect()}
+    for most in (0, 200):
+        got = {r["doc_id"]: r["ids"] for r in sentencepiece_lattice.encode(df, PIECES, long_chars=most).collect()}
+        assert got == plain
+    for r in sentencepiece_lattice.encode(df, PIECES, columns=("decoded_crc32",)).collect():
+        assert r["decoded_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").encode())
+
+
+def test_a_unit_of_200_000_letters_ends(spark):
+    rng = random.Random(13)
+    text = "".join(rng.choice("etaoinshrdlu") for _ in range(200_000))
+    began = time.time()
+    row = sentencepiece_lattice.digest(docs(spark, [text]), PIECES).first()
+    assert row["decoded_crc32"] == zlib.crc32(text.encode()) and 20_000 < row["n_tokens"] < 200_000
+    assert time.time() - began < 120
