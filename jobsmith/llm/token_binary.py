@@ -25,6 +25,8 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ COUNTS = (1, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 WIDTHS = (64, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 STRIDE = 4096
 BLOCK_IDS = 1 << 18
+TOKEN_ID = attrgetter("id")
+READ = ["shard", "id", "start", "ids"]
 
 BLOCK_SCHEMA = ("shard int, block int, first_id long, n_ids long, doc_ids array<long>, doc_lens array<long>, "
                 "offsets array<long>, words binary")
@@ -130,6 +134,18 @@ def word_offsets(words: np.ndarray, stride: int = STRIDE) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(counts)))[:-1][::stride]
 
 
+def decode_span(words: np.ndarray, offsets, first: int, n: int, stride: int = STRIDE) -> np.ndarray:
+    """Ids ``first`` to ``first + n`` of the words, decoded from the last offset before them to the first one after.
+
+    An offset's word may be the raw one of an escape, whose id is counted before it. The word before tells:
+    raw words are ids of over 60 bits, so selector 0 is always an escape."""
+    escape = lambda i: 0 < i < len(words) and int(words[i - 1]) >> 60 == 0
+    a, b = np.searchsorted(offsets, first, "right") - 1, np.searchsorted(offsets, first + n, "left")
+    low, high = int(a) * stride, min(int(b) * stride, len(words)) if b < len(offsets) else len(words)
+    skip = first - offsets[a]
+    return decode(words[low + escape(low):high + escape(high)])[skip:skip + n]
+
+
 class Encoder:
     """The tokenizers library behind a bounded memo of blank-separated words.
 
@@ -142,7 +158,7 @@ class Encoder:
     The memo keeps two generations of words, so its size is bounded.
     """
 
-    MOST = 100_000
+    MOST = 200_000
     LATIN = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")  # composed letters that lower-case to one letter each
     PUNCTUATION = b".,;:!?\"#$%&()*+-/<=>@[\\]^_`{|}~"
 
@@ -158,6 +174,7 @@ class Encoder:
         pre = spec["pre_tokenizer"]
         self.by_word = spec["normalizer"]["type"] == "Sequence" and pre["type"] == "Sequence" and \
             pre["pretokenizers"][0]["type"] == "Split" and "[\\p{L}]+" in pre["pretokenizers"][0]["pattern"]["Regex"]
+        self.parted = frozenset(b for b in b"abcdefghijklmnopqrstuvwxyz0123456789" if self.by_word and self.parts(chr(b)))
 
     def text(self, text: str) -> np.ndarray:
         if not text:
@@ -174,11 +191,22 @@ class Encoder:
             if len(self.new) > self.MOST:
                 self.old, self.new = self.new, {}
             new = self.new
-            for w in {w for w in part if w not in new}:
-                self.learn(w)
+            missing = {w for w in part if w not in new}
+            self.letters_only([w for w in missing if w.isalpha() and w not in self.old])
+            for w in missing:
+                if w not in new:
+                    self.learn(w)
             out.append(b"".join(map(new.__getitem__, part)))
         return np.frombuffer(b"".join(out), np.uint32)
 
+    def letters_only(self, words: list[bytes]) -> None:
+        """Learn words of ASCII letters (lower case), one pre-token each, in one go."""
+        found = list(map(self.whole.model.tokenize, map(bytes.decode, words)))
+        ids, at = array("I", map(TOKEN_ID, chain.from_iterable(found))).tobytes(), 0
+        for word, tokens in zip(words, found):
+            end = at + 4 * len(tokens)
+            self.new[word], at = ids[at:end], end
+
     def learn(self, word: bytes) -> bytes:
         """The word's ids, from the memo or encoded now."""
         ids = self.new.get(word)
@@ -186,10 +214,11 @@ class Encoder:
             ids = self.old.get(word)
             if ids is None:
                 stem = word.rstrip(self.PUNCTUATION)
-                if len(stem) == len(word) or stem and not self.parts(stem.decode("utf-8", "replace")[-1]):
+                if len(stem) == len(word) or stem and stem[-1] not in self.parted and \
+                        not self.parts(stem.decode("utf-8", "replace")[-1]):
                     ids = self.letters(word.decode("utf-8", "surrogatepass"))
                 else:
-                    ids = (self.learn(stem) if stem else b"") + self.library(word[len(stem):].decode())
+                    ids = (self.learn(stem) if stem else b"") + self.library(word[len(stem):])
             self.new[word] = ids
         return ids
 
@@ -197,7 +226,7 @@ class Encoder:
         if self.LATIN.fullmatch(word):
             shown = word if word.isascii() else word.lower().encode().decode("latin-1").translate(self.alphabet)
             return array("I", [t.id for t in self.whole.model.tokenize(shown)]).tobytes()
-        return self.library(word.encode("utf-8", "replace").decode())
+        return self.library(word.encode("utf-8", "replace"))
 
     @lru_cache(maxsize=10_000)  # noqa: B019 - one encoder a worker; last characters repeat
     def parts(self, char: str) -> bool:
@@ -206,8 +235,8 @@ class Encoder:
         return len(shown) > 1 and shown[-1][0] == "."
 
     @lru_cache(maxsize=10_000)  # noqa: B019 - one encoder a worker; punctuation repeats
-    def library(self, text: str) -> bytes:
-        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+    def library(self, text: bytes) -> bytes:
+        return array("I", self.whole.encode(text.decode(), add_special_tokens=False).ids).tobytes()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -288,21 +317,46 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         .mapInArrow(_blocks, BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
 
 
+def _documents(b: dict, which: list[int] | None = None) -> tuple[list, list, list, list[np.ndarray]]:
+    """Shards, ids, starts in the shard and token ids of a block's documents: all of them from one decoding, or
+    those at the places ``which``, each decoded from the offset next before it."""
+    words, lens = np.frombuffer(b["words"], "<u8"), np.array(b["doc_lens"], np.int64)
+    starts = np.cumsum(lens) - lens
+    if which is None:
+        which, whole = range(len(lens)), decode(words).astype("<u4")
+        ids = [whole[s:s + n] for s, n in zip(starts.tolist(), lens.tolist())]
+    else:
+        ids = [decode_span(words, b["offsets"], starts[i], lens[i]).astype("<u4") for i in which]
+    return [b["shard"]] * len(ids), [b["doc_ids"][i] for i in which], [b["first_id"] + int(starts[i]) for i in which], ids
+
+
 def read_tokens(spark, path: str) -> DataFrame:
-    """(shard, first, id, start in shard, ids as uint32 bytes) of every document in the files."""
+    """(shard, id, start in shard, ids as uint32 bytes) of every document in the files."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in batch.to_pylist():
-                ids = decode(np.frombuffer(b["words"], "<u8")).astype("<u4")
-                ends = np.cumsum(b["doc_lens"])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([b["shard"]] * len(ends), pa.int32()), pa.array(b["doc_ids"], pa.int64()),
-                    pa.array(b["first_id"] + ends - b["doc_lens"], pa.int64()),
-                    pa.array([ids[e - k:e].tobytes() for e, k in zip(ends.tolist(), b["doc_lens"])], pa.binary())],
-                    names=["shard", "id", "start", "ids"])
+                shard, doc, start, ids = _documents(b)
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
+                                                  pa.array([x.tobytes() for x in ids], pa.binary())], names=READ)
     return spark.read.schema(BLOCK_SCHEMA).parquet(path).mapInArrow(rows, "shard int, id long, start long, ids binary")
 
 
+def read_chosen(spark, path: str, chosen: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``read_tokens`` of the documents whose ids ``chosen`` holds: of a block with such documents only the words from
+    the offset before each are decoded. Repeated ids in the files all come back; ids not there and null ids do not."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch.to_pylist():
+                shard, doc, start, ids = _documents(b, sorted(b["places"]))
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
+                                                  pa.array([x.tobytes() for x in ids], pa.binary())], names=READ)
+    blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
+    places = blocks.select("shard", "block", F.posexplode("doc_ids").alias("place", "id")) \
+        .join(chosen.select(F.col(id_col).cast("long").alias("id")), "id", "left_semi") \
+        .groupBy("shard", "block").agg(F.collect_list("place").alias("places"))  # a block's documents: BLOCK_IDS at most
+    return blocks.join(places, ["shard", "block"]).mapInArrow(rows, "shard int, id long, start long, ids binary")
+
+
 def shard_starts(spark, path: str) -> DataFrame:
     """Ids in all shards before each (one row a shard: some thousands at most are ordered)."""
     sizes = spark.read.schema(BLOCK_SCHEMA).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n"))
@@ -319,13 +373,15 @@ def token_digest(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     path = path or scratch_path(spark, "token-files")
     write_tokens(docs, path, tokenizer_path, id_col, text_col, end_id)
 
-    @F.arrow_udf("long")
-    def crc(col: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.as_buffer()) for x in col], pa.int64())
-    back = read_tokens(spark, path).select("shard", "id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-                                           crc("ids").alias("ids_crc32"))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch.to_pylist():
+                shard, doc, start, ids = _documents(b)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shard, pa.int32()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()),
+                    pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
+                    names=["shard", "id", "start", "n_tokens", "ids_crc32"])
+    back = spark.read.schema(BLOCK_SCHEMA).parquet(path) \
+        .mapInArrow(rows, "shard int, id long, start long, n_tokens long, ids_crc32 long")
     return back.join(F.broadcast(shard_starts(spark, path)), "shard").select(
         F.col("id").alias(id_col), (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
-
-
-

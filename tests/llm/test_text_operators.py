@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from jobsmith.llm import common, decontaminate, license_scan, lm_score, sentencepiece_lattice, simhash, token_binary
+from jobsmith.session import scratch_path
 
 SCHEMA = "doc_id long, text string, id long, t string, h long, fp long, lang string, source string, n_chars long"
 TEXTS = [None, "", " \n\t", "One two three four five six.", "One two three four five six.", "ÉCOLE l'été — 你好 🙂 x² 3.14",
@@ -93,6 +94,25 @@ def test_simple8b_round_trip():
             assert (token_binary.decode(coded) == ids).all()
             offsets = token_binary.word_offsets(coded, 1)
             assert len(offsets) == len(coded) and (len(ids) == 0 or offsets[0] == 0)
+            for stride in (1, 2, 5) if len(ids) else ():
+                first = int(rng.integers(0, len(ids)))
+                n = int(rng.integers(0, len(ids) - first + 1))
+                part = token_binary.decode_span(coded, token_binary.word_offsets(coded, stride), first, n, stride)
+                assert (part == ids[first:first + n]).all() and len(part) == n
+
+
+def test_chosen_documents_are_read_from_the_offset_before_them(spark):
+    path, files = public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "token-files")
+    rng = random.Random(3)
+    words = ["ore", "vent", "salt", "quay", "zzyx", "lamp,", "né."]
+    texts = [" ".join(rng.choices(words, k=rng.choice([0, 1, 40, 9000]))) for _ in range(60)]
+    token_binary.write_tokens(docs(spark, texts, [*range(58), 5, None]), files, path, shards=2)
+    whole = [tuple(r) for r in token_binary.read_tokens(spark, files).collect()]
+    assert max(len(r[3]) for r in whole) > 4 * token_binary.STRIDE and len(whole) == 60
+    chosen = spark.createDataFrame([(i,) for i in (5, 5, 0, 57, 33, 999, None)], "doc_id long")
+    got = [tuple(r) for r in token_binary.read_chosen(spark, files, chosen).collect()]
+    assert sorted(got) == sorted(r for r in whole if r[1] in (0, 5, 33, 57)) and len(got) == 5
+    assert token_binary.read_chosen(spark, files, chosen.limit(0)).count() == 0
 
 
 def test_token_digest_equals_library(spark):
