@@ -565,6 +565,28 @@ def dt_isoformat(spark, sf):
     return order_dates(spark, sf).select("o_orderkey", "iso")
 
 
+WEEK_OFFSETS = {"1-URGENT": ("", 0), "2-HIGH": ("+05:30:15", 19815), "3-MEDIUM": ("-18:45", -67500)}
+
+
+@query("dt_parse_week", "SELECT o_orderkey, raw, d + to_seconds(37230 - secs) AS ts, "
+       "strftime(d, '%Y-%m-%d') || 'T10:20:30' || coalesce(nullif(off, ''), '+00:00') AS iso FROM (SELECT *, "
+       "CASE WHEN off = '' THEN strftime(d, '%GW%V%uT102030') ELSE strftime(d, '%G-W%V-%uT10:20:30') || off END AS raw FROM "
+       "(SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d, " + ", ".join(
+           "CASE o_orderpriority " + " ".join(f"WHEN '{p}' THEN {v[i]!r}" for p, v in WEEK_OFFSETS.items()) + f" ELSE {e} END AS {n}"
+           for i, e, n in ((0, "''", "off"), (1, "0", "secs"))) + " FROM orders))")
+def dt_parse_week(spark, sf):
+    """Order dates as ISO week dates, some with offsets of seconds or beyond 18 hours."""
+    d, off = F.to_date("o_orderdate"), F.lit("")
+    for priority, (text, _) in WEEK_OFFSETS.items():
+        off = F.when(F.col("o_orderpriority") == priority, text).otherwise(off)
+    year, week = F.lpad(F.extract(F.lit("YEAROFWEEK"), d).cast("string"), 4, "0"), F.lpad(F.weekofyear(d).cast("string"), 2, "0")
+    day = (F.weekday(d) + 1).cast("string")
+    raw = F.when(off == "", F.concat(year, F.lit("W"), week, day, F.lit("T102030"))) \
+        .otherwise(F.concat(year, F.lit("-W"), week, F.lit("-"), day, F.lit("T10:20:30"), off))
+    return with_iso_date(read(spark, sf, "orders").select("o_orderkey", raw.alias("raw")), "raw", "ts", "iso") \
+        .select("o_orderkey", "raw", ntz("ts"), "iso")
+
+
 @query("dt_to_date", "SELECT event_id, CAST(ts AS DATE) AS d FROM events", dates=("d",))
 def dt_to_date(spark, sf):
     from jobsmith.functions.dates import day_of

@@ -57,7 +57,16 @@ PARSE_CASES = [
     ("2026-03-01T10:00:00 +05:00", dt.datetime(2026, 3, 1, 5), "2026-03-01T10:00:00+05:00"),
     ("2026-03-01 10:00 Z", dt.datetime(2026, 3, 1, 10), "2026-03-01T10:00:00+00:00"),
     ("2026-03-01T10:00:00-00:00", dt.datetime(2026, 3, 1, 10), "2026-03-01T10:00:00+00:00"),
-] + [(bad, None, None) for bad in ["2026", "2026-03", "2026-3-1", "2026-02-30", "now", "epoch", "nan", "", None,
+    ("2026-W10-1", dt.datetime(2026, 3, 2), "2026-03-02T00:00:00+00:00"),
+    ("2026W10", dt.datetime(2026, 3, 2), "2026-03-02T00:00:00+00:00"),
+    ("2026W533T10:00", dt.datetime(2026, 12, 30, 10), "2026-12-30T10:00:00+00:00"),
+    ("2026-W10-10", dt.datetime(2026, 3, 2, 10), "2026-03-02T10:00:00+00:00"),   # a separator and an hour
+    ("2026-03-01T10:00+05:30:15", dt.datetime(2026, 3, 1, 4, 29, 45), "2026-03-01T10:00:00+05:30:15"),
+    ("2026-03-01T10:00-053015.25", dt.datetime(2026, 3, 1, 15, 30, 15, 250000), "2026-03-01T10:00:00-05:30:15.250000"),
+    ("2026-03-01T10:00-00:00:00.1", dt.datetime(2026, 3, 1, 10), "2026-03-01T10:00:00+00:00"),
+    ("2026-03-01T10:00+23:59", dt.datetime(2026, 2, 28, 10, 1), "2026-03-01T10:00:00+23:59"),
+] + [(bad, None, None) for bad in ["2025-W53-1", "2026-W00-1", "2026-W10-8", "2026-W10-0", "2026-W10-", "2026-W101", "2026W10-1",
+                                   "9999-W52-7", "0000-W10-1", "2026-03-01T10:00+24:00", "2026-03-01T10:00+0530:15", "2026", "2026-03", "2026-3-1", "2026-02-30", "now", "epoch", "nan", "", None,
                                    "01/03/2026", "2026-03-01T10:00:00.5 +05:00", "2026-03-01T10:00:00  +05:00", "0000-01-01"]]
 
 

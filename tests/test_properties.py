@@ -51,11 +51,13 @@ def iso_samples(rnd, n):
     for _ in range(n):
         y, mo, d = rnd.randint(1990, 2030), rnd.randint(1, 12), rnd.randint(1, 31)
         h, mi, s = rnd.randint(0, 23), rnd.randint(0, 59), rnd.randint(0, 59)
-        date = rnd.choice([f"{y:04d}-{mo:02d}-{d:02d}", f"{y:04d}{mo:02d}{d:02d}"])
+        w, wd = rnd.randint(0, 54), rnd.randint(0, 8)
+        date = rnd.choice([f"{y:04d}-{mo:02d}-{d:02d}", f"{y:04d}{mo:02d}{d:02d}", f"{y:04d}-W{w:02d}-{wd}", f"{y:04d}W{w:02d}{wd}",
+                           f"{y:04d}-W{w:02d}", f"{y:04d}W{w:02d}"])
         frac = rnd.choice(["", "." + "".join(rnd.choice("0123456789") for _ in range(rnd.randint(1, 9)))])
         time = rnd.choice(["", f"T{h:02d}", f"T{h:02d}:{mi:02d}", f"T{h:02d}:{mi:02d}:{s:02d}{frac}",
                            f" {h:02d}{mi:02d}{s:02d}{frac}"])
-        off = rnd.choice(["", "Z", "+05:30", "-0800", "+01"]) if time else ""
+        off = rnd.choice(["", "Z", "+05:30", "-0800", "+01", "-18:45", "+05:30:15", "-000001", "+05:30:15.1234567"]) if time else ""
         out.append(date + time + off)
     return out
 
