@@ -11,6 +11,13 @@
 * Metrics: a row a day, of the changed months from their counts. A day that loses
   its last posting keeps its row, as with a recomputation of the days that are there.
 
+* URL index (``unique_url``): (job_url, job_hash) in hash partitions of the URL, changed
+  like the clean table. A URL under two keys fails the load.
+
+Constraints are checked by metrics observed while the new contents are staged
+(``DataFrame.observe``), without a scan of their own: columns of ``REQUIRED`` may not
+be null, and with ``unique_url`` a non-empty URL belongs to one key of the whole table.
+
 A load first stages the new contents of all partitions it will replace and marks
 them ready, then swaps them in. Replacing a partition twice gives the same table,
 so a load that broke off after the mark is finished by the next one (``recover``),
@@ -20,7 +27,7 @@ a frame read before a load is not to be used after it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +41,14 @@ COUNT_SCHEMA = T.StructType([T.StructField("metric_date", T.DateType()), T.Struc
                              T.StructField("label", T.StringType()), T.StructField("n", T.LongType()),
                              T.StructField("month", T.IntegerType())])
 
+URL_SCHEMA = T.StructType([T.StructField("job_url", T.StringType()), T.StructField("job_hash", T.StringType()),
+                           T.StructField("bucket", T.IntegerType())])
+REQUIRED = ("job_hash", "source", "ingested_at")
+
+
+class ConstraintError(ValueError):
+    """A load whose rows break a constraint; it has changed nothing."""
+
 
 def month_of(day: str = "metric_date") -> Column:
     return F.year(day) * 100 + F.month(day)
@@ -58,15 +73,18 @@ class Partitioned:
 
 
 class PostingStore:
-    """``extra``: fields that a clean row carries besides the posting's; ``with_metrics=False``: the clean table alone."""
+    """``extra``: fields that a clean row carries besides the posting's; ``with_metrics=False``: the clean table alone;
+    ``unique_url``: no non-empty URL under two keys (a table is made with or without it)."""
 
     def __init__(self, spark: SparkSession, base: str, buckets: int = 64, extra: tuple[T.StructField, ...] = (),
-                 with_metrics: bool = True):
+                 with_metrics: bool = True, unique_url: bool = False):
         self.spark, self.base, self.buckets, self.with_metrics = spark, base.rstrip("/"), buckets, with_metrics
+        self.unique_url = unique_url
         self.schema = T.StructType([*POSTING_SCHEMA.fields, *extra])
         bucket = T.StructField("bucket", T.IntegerType())
         # the number of partitions is part of the path: a table is never read under another one
         self.clean = Partitioned(spark, f"{self.base}/jobs_clean_{buckets}", T.StructType([*self.schema.fields, bucket]))
+        self.urls = Partitioned(spark, f"{self.base}/job_urls_{buckets}", URL_SCHEMA)
         self.counts = Partitioned(spark, f"{self.base}/metric_counts", COUNT_SCHEMA)
         self.metrics = Snapshot(spark, f"{self.base}/daily_metrics", METRICS_SCHEMA)
         self.staging_path, self.log = f"{self.base}/jobs_staging", f"{self.base}/_load"
@@ -81,7 +99,8 @@ class PostingStore:
         """Staging overwrite -> clean upsert -> metrics upsert, each only where the batch reaches.
 
         A full refresh empties the clean table and the counts first; the metrics of days that the batch does
-        not hold stay. A key twice in the batch, or a null key, fails the load and nothing is changed."""
+        not hold stay. A key twice in the batch, a null key or a broken constraint fails the load and nothing is
+        changed."""
         refresh = full_refresh if isinstance(full_refresh, bool) else full_refresh_requested(full_refresh)
         self.recover()
         self._forget()
@@ -91,14 +110,39 @@ class PostingStore:
         old = empty_like(self.spark, self.clean.schema) if refresh else self.clean.read().where(F.col("bucket").isin(touched))
         merged = upsert(old.repartition(self.buckets, "job_hash"), staging.repartition(self.buckets, "job_hash"), "job_hash",
                         columns=self.schema.names, coalesce_new_old=("job_url",))
-        merged.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.log}/clean")
+        self._stage(merged.withColumn("bucket", self.bucket()), "clean", {f"{c} is null": F.col(c).isNull() for c in REQUIRED})
+        replaced = old.join(staging.select("job_hash"), "job_hash", "left_semi")
+        if self.unique_url:
+            self._stage(self._new_urls(staging, replaced, refresh), "urls", {"job_url under two keys": F.col("_low") < F.col("job_hash")})
         if self.with_metrics:
-            replaced = old.join(staging.select("job_hash"), "job_hash", "left_semi")
             self._new_counts(staging, replaced, refresh).withColumn("month", month_of()).hint("rebalance", "month") \
                 .write.mode("overwrite").partitionBy("month").parquet(f"{self.log}/counts")
         self._mark("whole" if refresh else "touched")
         self._apply(refresh, clock)
 
+    def _stage(self, rows: DataFrame, name: str, broken: dict[str, Column]) -> None:
+        """Write what replaces partitions of a table, counting the rows that break a constraint in the same pass."""
+        seen = Observation()
+        rows.observe(seen, *[F.count_if(c).alias(n) for n, c in broken.items()]).drop("_low") \
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.log}/{name}")
+        found = {n: k for n, k in seen.get.items() if k}
+        if found:
+            raise ConstraintError("; ".join(f"{n}: {k} rows" for n, k in found.items()))
+
+    def _new_urls(self, staging: DataFrame, replaced: DataFrame, refresh: bool) -> DataFrame:
+        """Index rows of the partitions that hold a URL which the load brings, keeps or takes from a key. A URL that
+        nobody holds any more stays with a null key, so that its partition is replaced; the next change drops it."""
+        before = replaced.select("job_hash", F.col("job_url").alias("was"))
+        change = materialize(staging.select("job_hash", "job_url").join(before, "job_hash", "left").select(
+            "job_hash", F.coalesce("job_url", "was").alias("job_url"), "was"), "url_changes")
+        mine = change.select("job_url", "job_hash").unionByName(change.select(F.col("was").alias("job_url"), F.lit(None).alias("job_hash"))) \
+            .where("job_url <> ''").withColumn("bucket", self.bucket("job_url"))
+        if not refresh:
+            touched = [r[0] for r in mine.select("bucket").distinct().collect()]  # at most ``buckets``
+            kept = self.urls.read().where(F.col("bucket").isin(touched) & F.col("job_hash").isNotNull())
+            mine = mine.unionByName(kept.join(change.select("job_hash"), "job_hash", "left_anti"))
+        return mine.groupBy("job_url", "bucket").agg(F.min("job_hash").alias("_low"), F.max("job_hash").alias("job_hash"))
+
     def _new_counts(self, added: DataFrame, gone: DataFrame, refresh: bool) -> DataFrame:
         """Counts of the months that the signed entries change. A total stays, also at zero: its month's partition
         is replaced like the others, and its day is known as one without postings."""
@@ -128,6 +172,8 @@ class PostingStore:
     def _apply(self, whole: bool, clock: Column | None) -> None:
         staged = lambda t, name: self.spark.read.schema(t.schema).parquet(f"{self.log}/{name}")
         self.clean.write(staged(self.clean, "clean"), whole)
+        if self.unique_url:
+            self.urls.write(staged(self.urls, "urls"), whole)
         if self.with_metrics:
             counts = staged(self.counts, "counts")
             self.counts.write(counts.hint("rebalance", "month"), whole)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobsmith.operators.merge import upsert_clean, upsert_metrics
 from jobsmith.operators.metrics import daily_metrics, metrics_as_json
-from jobsmith.plans.store import PostingStore
+from jobsmith.plans.store import ConstraintError, PostingStore
 from jobsmith.schema import POSTING_SCHEMA
 from jobsmith.session import scratch_path
 
@@ -109,3 +109,43 @@ def test_bad_batch_changes_nothing_and_broken_load_is_finished(spark, monkeypatc
     assert got == {(1, 1), (4, 2)} and store.postings().count() == 2
     store.load(batch(spark, [posting("m", 5)]))
     assert {(r["metric_date"].day, r["total_jobs"]) for r in store.metrics.read().collect()} == {(1, 1), (4, 1), (5, 1)}
+
+
+def test_constraints_are_checked_in_the_staging_pass(spark):
+    store = PostingStore(spark, scratch_path(spark, "store"), 4, with_metrics=False, unique_url=True)
+    urls = lambda: {(r["job_url"], r["job_hash"]) for r in store.urls.read().where("job_hash IS NOT NULL").collect()}
+    store.load(batch(spark, [posting("a", url="u1"), posting("b", url="u2"), posting("c", url=""), posting("d", url=""), posting("e")]))
+    assert urls() == {("u1", "a"), ("u2", "b")}
+    for bad in ([posting("f", url="u1")],                          # held by a row that the batch does not touch
+                [posting("f", url="u3"), posting("g", url="u3")],  # twice in the batch
+                [posting("b", url="u1"), posting("e", url="u5")]):
+        with pytest.raises(ConstraintError, match="job_url under two keys: 1 rows"):
+            store.load(batch(spark, bad))
+        assert urls() == {("u1", "a"), ("u2", "b")} and store.postings().count() == 5 and not store.recover()
+    store.load(batch(spark, [posting("a", url="u4"), posting("b")]))               # u1 is free again; b keeps its own
+    store.load(batch(spark, [posting("f", url="u1"), posting("a", url="u2"), posting("b", url="u4")]))  # two swap theirs
+    assert urls() == {("u1", "f"), ("u2", "a"), ("u4", "b")}
+    for missing in ("source", "ingested_at"):
+        row = batch(spark, [posting("z", url="u9")]).withColumn(missing, F.lit(None).cast(POSTING_SCHEMA[missing].dataType))
+        with pytest.raises(ConstraintError, match=f"{missing} is null: 1 rows"):
+            store.load(row)
+    store.load(batch(spark, []))
+    assert store.postings().count() == 6 and len(urls()) == 3
+    store.load(batch(spark, [posting("k", url="u2")]), full_refresh=True)
+    assert urls() == {("u2", "k")} and store.postings().count() == 1
+
+
+def test_url_index_equals_the_clean_table(spark):
+    rng, store, clean = random.Random(9), PostingStore(spark, scratch_path(spark, "store"), 4, with_metrics=False, unique_url=True), {}
+    for _ in range(4):
+        new = {f"k{k}": rng.choice([None, "", f"u{rng.randrange(25)}"]) for k in rng.sample(range(20), 6)}
+        after = clean | {k: clean.get(k) if u is None else u for k, u in new.items()}
+        held = [u for u in after.values() if u]
+        if len(held) > len(set(held)):
+            with pytest.raises(ConstraintError):
+                store.load(batch(spark, [posting(k, url=u) for k, u in new.items()]))
+        else:
+            store.load(batch(spark, [posting(k, url=u) for k, u in new.items()]))
+            clean = after
+        index = store.urls.read().where("job_hash IS NOT NULL").collect()
+        assert {(r["job_hash"], r["job_url"]) for r in index} == {(k, u) for k, u in clean.items() if u}
