@@ -30,7 +30,7 @@ def run(spark: SparkSession, pages: str, csv: str, out: str, *, full_refresh: st
     rows = rows.withColumn("_pos", F.struct(F.lit(1), F.lit(0).cast("bigint"), F.monotonically_increasing_id()))
     postings = transform(api, rows, api_clock=api_clock, csv_clock=csv_clock, keep=["_pos"],
                          tie_breakers=[F.col("_pos").desc()])
-    store = PostingStore(spark, out, buckets)
+    store = PostingStore(spark, out, buckets, unique_url=True)
     store.load(postings.drop("_pos"), full_refresh=full_refresh)
     return store.postings(), store.metrics.read()
 
