@@ -49,6 +49,22 @@ def extract_keywords(hay: Column, toks: Column, keywords: list[str] | None = Non
 RUNS = f"{WORD_CHAR}+|{NON_WORD_CHAR}+"
 
 
+def joined_runs(df: DataFrame, width: int) -> DataFrame:
+    """Add ``wide``: for every place of ``runs`` the text of the ``width`` runs from there on, fewer at the end.
+
+    Texts of twice the runs come from the whole array set against itself (a ``slice`` a place reads the array anew
+    each time); every step is a column of its own, so the next reads it twice without computing it twice."""
+    def put(shifted: Column) -> Column:
+        return F.zip_with("wide", shifted, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+
+    df, have = df.withColumn("wide", F.col("runs")), 1
+    for bit in bin(width)[3:]:
+        df, have = df.withColumn("wide", put(F.slice("wide", have + 1, F.size("wide")))), 2 * have
+        if bit == "1":
+            df, have = df.withColumn("wide", put(F.slice("runs", have + 1, F.size("runs")))), have + 1
+    return df
+
+
 def extract_keywords_table(docs: DataFrame, keywords: DataFrame, hay: Column, *, id_col: str = "doc_id",
                            keyword_col: str = "keyword", out: str = "skills_extracted") -> DataFrame:
     """(id, sorted distinct keywords found as whole words) for dictionaries too large to be literals of a plan.
@@ -56,9 +72,9 @@ def extract_keywords_table(docs: DataFrame, keywords: DataFrame, hay: Column, *,
     A text is cut into alternating runs of word and other characters. A keyword holds between ``\\b`` boundaries
     exactly where its own runs are consecutive runs of the text and a run of other characters that it begins or ends
     with does not touch the text's edge, so such edge runs are cut off. Places whose run begins some keyword (an
-    equi-join to the first runs) offer the joined runs of each length found in the dictionary, and those are
-    equi-joined to the keywords. Places alike in one text count once; what is shuffled grows with the text times the
-    number of distinct keyword lengths.
+    equi-join to the first runs) offer the joined runs of each length that such a keyword has, and those are
+    equi-joined to the keywords. Places alike up to the longest keyword's runs count once in a text; what is shuffled
+    grows with the text times that length.
 
     Null and empty texts have none, null and empty keywords are left out, repeated ones count once; rows of
     one id are one document; a table without keywords gives empty lists."""
@@ -70,14 +86,13 @@ def extract_keywords_table(docs: DataFrame, keywords: DataFrame, hay: Column, *,
     if not lengths:
         return ids.distinct().select(F.col("id").alias(id_col), F.array().cast("array<string>").alias(out))
     runs = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(F.lower(hay), F.lit(RUNS), 0).alias("runs")) \
-        .select("id", F.filter("runs", lambda r, i: r.rlike(f"^{WORD_CHAR}") | (i > 0) & (i < F.size("runs") - 1)).alias("runs"))
-    offers = F.transform("runs", lambda r, i: F.struct(
-        r.alias("first"), F.array(*[F.array_join(F.slice("runs", i + 1, n), "") for n in lengths]).alias("grams")))
-    places = runs.select("id", F.explode(F.array_distinct(offers)).alias("p")).select("id", "p.first", "p.grams")
+        .select("id", F.filter("runs", lambda r, i: (i > 0) & (i < F.size("runs") - 1) | r.rlike(f"^{WORD_CHAR}")).alias("runs"))
+    # a place is its widest text: strings are told apart by hash, structs and arrays by comparing each with each
+    places = joined_runs(runs, lengths[-1]).select("id", F.explode(F.array_distinct("wide")).alias("wide")) \
+        .select("id", "wide", F.regexp_extract("wide", f"^(?:{RUNS})", 0).alias("first"))
     firsts = k.groupBy("first").agg(F.collect_set("n").alias("ns"))
-    at = F.array(*[F.lit(n) for n in lengths])
-    grams = places.join(firsts, "first").select(
-        "id", F.explode(F.filter("grams", lambda g, i: F.array_contains("ns", at[i]))).alias("gram"))
+    grams = places.join(firsts, "first").select("id", "ns", F.regexp_extract_all("wide", F.lit(RUNS), 0).alias("runs")) \
+        .select("id", F.explode(F.transform("ns", lambda n: F.array_join(F.slice("runs", 1, n), ""))).alias("gram"))
     found = grams.join(k.select("gram"), "gram").select("id", "gram")
     return found.unionByName(ids.select("id", F.lit(None).cast("string").alias("gram"))) \
         .groupBy("id").agg(F.sort_array(F.collect_set("gram")).alias("found")) \

@@ -3,10 +3,12 @@
 import json
 import os
 import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from jobsmith.functions.enrich import extract_keywords, extract_keywords_table, tokens
+from jobsmith.functions.enrich import extract_keywords, extract_keywords_table, joined_runs, tokens
 from jobsmith.session import scratch_path
 from jobsmith.sources.pages import PageReader, page_stream
 from jobsmith.streaming import jobs as S
@@ -122,3 +124,22 @@ def test_keyword_table_with_100_000_keywords(spark):
     assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 20_000  # the dictionary is not in the plan
     assert {r.doc_id: r.skills_extracted for r in out.collect()} == {
         i: sorted([f"w{2 * i}", f"w{2 * i + 1} v{2 * i + 1}"]) for i in range(500)}
+
+
+def test_keyword_table_takes_time_by_the_length_of_a_text(spark):
+    """A text of 60,000 different words (before, its places were compared each with each: hours)."""
+    words = [f"w{i}" for i in range(60_000)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, "w1 w3"), (3, "... w7 ...")], "doc_id int, text string")
+    keywords = [*words[::1000], "w5 w6", "w5 w7", "w8 w9 w10 w11", ". w7"]
+    began = time.monotonic()
+    got = by_table(spark, df, keywords)
+    assert time.monotonic() - began < 60
+    assert got == {1: sorted([*words[::1000], "w5 w6", "w8 w9 w10 w11"]), 2: [], 3: []}
+
+
+@pytest.mark.parametrize("width", range(1, 12))
+def test_joined_runs_of_every_width(spark, width):
+    texts = [[], ["a"], list("abcdefgh"), list("ab" * 9), None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, runs array<string>")
+    got = {r.id: r.wide for r in joined_runs(df, width).collect()}
+    assert got == {i: t and ["".join(t[k:k + width]) for k in range(len(t))] if t is not None else None for i, t in enumerate(texts)}
