@@ -25,16 +25,27 @@ from jobsmith.sources.pages import page_stream
 from jobsmith.streaming import jobs as S
 
 CHUNKS = 3
+FILE_RECORDS = 100_000
 
 # ---------------------------------------------------------------- landing of event records
 
 
-def event_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as stream messages (plus ``chunk``): key per (user, event type);
-    'view' sends an empty source, 'click' omits is_remote, 'signup' sends it as null."""
+def chunked_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with ``chunk``: the third of the days that they fall into."""
     e = read(spark, sf, "events")
     lo = e.agg(F.min(F.to_date("ts"))).scalar()
     span = e.agg(F.datediff(F.max(F.to_date("ts")), F.min(F.to_date("ts"))) + 1).scalar()
+    return e.withColumn("chunk", F.floor(F.datediff(F.to_date("ts"), F.lit(lo)) * CHUNKS / F.lit(span)).cast("int"))
+
+
+def event_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as stream messages (plus ``chunk``): key per (user, event type);
+    'view' sends an empty source, 'click' omits is_remote, 'signup' sends it as null."""
+    return chunked_events(spark, sf).select(*message_columns(), "chunk")
+
+
+def message_columns() -> list[F.Column]:
+    """(key, value) of an event's message."""
     key = sha256_hex(F.concat_ws("|", F.col("user_id").cast("string"), "event_type"))
     fields = {
         "job_hash": key,
@@ -53,27 +64,42 @@ def event_messages(spark: SparkSession, sf: str) -> DataFrame:
     with_remote = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
     no_remote = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items() if k != "is_remote"]),
                           {"ignoreNullFields": "false"})
-    chunk = F.floor(F.datediff(F.to_date("ts"), F.lit(lo)) * CHUNKS / F.lit(span)).cast("int")
-    return e.select(key.alias("key"),
-                    F.when(F.col("event_type") == "click", no_remote).otherwise(with_remote).alias("value"),
-                    chunk.alias("chunk"))
+    return [key.alias("key"), F.when(F.col("event_type") == "click", no_remote).otherwise(with_remote).alias("value")]
+
 
+def chunk_files(spark: SparkSession, sf: str) -> int:
+    """Files a chunk is landed in: one for every ``FILE_RECORDS`` of an average chunk."""
+    return max(1, -(-read(spark, sf, "events").count() // (CHUNKS * FILE_RECORDS)))
 
-def land_event_records(spark: SparkSession, sf: str, chunks: range | None = None, path: str | None = None) -> str:
-    """Append the record chunks in event-time order, one write per chunk, so the
-    file source sees them in that order (maxFilesPerTrigger=1 -> one batch each).
 
-    This only lands test input: one file per chunk makes the arrival order of a
-    file source explicit. In production the records come from a broker, whose
+def land_event_records(spark: SparkSession, sf: str, files: int, chunks: range | None = None, path: str | None = None) -> str:
+    """Append the record chunks in event-time order, one write per chunk of ``files`` files, so the
+    file source sees them in that order (maxFilesPerTrigger=``files`` -> one batch each).
+
+    This only lands test input: a fixed number of files per chunk makes the arrival order of a
+    file source explicit. Every file begins with an empty line, which JSON readers pass over: a task
+    without a record writes its file too. In production the records come from a broker, whose
     per-key order is the partition offset (``record_stream(fmt="kafka")``).
     """
     path = path or scratch_path(spark, "records")
-    msgs = event_messages(spark, sf)
+    events = chunked_events(spark, sf)
+    columns = [c for c in events.columns if c != "chunk"]
+    dealt = events.withColumn("file", F.pmod(F.xxhash64(*columns), F.lit(files)).cast("int")).withColumn("empty", F.lit(False))
+    starts = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit(True).alias("empty"))
     for i in (chunks if chunks is not None else range(CHUNKS)):
-        msgs.filter(F.col("chunk") == i).drop("chunk").coalesce(1).write.mode("append").json(path)
+        dealt.filter(F.col("chunk") == i).unionByName(starts, allowMissingColumns=True) \
+            .repartitionById(files, F.col("file")).select("empty", *message_columns()) \
+            .select(F.when(F.col("empty"), "").otherwise(F.to_json(F.struct("key", "value"))).alias("value")) \
+            .write.mode("append").option("compression", "none").text(path)
     return path
 
 
+def landed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """All chunks landed, as a stream of one micro-batch a chunk."""
+    files = chunk_files(spark, sf)
+    return S.record_stream(spark, land_event_records(spark, sf, files), max_files_per_trigger=files)
+
+
 def seq_of(value: F.Column) -> F.Column:
     """Arrival sequence of a record: (event time, event id) from the payload."""
     p = J.decode(value)
@@ -87,10 +113,9 @@ def clock_of_seq(seq_col: str = "_seq") -> F.Column:
 
 
 def run_upsert(spark: SparkSession, sf: str) -> S.StreamTable:
-    records = land_event_records(spark, sf)
     base = scratch_path(spark, "stream_table")
     table = S.StreamTable(spark, base + "/jobs_stream")
-    stream = S.record_stream(spark, records, max_files_per_trigger=1)
+    stream = landed_stream(spark, sf)
     q = S.start(stream, checkpoint=base + "/_checkpoint",
                 foreach_batch=S.upsert_batch_fn(table, seq=seq_of(F.col("value")), clock=clock_of_seq(),
                                                 quarantine=base + "/quarantine"))
@@ -138,7 +163,7 @@ DAY_COUNTS_SQL = "SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, COUNT(*) AS
 def src_kafka(spark, sf):
     """Keyed JSON records read as a stream (the broker source is a swappable format)."""
     base = scratch_path(spark, "src_kafka")
-    stream = S.record_stream(spark, land_event_records(spark, sf), max_files_per_trigger=1)
+    stream = landed_stream(spark, sf)
     S.start(stream, checkpoint=base + "/_checkpoint", sink=base + "/out", fmt="parquet").awaitTermination()
     out = spark.read.parquet(base + "/out")
     p = J.decode(F.col("value"))
@@ -185,7 +210,7 @@ def stream_publish(spark, sf):
 def stream_dedup_bounded(spark, sf):
     """Per (key, day) first occurrence with state bounded by a one-day watermark."""
     base = scratch_path(spark, "bounded")
-    stream = S.record_stream(spark, land_event_records(spark, sf), max_files_per_trigger=1)
+    stream = landed_stream(spark, sf)
     seq = seq_of(F.col("value"))
     s = stream.select("key", seq["a"].alias("ts")).withColumn("day", F.to_date("ts"))
     out = S.dedup_within(s, ["key", "day"], F.col("ts"), "1 day")
@@ -197,10 +222,10 @@ def stream_dedup_bounded(spark, sf):
   / (date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), (SELECT max(CAST(ts AS DATE)) FROM events)) + 1)) AS BIGINT)
   AS batch_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day, COUNT(*) AS n FROM events GROUP BY 1, 2""")
 def stream_microbatch(spark, sf):
-    """One micro-batch per landed chunk (maxFilesPerTrigger=1), each committed by
+    """One micro-batch per landed chunk (maxFilesPerTrigger: the files of a chunk), each committed by
     its own foreachBatch write keyed by batch id."""
     base = scratch_path(spark, "microbatch")
-    stream = S.record_stream(spark, land_event_records(spark, sf), max_files_per_trigger=1)
+    stream = landed_stream(spark, sf)
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         (df.select(F.to_date(seq_of(F.col("value"))["a"]).alias("day"))
@@ -215,16 +240,16 @@ def stream_microbatch(spark, sf):
 def stream_resume(spark, sf):
     """Run, land more data, run again on the same checkpoint: every record once."""
     base = scratch_path(spark, "resume")
-    records = base + "/records"
+    records, files = base + "/records", chunk_files(spark, sf)
 
     def run() -> None:
-        stream = S.record_stream(spark, records, max_files_per_trigger=1)
+        stream = S.record_stream(spark, records, max_files_per_trigger=files)
         S.start(stream.select(F.to_date(seq_of(F.col("value"))["a"]).alias("day")),
                 checkpoint=base + "/_checkpoint", sink=base + "/out", fmt="parquet").awaitTermination()
 
-    land_event_records(spark, sf, range(0, CHUNKS - 1), records)
+    land_event_records(spark, sf, files, range(0, CHUNKS - 1), records)
     run()
-    land_event_records(spark, sf, range(CHUNKS - 1, CHUNKS), records)
+    land_event_records(spark, sf, files, range(CHUNKS - 1, CHUNKS), records)
     run()
     return spark.read.parquet(base + "/out").groupBy(F.col("day").cast("timestamp_ntz").alias("day")) \
         .agg(F.count("*").alias("n"))
@@ -253,19 +278,19 @@ def stream_daily_counts(spark, sf):
     """Event-time day windows with a watermark, in two runs on one checkpoint: the second goes on from the
     counts of the first."""
     base = scratch_path(spark, "daily_counts")
-    records = base + "/records"
+    records, files = base + "/records", chunk_files(spark, sf)
     out = S.LatestTable(spark, base + "/out", ["day", "event_type"], "day date, event_type string, n long")
 
     def run() -> None:
-        stream = S.record_stream(spark, records, max_files_per_trigger=1)
+        stream = S.record_stream(spark, records, max_files_per_trigger=files)
         rows = stream.select(seq_of(F.col("value"))["a"].alias("ts"),
                              J.vget(J.decode(F.col("value")), "$.title", "string").alias("event_type"))
         S.start(S.daily_counts(rows, "ts", ["event_type"], "2 days"), checkpoint=base + "/_checkpoint", output_mode="update",
                 foreach_batch=out.write).awaitTermination()
 
-    land_event_records(spark, sf, range(0, CHUNKS - 1), records)
+    land_event_records(spark, sf, files, range(0, CHUNKS - 1), records)
     run()
-    land_event_records(spark, sf, range(CHUNKS - 1, CHUNKS), records)
+    land_event_records(spark, sf, files, range(CHUNKS - 1, CHUNKS), records)
     run()
     return out.read().select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")
 
@@ -288,7 +313,7 @@ def stream_latest(spark, sf):
 def dedup_first_seen(spark, sf):
     """Streaming first-seen dedup, combined before the shuffle; only order-independent columns are returned."""
     base = scratch_path(spark, "first_seen")
-    stream = S.record_stream(spark, land_event_records(spark, sf), max_files_per_trigger=1)
+    stream = landed_stream(spark, sf)
     first = S.FirstSeen(spark, base + "/out", stream.schema, order=[seq_of(F.col("value"))])
     S.start(stream, checkpoint=base + "/_checkpoint", foreach_batch=first.write).awaitTermination()
     return first.read().select("key")

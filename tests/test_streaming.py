@@ -1,6 +1,7 @@
 """Streaming: payload rules, upsert across micro-batches, quarantine, bounded dedup,
 and batch/stream equivalence."""
 
+import datetime as dt
 import json
 import os
 
@@ -134,3 +135,27 @@ def test_daily_counts_late_rows_and_resume(spark):
     # the watermark is 03-04 00:00: the first and the second are closed, the fourth is not
     got = land_and_run(("2026-03-01T12:00:00", "a"), ("2026-03-02T12:00:00", "b"), ("2026-03-04T12:00:00", "b"))
     assert got == {("2026-03-01", "a"): 3, ("2026-03-02", None): 1, ("2026-03-05", "a"): 1, ("2026-03-04", "b"): 1}
+
+
+def test_chunks_land_in_many_files_and_arrive_as_one_batch_each(spark, monkeypatch):
+    """Before, a chunk was one file of one task. A chunk without events and one of fewer events than files are batches too."""
+    from jobsmith.plans import catalog_stream as C
+    sf = scratch_path(spark, "events")
+    days = [1] * 40 + [9] * 2 + [None]
+    spark.createDataFrame([(i, None if d is None else dt.datetime(2024, 1, d, 5), i % 3, "click" if i % 2 else "view", float(i), None)
+                           for i, d in enumerate(days)],
+                          "event_id long, ts timestamp, user_id long, event_type string, value double, props string") \
+        .write.parquet(sf + "/events.parquet")
+    monkeypatch.setattr(C, "FILE_RECORDS", 2)
+    files = C.chunk_files(spark, sf)
+    path = C.land_event_records(spark, sf, files)
+    sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-")]
+    assert files == 8 and len(sizes) == 3 * files and sum(s > 100 for s in sizes) > files // 2
+    got = spark.read.schema(S.RECORD_SCHEMA).option("mode", "FAILFAST").json(path).collect()
+    want = C.event_messages(spark, sf).where("chunk IS NOT NULL").select("key", "value").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 42
+    seen = {}
+    S.start(C.landed_stream(spark, sf), checkpoint=scratch_path(spark, "ckpt"),
+            foreach_batch=lambda df, n: seen.update({n: df.count()})).awaitTermination()
+    assert seen == {0: 40, 1: 0, 2: 2}
+    assert {(r["batch_id"], r["n"]) for r in C.stream_microbatch(spark, sf).collect()} == {(0, 40), (2, 2)}
