@@ -17,7 +17,7 @@ PER_PAGE = 100
 
 
 def write_csv(raw: DataFrame, path: str) -> str:
-    (raw.select(*CSV_COLUMNS).write.option("header", True).option("escape", '"')
+    (raw.select(*CSV_COLUMNS).write.option("compression", "gzip").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
@@ -58,7 +58,7 @@ def land_pages(spark: SparkSession, sf_dir: str, by_page: bool = False) -> str:
     if by_page:
         pages.select("page", line.alias("value")).write.partitionBy("page").text(path)
     else:
-        pages.select(line.alias("value")).write.text(path)
+        pages.select(line.alias("value")).write.option("compression", "gzip").text(path)
     return path
 
 
@@ -72,5 +72,5 @@ def land_flat(spark: SparkSession, sf_dir: str) -> str:
     grp = posts.groupBy("source", "blk").agg(F.sort_array(F.collect_list(F.struct("doc_id", "js"))).alias("p"))
     line = F.concat(F.lit('{"jobs":['), F.array_join(F.transform("p", lambda x: x["js"]), ","), F.lit("]}"))
     path = scratch_path(spark, "flat")
-    grp.select(line.alias("value")).write.text(path)
+    grp.select(line.alias("value")).write.option("compression", "gzip").text(path)
     return path

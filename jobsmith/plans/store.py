@@ -19,8 +19,8 @@ Constraints are checked by metrics observed while the new contents are staged
 be null, and with ``unique_url`` a non-empty URL belongs to one key of the whole table.
 
 A load first stages the new contents of all partitions it will replace and marks
-them ready, then swaps them in. Replacing a partition twice gives the same table,
-so a load that broke off after the mark is finished by the next one (``recover``),
+them ready, then swaps them in: the clean table's and the URL index's by moving the
+staged folders. Replacing a partition twice gives the same table, so a load that broke off after the mark is finished by the next one (``recover``),
 and one that broke off before it has changed nothing. One writer at a time;
 a frame read before a load is not to be used after it.
 """
@@ -71,6 +71,22 @@ class Partitioned:
         rows.select(*self.schema.names).write.mode("overwrite").partitionBy(self.column) \
             .option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(self.path)
 
+    def take(self, staged: str, whole: bool) -> None:
+        """``write`` of rows that are stored in the table's form: their folders are moved in, not copied. What a
+        move that broke off has left is moved by the next call; a ``whole`` table is moved in one."""
+        fs, table, jvm = _fs(self.spark, self.path)
+        source = jvm.org.apache.hadoop.fs.Path(staged)
+        if not fs.exists(source):
+            return
+        names = [st.getPath().getName() for st in fs.listStatus(source) if st.isDirectory()]
+        moves = [(source, table)] if whole else [(jvm.org.apache.hadoop.fs.Path(source, n), jvm.org.apache.hadoop.fs.Path(table, n))
+                                                 for n in names]
+        for a, b in moves:
+            fs.delete(b, True)
+            fs.mkdirs(b.getParent())
+            if not fs.rename(a, b):
+                raise OSError(f"{a} can't be moved to {b}")
+
 
 class PostingStore:
     """``extra``: fields that a clean row carries besides the posting's; ``with_metrics=False``: the clean table alone;
@@ -104,7 +120,7 @@ class PostingStore:
         refresh = full_refresh if isinstance(full_refresh, bool) else full_refresh_requested(full_refresh)
         self.recover()
         self._forget()
-        postings.select(*self.schema.names).write.mode("overwrite").parquet(self.staging_path)
+        postings.select(*self.schema.names).write.mode("overwrite").option("compression", "zstd").parquet(self.staging_path)
         staging = self.spark.read.schema(self.schema).parquet(self.staging_path)
         touched = sorted(r[0] for r in staging.select(self.bucket()).distinct().collect())  # at most ``buckets``
         old = empty_like(self.spark, self.clean.schema) if refresh else self.clean.read().where(F.col("bucket").isin(touched))
@@ -124,7 +140,7 @@ class PostingStore:
         """Write what replaces partitions of a table, counting the rows that break a constraint in the same pass."""
         seen = Observation()
         rows.observe(seen, *[F.count_if(c).alias(n) for n, c in broken.items()]).drop("_low") \
-            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.log}/{name}")
+            .write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{self.log}/{name}")
         found = {n: k for n, k in seen.get.items() if k}
         if found:
             raise ConstraintError("; ".join(f"{n}: {k} rows" for n, k in found.items()))
@@ -171,9 +187,9 @@ class PostingStore:
 
     def _apply(self, whole: bool, clock: Column | None) -> None:
         staged = lambda t, name: self.spark.read.schema(t.schema).parquet(f"{self.log}/{name}")
-        self.clean.write(staged(self.clean, "clean"), whole)
+        self.clean.take(f"{self.log}/clean", whole)
         if self.unique_url:
-            self.urls.write(staged(self.urls, "urls"), whole)
+            self.urls.take(f"{self.log}/urls", whole)
         if self.with_metrics:
             counts = staged(self.counts, "counts")
             self.counts.write(counts.hint("rebalance", "month"), whole)

@@ -149,3 +149,56 @@ def test_url_index_equals_the_clean_table(spark):
             clean = after
         index = store.urls.read().where("job_hash IS NOT NULL").collect()
         assert {(r["job_hash"], r["job_url"]) for r in index} == {(k, u) for k, u in clean.items() if u}
+
+
+def test_staged_folders_are_moved_in_not_copied(spark, monkeypatch):
+    """Before, the clean table and the URL index were written once more from what a load had staged."""
+    store = PostingStore(spark, scratch_path(spark, "store"), 4, with_metrics=False, unique_url=True)
+    for t in (store.clean, store.urls):
+        monkeypatch.setattr(t, "write", lambda *a: (_ for _ in ()).throw(AssertionError("written again")))
+    store.load(batch(spark, [posting(f"k{i}", 1, url=f"u{i}") for i in range(20)]))
+    store.load(batch(spark, [posting("k1", 2, url="u1"), posting("n", 2, url="u30")]))
+    assert store.postings().count() == 21 and store.urls.read().where("job_hash IS NOT NULL").count() == 21
+    # a driver lost between the two swaps of a whole and of a partial load
+    for refresh, rows, count in ((False, [posting("k2", 3, url="u40")], 21), (True, [posting("z", 3, url="u50")], 1)):
+        with monkeypatch.context() as m:
+            m.setattr(store.urls, "take", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                store.load(batch(spark, rows), full_refresh=refresh)
+        assert store.recover() and not store.recover()
+        urls = {r["job_url"] for r in store.urls.read().where("job_hash IS NOT NULL").collect()}
+        assert store.postings().count() == len(urls) == count and rows[0][9] in urls
+
+
+def test_move_that_broke_off_is_finished(spark):
+    from jobsmith.plans.store import Partitioned
+    base = scratch_path(spark, "moved")
+    schema = "k string, bucket int"
+    table = Partitioned(spark, base + "/t", spark.createDataFrame([], schema).schema)
+    table.write(spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], schema), True)
+    spark.createDataFrame([("A", 1), ("B", 2)], schema).write.partitionBy("bucket").parquet(base + "/s")
+    spark.createDataFrame([("A", 1)], schema).write.partitionBy("bucket").parquet(base + "/first")
+    table.take(base + "/first", False)  # as far as a lost driver came
+    table.take(base + "/s", False)
+    table.take(base + "/s", False)
+    assert sorted(map(tuple, table.read().collect())) == [("A", 1), ("B", 2), ("c", 3)]
+    spark.createDataFrame([("x", 7)], schema).write.partitionBy("bucket").parquet(base + "/w")
+    for _ in range(2):
+        table.take(base + "/w", True)
+        assert [tuple(r) for r in table.read().collect()] == [("x", 7)]
+
+
+def test_stored_texts_are_compressed(spark):
+    """Landed text and what a load stages: before, plain text and Snappy."""
+    from jobsmith.plans import landing as L
+    import os
+    raw = spark.createDataFrame([("1", "s", "t", "c", "l", "true", "x", "2026-01-01", None, "a \"b\",\nc " * 200)], ", ".join(
+        f"{c} string" for c in ("job_id", "source", "title", "company", "location", "is_remote", "category", "publication_date",
+                                "job_url", "description")))
+    path = L.write_csv(raw, scratch_path(spark, "csv"))
+    assert all(f.endswith(".csv.gz") for f in os.listdir(path) if f.startswith("part-"))
+    from jobsmith.sources.files import read_postings_csv
+    assert [tuple(r) for r in read_postings_csv(spark, path).collect()] == [tuple(r) for r in raw.collect()]
+    store = PostingStore(spark, scratch_path(spark, "store"), 4)
+    store.load(batch(spark, [posting("k", 1)]))
+    assert all(".zstd." in f for f in files(store, store.clean))
