@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,30 +30,34 @@ def _finish(df: DataFrame, enrich: bool, keep: list[str], **rules) -> DataFrame:
 
 
 def normalize_csv(raw: DataFrame, *, clock: Column | None = None, keep: list[str] | None = None,
-                  enrich: bool = True, **rules) -> DataFrame:
+                  enrich: bool = True, normal: Sequence[str] = (), **rules) -> DataFrame:
     """CSV rows (all STRING, NA tokens already NULL) -> unified postings.
 
     Missing columns are tolerated; text NULL -> ''; source NULL -> 'csv';
     is_remote by row-level truthiness (NULL -> false); one ingest time per frame.
     ``keep`` carries extra input columns (e.g. an arrival position) through;
-    ``enrich=False`` keeps enrichment columns computed upstream (in ``keep``).
+    ``enrich=False`` keeps enrichment columns computed upstream (in ``keep``). ``normal``
+    columns have been through ``normalize_ws`` upstream and are not scanned again.
     """
     have = set(raw.columns)
 
     def col(name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast("string")
 
+    def text(name: str) -> Column:
+        return col(name) if name in normal else normalize_ws(col(name))
+
     df = raw.select(
         col("job_id").alias("job_id"),
         F.coalesce(col("source"), F.lit(R.CSV_SOURCE)).alias("source"),
-        normalize_ws(col("title")).alias("title"),
+        text("title").alias("title"),
         normalize_ws(col("company")).alias("company"),
         normalize_ws(col("location")).alias("location"),
         truthy_text(col("is_remote")).alias("is_remote"),
         normalize_ws(col("category")).alias("category"),
         col("publication_date").alias("_date_raw"),
         empty_to_null(normalize_ws(col("job_url"))).alias("job_url"),
-        normalize_ws(col("description")).alias("description"),
+        text("description").alias("description"),
         _clock(clock).alias("ingested_at"),
         *[F.col(k) for k in (keep or [])],
     )

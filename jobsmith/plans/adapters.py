@@ -79,13 +79,15 @@ def documents_side(spark: SparkSession, sf_dir: str, keywords: list[str] | None
                    F.substring_index("text", "\n", 1).alias("title"), F.col("lang").alias("location"),
                    F.col("text").alias("description"))
     if enrich:
-        out = with_enrichment(out, normalize_ws("title"), normalize_ws("description"), keywords=keywords)
+        out = out.withColumns({c: normalize_ws(c) for c in ("title", "description")})
+        out = with_enrichment(out, "title", "description", keywords=keywords)
     return out
 
 
 def raw_postings(spark: SparkSession, sf_dir: str, *, keywords: list[str] | None = DOC_KEYWORDS,
                  enrich: bool = True) -> DataFrame:
-    """Raw posting rows (plus ``doc_id``; plus enrichment columns when ``enrich``)."""
+    """Raw posting rows (plus ``doc_id``; plus enrichment columns when ``enrich``, of which title and description are
+    normalised)."""
     docs = documents_side(spark, sf_dir, keywords, enrich)
     attrs = order_attributes(spark, sf_dir)
     urls = read(spark, sf_dir, "pages").select(F.col("page_id").alias("_pid"), F.col("url").alias("job_url"))
@@ -97,7 +99,7 @@ def raw_postings(spark: SparkSession, sf_dir: str, *, keywords: list[str] | None
 def postings(spark: SparkSession, sf_dir: str, *, keywords: list[str] | None = DOC_KEYWORDS) -> DataFrame:
     """Unified postings of the driver documents (plus ``doc_id``)."""
     raw = raw_postings(spark, sf_dir, keywords=keywords, enrich=True)
-    return normalize_csv(raw, clock=clock(), enrich=False,
+    return normalize_csv(raw, clock=clock(), enrich=False, normal=("title", "description"),
                          keep=["doc_id", "skills_extracted", "role_type", "seniority_level"])
 
 

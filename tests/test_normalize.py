@@ -167,3 +167,17 @@ def test_non_string_fields_are_cast(spark):
     """T16: a numeric title or a boolean id does not fail the batch."""
     r = normalize_paged_api(api_frame(spark, [dict(API_POSTING, title=123, id=True)])).first()
     assert (r["title"], r["job_id"]) == ("123", "True")
+
+
+def test_posting_texts_are_normalised_once(spark):
+    """The posting view scanned every whole text for blanks twice: for the enrichment and for the normaliser."""
+    from jobsmith.plans import adapters as A
+    from tests.conftest import SF_SMALL
+    raw = spark.createDataFrame([("  a \n b", None, " c  d ")], "title string, description string, company string")
+    r = normalize_csv(raw, normal=("title",)).first()
+    assert (r["title"], r["description"], r["company"]) == ("  a \n b", "", "c d")
+    p = A.postings(spark, SF_SMALL).select("doc_id", "title", "description", "skills_extracted")
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(coalesce(description#") + plan.count("regexp_replace(coalesce(text#") == 1
+    whole = normalize_csv(A.raw_postings(spark, SF_SMALL, enrich=False), clock=A.clock(), keep=["doc_id"], keywords=A.DOC_KEYWORDS)
+    assert sorted(map(str, p.collect())) == sorted(map(str, whole.select(*p.columns).collect()))
