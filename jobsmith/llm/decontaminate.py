@@ -15,8 +15,9 @@ length. To find such windows:
 Words that no item has are one symbol. A window within k edits of an item keeps
 all but k of its words, so it holds at least n - k words that some item has, and
 all but k of the item's rare words (in few items); windows with fewer are passed
-over before step 1, which loses none. Overlapping windows of one item are one
-leak, reported at the closest one.
+over before step 1, which loses none. Only words of items as long as the window
+count for that. Overlapping windows of one item are one leak, reported at the
+closest one.
 
 The items are the query set: their table is sent to every task in blocks of at
 most ``BLOCK`` items (a proven bound), one pass over the documents a block.
@@ -49,6 +50,7 @@ from jobsmith.llm.common import union_all, words
 BLOCK = 20_000
 CHUNK_WORDS = 1 << 19
 RARE_SHARE = 0.02
+TOGETHER = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -116,9 +118,11 @@ class Lsh:
         raise ValueError(f"no search of {self.most_walks} walks finds items of {n} words within {most} edits")
 
 
-def cgk(ids: np.ndarray, starts: np.ndarray, n: int, bits: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def cgk(ids: np.ndarray, starts: np.ndarray, n: int, bits: np.ndarray, wanted: np.ndarray,
+        first: np.ndarray | int = 0) -> np.ndarray:
     """CGK walks over the windows ids[start:start + n]: the ids written at the ``wanted`` steps, a row a
-    step (0 past the end). ``bits`` holds a random bit per word and step, 64 steps a column."""
+    step (0 past the end). ``bits`` holds a random bit per word and step, 64 steps a column; a window's
+    words begin at its row ``first``, so that several walks go at once."""
     out = np.zeros((len(wanted), len(starts)), np.int32)
     rows: dict[int, list[int]] = {}
     for r, step in enumerate(wanted.tolist()):
@@ -129,7 +133,7 @@ def cgk(ids: np.ndarray, starts: np.ndarray, n: int, bits: np.ndarray, wanted: n
         here[at >= n] = 0
         for r in rows.get(step, ()):
             out[r] = here
-        at += ((bits[here, step >> 6] >> np.uint64(step & 63)) & np.uint64(1)).astype(np.int64)
+        at += ((bits[here + first, step >> 6] >> np.uint64(step & 63)) & np.uint64(1)).astype(np.int64)
         np.minimum(at, n, out=at)
     return out
 
@@ -178,12 +182,13 @@ class Index:
         self.bits = rng.integers(0, 1 << 63, (max((w for w, _ in self.plans.values()), default=0), len(held), longest * 2 // 64 + 1), np.uint64, endpoint=True)
         self.bits |= rng.integers(0, 2, self.bits.shape, np.uint64) << np.uint64(63)
         self.mixers = rng.integers(1 << 62, 1 << 63, lsh.sample, np.uint64) | np.uint64(1)  # key: a sum of products
-        self.items, self.needs, self.keys = {}, {}, {}
+        self.items, self.needs, self.own, self.keys = {}, {}, {}, {}
         for n, group in sorted(by_length.items()):
             seqs = np.array([seq for *_, seq in group], np.int32)
             mosts = [self.whole[o][2] // len(lsh.parts(len(self.whole[o][1]))) for o, *_ in group]
             self.items[n] = ([(o, at) for o, at, _ in group], seqs, mosts)
             self.needs[n] = (n - max(mosts), int((self.rare[seqs].sum(axis=1) - mosts).min()))
+            self.own[n] = np.unique(seqs)
             for walk, key in self._keys(np.append(seqs.ravel(), 0), np.arange(len(seqs)) * n, n):
                 order = np.argsort(key, kind="stable")
                 self.keys[n, walk] = key[order], order
@@ -192,12 +197,18 @@ class Index:
         """((walk, set), 64-bit key per window)."""
         with np.errstate(over="ignore"):
             walks, sample = self.plans[n]
-            for walk in range(walks):
-                at = self.lsh.positions(walk, n, sample)
-                steps, where = np.unique(at, return_inverse=True)
-                seen = cgk(ids, starts, n, self.bits[walk], steps).astype(np.uint64)
-                for k, rows in enumerate(where.reshape(at.shape)):
-                    yield (walk, k), sum(seen[r] * m for r, m in zip(rows, self.mixers))
+            at = np.array([self.lsh.positions(walk, n, sample) for walk in range(walks)])
+            some = max(1, TOGETHER // max(1, len(starts)))  # few windows: all their walks at once
+            for lo in range(0, walks, some):
+                bits = self.bits[lo:min(lo + some, walks)]
+                count, known, columns = bits.shape
+                steps, where = np.unique(at[lo:lo + count], return_inverse=True)
+                seen = cgk(ids, np.tile(starts, count), n, bits.reshape(-1, columns), steps,
+                           np.repeat(np.arange(count) * known, len(starts))).astype(np.uint64)
+                seen = seen.reshape(len(steps), count, len(starts))
+                for walk, sets in enumerate(where.reshape(at[lo:lo + count].shape)):
+                    for k, rows in enumerate(sets):
+                        yield (lo + walk, k), sum(seen[r, walk] * m for r, m in zip(rows, self.mixers))
 
     def search(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """Per text: (item, first word, words, distance) of every leak."""
@@ -229,7 +240,7 @@ class Index:
             ok = known[n:] - known[:-n] >= need
             if need_rare > 0:
                 ok &= rare[n:] - rare[:-n] >= need_rare
-            starts = np.flatnonzero(ok[:len(ids) - n])
+            starts = self._own_words(ids, np.flatnonzero(ok[:len(ids) - n]), n)
             for lo in range(0, len(starts), 1 << 16):
                 for s, j in self._candidates(ids, starts[lo:lo + (1 << 16)], n):
                     o, at = group[j]
@@ -257,6 +268,16 @@ class Index:
         for t, _ in part:
             out[t].sort()
 
+    def _own_words(self, ids: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+        """Those of the starts whose window has as many words, and rare words, of the items of length n as a leak keeps."""
+        own = np.zeros(len(self.rare), bool)
+        own[self.own[n]] = True
+        for need, word in zip(self.needs[n], (own, own & self.rare)):
+            if need > 0 and len(starts):
+                held = np.concatenate(([0], np.cumsum(word[ids], dtype=np.int32)))
+                starts = starts[held[starts + n] - held[starts] >= need]
+        return starts
+
     def _candidates(self, ids: np.ndarray, starts: np.ndarray, n: int) -> list[tuple[int, int]]:
         """Distinct (window start, item of length n) that share a key."""
         pairs = set()

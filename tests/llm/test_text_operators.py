@@ -311,6 +311,23 @@ def test_short_and_long_items_equal_brute_force():
     assert decontaminate.Index([], decontaminate.Lsh()).search(["a", None, ""]) == [[], [], []]
 
 
+def test_only_words_of_items_as_long_as_the_window_make_it_worth_a_walk(monkeypatch):
+    rng = random.Random(21)
+    short, long_ = [f"s{i}" for i in range(12)], [f"l{i}" for i in range(40)]
+    index = decontaminate.Index([(0, " ".join(short)), (1, " ".join(long_))], decontaminate.Lsh())
+    walked, calls, cgk = collections.Counter(), [], decontaminate.cgk
+
+    def counted(ids, starts, n, *more):
+        walked[n] += len(set(starts.tolist()))
+        calls.append(n)
+        return cgk(ids, starts, n, *more)
+    monkeypatch.setattr(decontaminate, "cgk", counted)
+    text = [rng.choice(long_) for _ in range(2000)] + short + ["zz"] * 50
+    assert index.search([" ".join(text)]) == [[(0, 2000, 12, 0)]]
+    assert walked[12] <= 5 and walked[40]  # before: each window of 12 words of the other item too
+    assert len(calls) == 2  # few windows take all their walks at once
+
+
 def test_lm_models_equal_brute_force(spark):
     rng = random.Random(10)
     draw = lambda ws: " ".join(rng.choice(ws) for _ in range(rng.randrange(1, 30)))
