@@ -6,10 +6,10 @@
 2. Lattice: every unit is exploded into its substrings of at most the longest
    piece's length, equi-joined to the piece table; every character also has an
    edge of its own (its piece, or the unknown edge that stands for its bytes).
-3. The edges are grouped by unit and folded from left to right with Spark's
-   ``aggregate``: the best way to each place is the best over the edges that end
-   there (Viterbi). Highest total score wins; of equals the one whose last piece
-   is longest.
+3. The edges are grouped by unit and folded from left to right in the tasks (those
+   of long units with Spark's ``aggregate``): the best way to each place is the best
+   over the edges that end there (Viterbi). Highest total score wins; of equals the
+   one whose last piece is longest.
 4. Documents take their units' ids in order. The unit table is sent to the tasks
    if it is at most ``SEND_UNITS`` rows; a larger one is joined to blocks of
    documents instead, each block with the units it holds.
@@ -101,16 +101,34 @@ def units(text: str | None, pattern: re.Pattern) -> list[str]:
     return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def runs(text: str | None, pattern: str) -> list[str]:
+    """The text cut before its blanks, where every unit ends: a run's units are those of ``SPACE + run``, one run
+    after the other they are the text's. The same runs come again and again, so most need no pattern."""
+    if not text:
+        return []
+    text = text.replace(" ", SPACE)
+    if pattern.startswith("(?s)"):  # units are whole texts
+        return [text]
+    if text[0] != SPACE and SPACE * 2 not in text:
+        return text.split(SPACE)
+    return [x[1:] for x in re.findall(rf"{SPACE}+[^{SPACE}]*", SPACE + text)]
+
+
 def distinct_units(docs: DataFrame, text_col: str, pattern: str) -> DataFrame:
     """(h, unit): every task's distinct units, then distinct over all; h is the unit's hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut, seen = re.compile(pattern), set()
+        cut, seen, known = re.compile(pattern), set(), set()
         for batch in batches:
             for t in batch.column("t"):
-                seen.update(units(t.as_py(), cut))
+                new = set(runs(t.as_py(), pattern)) - known
+                for r in new:
+                    seen.update(cut.findall(SPACE + r))
+                known |= new
                 if len(seen) > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["unit"])
                     seen = set()
+                if len(known) > 300_000 or len(new) > 100_000:
+                    known = set()
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string())], names=["unit"])
     return docs.select(F.col(text_col).alias("t")).mapInArrow(run, "unit string").distinct() \
@@ -126,60 +144,66 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, int, float]:
 
 
 def lattice(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """Edges (h, unit, start, end, id, score) of every unit; id -1 is the unknown character's edge."""
-    table, longest, low = piece_table(spark, path)
+    """Edges (h, unit, start, end, id) of every unit; id -1 is the unknown character's edge."""
+    table, longest, _ = piece_table(spark, path)
     n = F.char_length("unit")
     spans = words.select("h", "unit", F.explode(F.sequence(F.lit(1), n)).alias("start")).select(
         "h", "unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start") + 1))).alias("len"))
     sub = F.substring(F.col("unit"), F.col("start"), F.col("len"))
-    edges = spans.withColumn("piece", sub).join(F.broadcast(table), "piece", "left")
+    edges = spans.withColumn("piece", sub).join(F.broadcast(table.drop("score")), "piece", "left")
     return edges.where("id IS NOT NULL OR len = 1").select(
         "h", "unit", (F.col("start") - 1).alias("start"), (F.col("start") + F.col("len") - 1).alias("end"),
-        F.coalesce("id", F.lit(-1)).cast("int").alias("id"), F.coalesce("score", F.lit(low - 10.0)).alias("score"))
-
-
-def best_paths(edges: DataFrame) -> DataFrame:
-    """(h, unit, score, path): the best path's (id, start, end) edges, folded from the lattice."""
-    grouped = edges.groupBy("h", "unit").agg(F.collect_list(F.struct("end", "start", "id", "score")).alias("e")) \
-        .withColumn("e", F.sort_array("e"))
-    # edges come ordered by end: ``cur`` is the best way (score, -start of its last edge, its id) to place ``at``
-    # so far, ``done`` the best ways to the places before it
-    kind = "struct<done:array<struct<s:double,back:int,id:int>>,cur:struct<s:double,back:int,id:int>,at:int>"
-    first = F.struct(F.array().alias("done"), F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("back"), F.lit(-2).alias("id"))
-                     .alias("cur"), F.lit(0).alias("at"))
-
-    def fold(acc, e):
-        before = F.when(e["start"] == acc["at"], acc["cur"]["s"]).otherwise(F.get(acc["done"], e["start"])["s"])
-        way = F.struct((before + e["score"]).alias("s"), (-e["start"]).alias("back"), e["id"].alias("id"))
-        new = e["end"] > acc["at"]  # the first edge that ends here
-        return F.struct(F.when(new, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]).alias("done"),
-                        F.when(new, way).otherwise(F.greatest(acc["cur"], way)).alias("cur"), e["end"].alias("at"))
-    places = grouped.select("h", "unit", F.aggregate("e", first.cast(kind), fold, lambda x: F.concat(
-        x["done"], F.array(x["cur"]))).alias("p"))
-    # walk back: at each place from the last, take its edge if the path stands there
-    start = F.struct((F.size("p") - 1).alias("at"), F.array().cast("array<struct<id:int,start:int,end:int>>").alias("path"))
-    walk = F.aggregate(
-        F.sequence(F.size("p") - 1, F.lit(1)), start,
-        lambda acc, i: F.when(i == acc["at"], F.struct(
-            (-F.element_at(F.col("p"), i + 1)["back"]).alias("at"),
-            F.concat(acc["path"], F.array(F.struct(F.element_at(F.col("p"), i + 1)["id"].alias("id"),
-                                                   (-F.element_at(F.col("p"), i + 1)["back"]).alias("start"),
-                                                   i.alias("end")))).alias("path"))).otherwise(acc))
-    return places.select("h", "unit", F.element_at("p", -1)["s"].alias("score"), F.reverse(walk["path"]).alias("path"))
+        F.coalesce("id", F.lit(-1)).cast("int").alias("id"))
+
+
+def best_path(starts: list[int], ends: list[int], gains: list[float]) -> tuple[list[int], float]:
+    """(places of the best path's edges in the lists, its score); the edges come ordered by end and start, so that of
+    equal ways to a place the one whose last edge is longest is the first."""
+    best, last = [0.0], [0]
+    for k, (start, end, gain) in enumerate(zip(starts, ends, gains)):
+        way = best[start] + gain
+        if end == len(best):  # the first edge that ends here
+            best.append(way)
+            last.append(k)
+        elif way > best[end]:
+            best[end], last[end] = way, k
+    path, at = [], len(best) - 1
+    while at:
+        path.append(last[at])
+        at = starts[last[at]]
+    return path[::-1], best[-1]
 
 
 def encode_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """(h, unit, ids, score): unknown characters as their bytes' pieces."""
-    m = model(path)
-    byte = F.array(*[F.lit(m.piece_to_id(f"<0x{b:02X}>")) for b in range(256)])
-    char = lambda e: F.substring(F.col("unit"), e["start"] + 1, 1)
-    raw = lambda e: F.transform(F.sequence(F.lit(0), F.octet_length(char(e)) - 1), lambda i: F.element_at(
-        byte, F.conv(F.substring(F.hex(F.encode(char(e), "UTF-8")), i * 2 + 1, 2), 16, 10).cast("int") + 1))
-    known = F.transform("path", lambda e: F.array(e["id"]))
-    plain = F.flatten(known)
-    spelled = F.flatten(F.transform("path", lambda e: F.when(e["id"] >= 0, F.array(e["id"])).otherwise(raw(e))))
-    return best_paths(lattice(words, spark, path)).select(
-        "h", "unit", F.when(F.exists("path", lambda e: e["id"] < 0), spelled).otherwise(plain).alias("ids"), "score")
+    """(h, unit, ids, score): unknown characters as their bytes' pieces. An edge is gathered as one number."""
+    m, rows, field = model(path), pieces(path), (1 << 21) - 1  # units and the model are far smaller
+    byte = [m.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+    score = np.full(m.get_piece_size() + 1, min(s for *_, s in rows) - 10.0)  # by id + 1, the unknown edge's first
+    score[[i + 1 for i, *_ in rows]] = [s for *_, s in rows]
+    number = F.shiftleft(F.col("end").cast("long"), 42) + F.shiftleft(F.col("start").cast("long"), 21) + F.col("id") + 1
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            texts, lists = batch.column("unit").to_pylist(), batch.column("e")
+            e = np.array(lists.flatten(), np.int64)
+            cuts = (np.array(lists.offsets) - lists.offsets[0].as_py()).tolist()
+            starts, ends = ((e >> 21) & field).tolist(), (e >> 42).tolist()
+            ids, gains = (e & field).tolist(), score[e & field].tolist()
+            found, totals = [], []
+            for unit, lo, hi in zip(texts, cuts, cuts[1:]):
+                taken, total = best_path(starts[lo:hi], ends[lo:hi], gains[lo:hi])
+                out = []
+                for k in taken:
+                    if ids[lo + k]:
+                        out.append(ids[lo + k] - 1)
+                    else:
+                        out.extend(byte[b] for b in unit[starts[lo + k]].encode())
+                found.append(out)
+                totals.append(total)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("unit"), pa.array(found, pa.list_(pa.int32())),
+                                              pa.array(totals, pa.float64())], names=["h", "unit", "ids", "score"])
+    return lattice(words, spark, path).groupBy("h", "unit").agg(F.sort_array(F.collect_list(number)).alias("e")) \
+        .mapInArrow(fold, "h long, unit string, ids array<int>, score double")
 
 
 def encode_long_units(words: DataFrame, spark: SparkSession, path: str) -> DataFrame:
@@ -278,28 +302,36 @@ def packed(table: DataFrame, kind: str) -> DataFrame:
 
 
 class Held:
-    """Units' ids by the units' hashes, compact enough to be sent to every task, behind a bounded memo."""
+    """Units' ids by the units' hashes, compact enough to be sent to every task, behind a bounded memo of runs."""
 
-    MOST = 150_000
+    MOST = 200_000
 
-    def __init__(self, hashes: bytes, lens: bytes, ids: bytes, kind: str):
+    def __init__(self, hashes: bytes, lens: bytes, ids: bytes, kind: str, pattern: str):
+        self.cut = re.compile(pattern)
         self.hashes, self.ids, self.size = np.frombuffer(hashes, np.int64), ids, np.dtype(kind).itemsize  # sorted by hash
         self.offsets = np.concatenate(([0], np.cumsum(np.frombuffer(lens, "<u4"), dtype=np.uint32))).astype(np.uint32)
         self.memo: dict[str, bytes] = {}
 
     def learn(self, new: list[str]) -> None:
-        h = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in new], np.uint64).view(np.int64)
+        parts = [self.cut.findall(SPACE + r) for r in new]
+        h = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for us in parts for u in us], np.uint64).view(np.int64)
         i = np.searchsorted(self.hashes, h)
         lo, hi = ((self.offsets[at].astype(np.int64) * self.size).tolist() for at in (i, i + 1))
-        self.memo.update(zip(new, [self.ids[a:b] for a, b in zip(lo, hi)]))
+        at, ids, memo = 0, self.ids, self.memo
+        for r, us in zip(new, parts):
+            if len(us) == 1:
+                memo[r] = ids[lo[at]:hi[at]]
+            else:
+                memo[r] = b"".join([ids[lo[k]:hi[k]] for k in range(at, at + len(us))])
+            at += len(us)
 
-    def encode(self, parts: list[str]) -> bytes:
+    def encode(self, text: str | None) -> bytes:
         if len(self.memo) > self.MOST:
             self.memo = {}
-        out = []
+        out, parts = [], runs(text, self.cut.pattern)
         for i in range(0, len(parts), 1 << 16):
             part = parts[i:i + (1 << 16)]
-            new = list({u for u in part if u not in self.memo})
+            new = [u for u in set(part) if u not in self.memo]
             if new:
                 self.learn(new)
             out.append(b"".join(map(self.memo.__getitem__, part)))
@@ -376,9 +408,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         del runs
     if sent is not None:
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cut, known = re.compile(pattern), Held(*sent.value, kind)
+            known = Held(*sent.value, kind, pattern)
             yield from _rows(((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column("id"), b.column("t"))),
-                             lambda t: np.frombuffer(known.encode(units(t, cut)), kind), columns, raw)
+                             lambda t: np.frombuffer(known.encode(t), kind), columns, raw)
         out = own.mapInArrow(look_up, schema)
     else:
         chars = own.agg(F.coalesce(F.sum(F.char_length("t").cast("long")), F.lit(0))).first()[0]

@@ -405,6 +405,26 @@ def test_units_join_to_the_text_and_cross_no_piece():
         assert len(pattern.findall(p)) == 1, p
 
 
+def test_runs_hold_the_units_and_known_runs_need_no_pattern(monkeypatch):
+    rng = random.Random(22)
+    pattern = sentencepiece_lattice.unit_pattern(sentencepiece_lattice.pieces(PIECES))
+    texts = ["".join(rng.choice("ab é1²!\n\t \u2581 🙂") for _ in range(rng.randrange(1, 40))) for _ in range(500)]
+    for cut in (pattern, "▁*[^▁]+|▁+", "(?s).+"):
+        of = re.compile(cut).findall
+        for t in [*texts, None, "", " ", "  ", "a", " a", "a ", "a  b  ", "▁▁"]:
+            assert [u for r in sentencepiece_lattice.runs(t, cut) for u in of("▁" + r)] == sentencepiece_lattice.units(t, re.compile(cut))
+    units = sorted({u for t in texts for u in sentencepiece_lattice.units(t, re.compile(pattern))},
+                   key=lambda u: np.uint64(xxhash.xxh64_intdigest(u.encode(), 42)).view(np.int64))
+    hashes = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in units], np.uint64).view(np.int64)
+    held = sentencepiece_lattice.Held(hashes.tobytes(), np.full(len(units), 1, "<u4").tobytes(),
+                                      np.arange(len(units), dtype="<u2").tobytes(), "<u2", pattern)
+    place = {u: i for i, u in enumerate(units)}
+    whole = [np.array([place[u] for u in sentencepiece_lattice.units(t, re.compile(pattern))], "<u2").tobytes() for t in texts]
+    assert [held.encode(t) for t in texts] == whole
+    monkeypatch.setattr(held, "learn", None)
+    assert [held.encode(t) for t in texts] == whole and held.encode(None) == b""
+
+
 def test_sentencepiece_equals_library_and_decodes(spark, unigram):
     rng = random.Random(11)
     syllables = "th er on an re he in ed tion ness ly é ou qu".split()
