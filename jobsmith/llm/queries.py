@@ -30,8 +30,7 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: documents labelled as good; background: all documents."""
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    target = Stored(docs.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text"), "lm-target").df
-    return lm_score.cross_entropy_difference(docs, target, docs)
+    return lm_score.cross_entropy_difference(docs, good, docs)
 
 
 def op5_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

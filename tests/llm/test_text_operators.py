@@ -1,6 +1,7 @@
 """Operators on texts against brute force: nulls, empty texts, repeats, ties, clashing columns, empty tables."""
 
 import collections
+import os
 import random
 import re
 import time
@@ -381,6 +382,57 @@ def test_lm_tables_equal_driver_model_with_the_same_cut_at_every_size(spark, sam
         assert n == m and abs(t * max(n, 1) - mt) < 1e-6 and abs(b * max(n, 1) - mb) < 1e-6, text
 
 
+def test_lm_tables_stay_below_the_texts(spark):
+    """Before: a stored row of two hashes for every bigram of every document, many times the texts."""
+    rng = random.Random(15)
+    ws = [f"word{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(ws, k=150)) for _ in range(1500)]
+    frame = docs(spark, texts)
+
+    def stored():
+        top = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names)
+    before = stored()
+    assert lm_score.cross_entropy_difference(frame, docs(spark, texts[:500]), frame).count() == 1500
+    assert 0 < stored() - before < sum(map(len, texts))
+
+
+@pytest.mark.parametrize("block_words", [40, 1 << 20])
+def test_lm_target_named_by_ids_in_blocks_of_any_size(spark, block_words):
+    rng = random.Random(16)
+    draw = lambda i: " ".join(rng.choice(["a", "b", "c", f"pair{i // 2}", f"one{i}"]) for _ in range(rng.randrange(0, 12)))
+    texts = [None, "", *map(draw, range(300)), "a b a b c", "a b a b c"]
+    ids = [None, *range(len(texts) - 2), 7]   # a null id, and one that comes twice
+    frame = docs(spark, texts, ids)
+    chosen = spark.createDataFrame([(i,) for i in [None, 7, 7, *range(20, 90), 5000]], "doc_id long")
+    models = lm_score.train(docs(spark, [t for i, t in zip(ids, texts) if i == 7 or i in range(20, 90)]), frame)
+    got = lm_score.cross_entropy_difference(frame, chosen, frame, block_words=block_words)
+    assert got.columns == ["doc_id", "n_words", "target_loss", "background_loss", "score"]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    expect = []
+    for i, t in zip(ids, texts):
+        n, mt, mb = models.losses(t)
+        expect.append((i, n, round(mt / max(n, 1), 6) + 0.0, round(mb / max(n, 1), 6) + 0.0))
+    rows = [(r[0], r[1], round(r[2], 6) + 0.0, round(r[3], 6) + 0.0) for r in got.collect()]
+    assert sorted(rows, key=key) == sorted(expect, key=key)
+    assert all(abs(r["background_loss"] - r["target_loss"] - r["score"]) < 1e-12 for r in got.collect())
+
+
+def test_lm_packed_runs_come_back():
+    rng = np.random.default_rng(17)
+    for bits in (2, 3, 17, 40, 63, 64):
+        x = np.unique(rng.integers(0, 1 << bits, 500, np.uint64, endpoint=False) if bits < 64 else
+                      rng.integers(0, (1 << 64) - 1, 500, np.uint64, endpoint=True))
+        assert (lm_score._unpack(lm_score._pack(x, True), True) == x).all() and (lm_score._unpack(lm_score._pack(x)) == x).all()
+        mixed = lm_score._mix(x, bits)
+        assert len(np.unique(mixed)) == len(x) and int(mixed.max()) < 1 << bits
+        assert (lm_score._mix(mixed, bits, back=True) == x).all()
+        cut = lm_score._slices(x, bits, 7)
+        assert [i for _, a, b in cut for i in range(a, b)] == list(range(len(x)))
+    for x in ([], [0], [0, 0, 0], [255, 256]):
+        assert lm_score._unpack(lm_score._pack(np.array(x, np.int64))).tolist() == x
+
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
