@@ -11,8 +11,12 @@
    over the edges that end there (Viterbi). Highest total score wins; of equals the
    one whose last piece is longest.
 4. Documents take their units' ids in order. The unit table is sent to the tasks
-   if it is at most ``SEND_UNITS`` rows; a larger one is joined to blocks of
-   documents instead, each block with the units it holds.
+   if it is at most ``SEND_UNITS`` rows and the texts have at most ``SENT_CHARS``
+   characters. Beyond that documents are cut once, into blocks that are kept as
+   numbers of their own runs of text; a block sends its different units, packed, to
+   buckets of hashes, where they become the distinct units of 1., and the buckets
+   send their ids back to the blocks that have them. Units are told apart by their
+   text. What a task holds is a block or a bucket, however many documents there are.
 
 Decoding joins the pieces' texts, byte pieces as bytes, and takes off the blank
 in front. Null and empty texts have no ids and decode to the empty text; very long
@@ -29,23 +33,36 @@ under the best-sum rule, which need not be the library's order of merges.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsmith.llm.common import Stored, width
+from jobsmith.llm.lm_score import CODEC, _pack, _slices, _unpack
+from jobsmith.session import scratch_path
 
 SPACE = "\u2581"
 SEND_UNITS = 4_000_000
+SENT_CHARS = 1 << 26
 BLOCK_CHARS = 1 << 23
+BLOCK_RUNS = 400_000
+BUCKET_UNITS = 1 << 20     # units of all blocks that meet in one group, some
+BUCKET_CHARS = 1 << 24     # and their characters
+BODY = "ids array<long>, lens binary, tokens binary, parts binary, places binary"
+UNITS = "units binary, n_units long, n_chars long"
 PART_CHARS = 250_000
 LONG_CHARS = 512
 STRETCH = 256
@@ -380,6 +397,225 @@ def _rows(docs: Iterator[tuple], encode_one, columns: tuple[str, ...], raw: list
         yield close()
 
 
+def _coded(words: DataFrame, chars: int, most: int, long_chars: int, path: str) -> Stored:
+    """(h, unit, ids) of all units of ``words``, which have so many characters in all and at most."""
+    spark, n = words.sparkSession, F.char_length("unit")
+    short = words if most <= long_chars else words.where(n <= long_chars)
+    parts = short.repartition(int(chars // PART_CHARS) + 1, "h")  # a task's lattice fits in its memory
+    coded = encode_units(parts, spark, path).select("h", "unit", "ids")
+    if most > long_chars:
+        coded = coded.unionByName(encode_long_units(words.where(n > long_chars), spark, path))
+    with _gathered_in_memory(spark):
+        return Stored(coded, "coded-units")
+
+
+def _pack_texts(texts: pa.Array) -> bytes:
+    """Texts (without nulls) as one compressed run of bytes behind their packed lengths."""
+    raw = texts.cast(pa.binary())
+    lens = _pack(pc.binary_length(raw).to_numpy(zero_copy_only=False))
+    data = b"".join(raw.to_pylist())
+    return b"".join((len(lens).to_bytes(5, "little"), lens, len(data).to_bytes(5, "little"), CODEC.compress(data, asbytes=True) if data else b""))
+
+
+def _unpack_texts(packed_: bytes) -> pa.Array:
+    at = 5 + int.from_bytes(packed_[:5], "little")
+    lens, size = _unpack(packed_[5:at]), int.from_bytes(packed_[at:at + 5], "little")
+    offsets = np.concatenate(([0], np.cumsum(lens))).astype("<i4")
+    data = CODEC.decompress(packed_[at + 5:], size) if size else pa.py_buffer(b"")
+    return pa.StringArray.from_buffers(len(lens), pa.py_buffer(offsets), data)
+
+
+def _by_hash(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, the texts' order by hash and text): the order of units everywhere."""
+    h = np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in texts], np.uint64)
+    order = np.argsort(h, kind="stable")
+    if (h[order][1:] == h[order][:-1]).any():
+        order = np.array(sorted(range(len(texts)), key=lambda i: (h[i], texts[i])), np.int64)
+    return h, order
+
+
+def _lists_at(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The lists ``flat[starts[i]:starts[i] + lens[i]]`` of the indices, one behind the other."""
+    out = [flat[:0]]
+    for k in range(0, len(index), 1 << 20):
+        i = index[k:k + (1 << 20)]
+        n = lens[i]
+        ends = np.cumsum(n)
+        out.append(flat[np.arange(ends[-1]) + np.repeat(starts[i] - (ends - n), n)])
+    return out[1] if len(out) == 2 else np.concatenate(out)
+
+
+def _blocks(own: DataFrame, pattern: str, block_chars: int) -> DataFrame:
+    """Rows BODY and UNITS, two for a block of rows (id, t). ``tokens`` number a text's runs by falling frequency, ``parts``
+    is how many units each run has, ``places`` where these are among the block's units."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, block = re.compile(pattern), TaskContext.get().partitionId() << 32
+        ids, tokens, numbers = [], [], defaultdict(count().__next__)
+        held = 0
+
+        def flush():
+            names, flat, parts = defaultdict(count().__next__), [], []  # no cycle: gone at once
+            for r in numbers:
+                us = unit.findall(SPACE + r)
+                parts.append(len(us))
+                flat.extend(map(names.__getitem__, us))
+            us = list(names)
+            _, order = _by_hash(us)
+            place = np.empty(len(us), np.int64)
+            place[order] = np.arange(len(us))
+            text = np.concatenate([np.zeros(0, np.int32), *tokens])
+            often = np.argsort(-np.bincount(text, minlength=len(parts)), kind="stable")
+            number = np.empty(len(parts), np.int64)
+            number[often] = np.arange(len(parts))
+            parts = np.array(parts, np.int64)
+            each = _lists_at(place[np.array(flat, np.int64)], np.cumsum(parts) - parts, parts, often)
+            out = pa.RecordBatch.from_pylist([
+                {"kind": "body", "block": block, "ids": ids, "lens": _pack(np.array([len(x) for x in tokens])),
+                 "tokens": _pack(number[text]), "parts": _pack(parts[often]), "places": _pack(each)},
+                {"kind": "units", "block": block, "units": _pack_texts(pa.array(us, pa.string()).take(pa.array(order))),
+                 "n_units": len(us), "n_chars": sum(map(len, us))}], schema)
+            for x in (ids, tokens, numbers):
+                x.clear()
+            numbers.default_factory = count().__next__
+            return out
+        for batch in batches:
+            for i, t in zip(batch.column("id"), batch.column("t")):
+                rs = runs(t.as_py(), pattern)
+                ids.append(i.as_py())
+                tokens.append(np.fromiter(map(numbers.__getitem__, rs), np.int32, len(rs)))
+                held += sum(map(len, rs)) + len(rs)
+                if held >= block_chars or len(numbers) >= BLOCK_RUNS or len(ids) >= 1 << 16:
+                    yield flush()
+                    block, held = block + 1, 0
+        if ids:
+            yield flush()
+    schema = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("ids", pa.list_(pa.int64())), *[(c, pa.binary()) for c in (
+        "lens", "tokens", "parts", "places", "units")], ("n_units", pa.int64()), ("n_chars", pa.int64())])
+    return own.mapInArrow(cut, f"kind string, block long, {BODY}, {UNITS}")
+
+
+def _keep_blocks(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, str]:
+    """The blocks' bodies and units, stored, and the folder of the units. The bodies lie in n buckets of their blocks, so
+    that a grouping by block need not move them. Only a table can have buckets; its entry in the catalog goes at once
+    and the files stay. Without the right to make one, they are stored without buckets."""
+    spark = rows.sparkSession
+    path, table = scratch_path(spark, "blocks"), f"jobsmith_{uuid.uuid4().hex}"
+    body, units = f"{path}/kind=body", f"{path}/kind=units"
+    try:
+        rows.write.partitionBy("kind").bucketBy(n, "block").option("path", path).saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"CREATE TABLE {table} (block long, {BODY}) USING parquet CLUSTERED BY (block) INTO {n} BUCKETS LOCATION :at", {"at": body})
+        bodies = spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
+    except AnalysisException:
+        path = scratch_path(spark, "blocks")
+        body, units = f"{path}/kind=body", f"{path}/kind=units"
+        rows.write.partitionBy("kind").parquet(path)
+        _folder(spark, body)
+        bodies = spark.read.schema(f"block long, {BODY}").parquet(body)
+    _folder(spark, units)  # an empty table has none
+    return bodies, spark.read.schema(f"block long, {UNITS}").parquet(units), units
+
+
+def _folder(spark: SparkSession, path: str, keep: bool = True) -> None:
+    """Makes or deletes a folder of the shared store."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p) if keep else fs.delete(p, True)
+
+
+def _bucket_units(units: DataFrame, n: int) -> DataFrame:
+    """(bucket, block, places) for every block, and for each bucket without a block its different units, sorted by hash
+    and text (``units``; how many, their characters, the most of one), which the places number."""
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            us = _unpack_texts(row["units"])
+            h, _ = _by_hash(us.to_pylist())
+            cuts = _slices(h, 64, n)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([i for i, _, _ in cuts], pa.int32()), pa.array([row["block"]] * len(cuts), pa.int64()),
+                pa.array([_pack_texts(us.slice(a, b - a)) for _, a, b in cuts], pa.binary())], names=["bucket", "block", "units"])
+
+    def merge(t: pa.Table) -> pa.Table:
+        sent = [_unpack_texts(x) for x in t["units"].to_pylist()]
+        every = pa.concat_arrays(sent)
+        us = every.unique()
+        us = us.take(pa.array(_by_hash(us.to_pylist())[1]))
+        places = pc.index_in(every, value_set=us).to_numpy().astype(np.int64)
+        ends = np.cumsum([len(x) for x in sent])
+        chars = pc.utf8_length(us)
+        own = {"block": None, "places": None, "units": _pack_texts(us), "n": len(us), "chars": pc.sum(chars).as_py(), "most": pc.max(chars).as_py()}
+        bucket = t["bucket"][0].as_py()
+        return pa.Table.from_pylist([{"bucket": bucket} | r for r in [own, *(
+            {"block": b, "places": _pack(p, True)} for b, p in zip(t["block"].to_pylist(), np.split(places, ends[:-1])))]], kind)
+    kind = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("places", pa.binary()), ("units", pa.binary()),
+                      ("n", pa.int64()), ("chars", pa.int64()), ("most", pa.int64())])
+    return units.select("block", "units").mapInArrow(send, "bucket int, block long, units binary") \
+        .groupBy("bucket").applyInArrow(merge, "bucket int, block long, places binary, units binary, n long, chars long, most long")
+
+
+def _unit_rows(merged: DataFrame) -> DataFrame:
+    """(h, unit) of the buckets' units; h is the unit's own number: bucket and place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            us = _unpack_texts(row["units"])
+            for k in range(0, len(us), 10_000):
+                part = us.slice(k, 10_000)
+                yield pa.RecordBatch.from_arrays([pa.array((row["bucket"] << 32) + np.arange(k, k + len(part), dtype=np.int64)), part], names=["h", "unit"])
+    return merged.where("block IS NULL").select("bucket", "units").mapInArrow(run, "h long, unit string")
+
+
+def _answers(merged: DataFrame, coded: DataFrame, kind: str) -> DataFrame:
+    """(block, bucket, lens, ids): the ids of a block's units in every bucket."""
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lens", pa.binary()), ("ids", pa.binary())])
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        order = np.argsort(right["place"].to_numpy())
+        assert (right["place"].to_numpy()[order] == np.arange(len(order))).all(), "a unit without ids"
+        lists = right["ids"].combine_chunks()
+        flat, offsets = lists.values.to_numpy().astype(kind), np.array(lists.offsets, np.int64)
+        starts, lens = offsets[:-1][order], np.diff(offsets)[order]
+        out = []
+        for r in left.to_pylist():
+            at = _unpack(r["places"], True).astype(np.int64)
+            out.append({"block": r["block"], "bucket": r["bucket"], "lens": _pack(lens[at]), "ids": _pack(_lists_at(flat, starts, lens, at))})
+        return pa.Table.from_pylist(out, schema)
+    numbered = coded.select(F.shiftright("h", 32).cast("int").alias("bucket"), F.expr("cast(h & 4294967295L as int)").alias("place"), "ids")
+    return merged.where("block IS NOT NULL").select("bucket", "block", "places").groupBy("bucket").cogroup(numbered.groupBy("bucket")) \
+        .applyInArrow(answer, "block long, bucket int, lens binary, ids binary")
+
+
+def _encode_blocks(own: DataFrame, chars: int, path: str, pattern: str, columns: tuple[str, ...], long_chars: int, schema: str) -> DataFrame:
+    """``encode`` for any number of units: blocks of documents ask the units' buckets for the ids they need."""
+    spark, kind, raw = own.sparkSession, id_kind(path), spellings(path)
+    blocks, units, folder = _keep_blocks(_blocks(own, pattern, BLOCK_CHARS), min(max(chars // BLOCK_CHARS, width(spark)), 100_000))
+    sent, long = units.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_units", "n_chars")]).first()
+    buckets = max(-(-sent // BUCKET_UNITS), -(-long // BUCKET_CHARS), min(width(spark), sent >> 16), 1)
+    merged = Stored(_bucket_units(units, buckets), "bucket-units").df
+    _folder(spark, folder, keep=False)
+    total, most = merged.agg(F.coalesce(F.sum("chars"), F.lit(0)), F.coalesce(F.max("most"), F.lit(0))).first()
+    coded = _coded(_unit_rows(merged), total, most, long_chars, path).df
+    result = pa.schema([("id", pa.int64()), *[(c, pa.list_(pa.int32()) if c == "ids" else pa.int64()) for c in columns]])
+
+    def write(left: pa.Table, right: pa.Table) -> pa.Table:
+        back = sorted(right.to_pylist(), key=lambda r: r["bucket"])  # buckets are ranges of hashes
+        lens = np.concatenate([np.zeros(0, np.int64), *[_unpack(r["lens"]).astype(np.int64) for r in back]])
+        flat = np.concatenate([np.zeros(0, kind), *[_unpack(r["ids"]).astype(kind) for r in back]])
+        out = []
+        for row in left.to_pylist():
+            places, parts = (_unpack(row[c]).astype(np.int64) for c in ("places", "parts"))
+            bounds = np.concatenate(([0], np.cumsum(parts)))
+            ends = np.concatenate(([0], np.cumsum(lens[places])))[bounds]
+            run_ids, starts, n = _lists_at(flat, np.cumsum(lens) - lens, lens, places), ends[:-1], np.diff(ends)
+            tokens = _unpack(row["tokens"]).astype(np.int64)
+            texts = np.split(tokens, np.cumsum(_unpack(row["lens"]).astype(np.int64))[:-1])
+            out += _rows(zip(row["ids"], texts), lambda t: _lists_at(run_ids, starts, n, t), columns, raw)
+        return pa.Table.from_batches(out, result)
+    return blocks.groupBy("block").cogroup(_answers(merged, coded, kind).groupBy("block")) \
+        .applyInArrow(write, schema)
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
            send_units: int = SEND_UNITS, columns: tuple[str, ...] = ("ids",), long_chars: int = LONG_CHARS) -> DataFrame:
     """One row per document: its id and ``columns`` of ``ids`` (array of int), ``n_tokens``, ``ids_crc32`` (ids as
@@ -387,53 +623,35 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     pattern = unit_pattern(pieces(path))
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    schema = ", ".join(["id long", *[f"{c} {COLUMNS[c]}" for c in columns]])
+    chars = own.agg(F.coalesce(F.sum(F.char_length("t").cast("long")), F.lit(0))).first()[0]
+    sent = _sent_units(own, path, pattern, send_units, long_chars) if send_units and chars <= SENT_CHARS else None
+    if sent is None:
+        return _encode_blocks(own, chars, path, pattern, columns, long_chars, schema).withColumnRenamed("id", id_col)
+    kind, raw = id_kind(path), spellings(path)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Held(*sent.value, kind, pattern)
+        yield from _rows(((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column("id"), b.column("t"))),
+                         lambda t: np.frombuffer(known.encode(t), kind), columns, raw)
+    return own.mapInArrow(look_up, schema).withColumnRenamed("id", id_col)
+
+
+def _sent_units(own: DataFrame, path: str, pattern: str, send_units: int, long_chars: int):
+    """The packed unit table, sent to the tasks: some 20 bytes a unit. None if it is too large."""
     words = Stored(distinct_units(own, "t", pattern), "units")
     n = F.char_length("unit")
-    chars, most = words.df.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
-    short = words.df if most <= long_chars else words.df.where(n <= long_chars)
-    parts = short.repartition(int(chars // PART_CHARS) + 1, "h")  # a task's lattice fits in its memory
-    coded = encode_units(parts, spark, path).select("h", "unit", "ids")
-    if most > long_chars:
-        coded = coded.unionByName(encode_long_units(words.df.where(n > long_chars), spark, path))
-    with _gathered_in_memory(spark):
-        table = Stored(coded, "coded-units").df
+    number, chars, most = words.df.agg(F.count("*"), F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    if number > send_units:
+        words.drop()
+        return None
+    table = _coded(words.df, chars, most, long_chars, path)
     words.drop()
-    schema = ", ".join(["id long", *[f"{c} {COLUMNS[c]}" for c in columns]])
-    kind, raw = id_kind(path), spellings(path)
-    sent = None
-    if table.count() <= send_units:  # a bounded table: some 20 bytes a unit
-        runs = sorted(packed(table, kind).collect(), key=lambda r: r["low"])
-        if not sum(r["same"] for r in runs):  # no two units of one hash
-            sent = spark.sparkContext.broadcast([b"".join(r[c] for r in runs) for c in ("hashes", "lens", "ids")])
-        del runs
-    if sent is not None:
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Held(*sent.value, kind, pattern)
-            yield from _rows(((i.as_py(), t.as_py()) for b in batches for i, t in zip(b.column("id"), b.column("t"))),
-                             lambda t: np.frombuffer(known.encode(t), kind), columns, raw)
-        out = own.mapInArrow(look_up, schema)
-    else:
-        chars = own.agg(F.coalesce(F.sum(F.char_length("t").cast("long")), F.lit(0))).first()[0]
-        placed = own.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(chars // BLOCK_CHARS + 1)))
-
-        def own_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cut = re.compile(pattern)
-            for b in batches:
-                pairs = sorted({(k.as_py(), u) for k, t in zip(b.column("block"), b.column("t"))
-                                for u in units(t.as_py(), cut)})
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in pairs], pa.int64()),
-                                                  pa.array([u for _, u in pairs], pa.string())], names=["block", "unit"])
-        need = placed.mapInArrow(own_units, "block long, unit string").distinct().join(table.drop("h"), "unit")
-
-        def block(left: pa.Table, right: pa.Table) -> pa.Table:
-            cut = re.compile(pattern)
-            ids = {u: array("i", x).tobytes() for u, x in zip(right["unit"].to_pylist(), right["ids"].to_pylist())}
-            docs_ = zip(left["id"].to_pylist(), left["t"].to_pylist())
-            out = list(_rows(docs_, lambda t: np.frombuffer(b"".join([ids[u] for u in units(t, cut)]), "<i4"), columns, raw))
-            types = {"ids": pa.list_(pa.int32())}
-            return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), *[(c, types.get(c, pa.int64())) for c in columns]]))
-        out = placed.groupBy("block").cogroup(need.groupBy("block")).applyInArrow(block, schema)
-    return out.withColumnRenamed("id", id_col)
+    runs = sorted(packed(table.df, id_kind(path)).collect(), key=lambda r: r["low"])
+    table.drop()
+    if sum(r["same"] for r in runs):  # two units of one hash
+        return None
+    return own.sparkSession.sparkContext.broadcast([b"".join(r[c] for r in runs) for c in ("hashes", "lens", "ids")])
 
 
 def decode(ids: str | Column, path: str) -> Column:

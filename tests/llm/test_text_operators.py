@@ -4,13 +4,18 @@ import collections
 import os
 import random
 import re
+import threading
 import time
 import zlib
 
 import numpy as np
+import psutil
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from jobsmith.llm import common, decontaminate, license_scan, lm_score, sentencepiece_lattice, simhash, token_binary
@@ -525,6 +530,68 @@ def test_long_units_are_folded_like_short_ones(spark):
         assert r["decoded_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").encode())
 
 
+def _worker_mb(run):
+    """(result of ``run``, most MB that one Python worker had of its own meanwhile)."""
+    most, over = [0.0], threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            for p in psutil.Process().children(recursive=True):
+                try:
+                    if "python" in p.name():
+                        most[0] = max(most[0], p.memory_full_info().uss / 1e6)
+                except psutil.Error:
+                    pass
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        return run(), most[0]
+    finally:
+        over.set()
+        thread.join()
+
+
+def test_a_task_holds_one_block_however_many_there_are(spark, monkeypatch):
+    """One batch of 5,000 documents of some hundred blocks: its units of all blocks are not held at once."""
+    rng = random.Random(14)
+    some = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(5, 9))) for _ in range(40_000)]
+    texts = [" ".join(rng.choices(some, k=300)) for _ in range(5000)]
+    df = docs(spark, texts).coalesce(1)
+    monkeypatch.setattr(sentencepiece_lattice, "BLOCK_CHARS", 1 << 16)
+    got, mb = _worker_mb(lambda: sentencepiece_lattice.encode(df, PIECES, send_units=0, columns=("decoded_crc32",)).collect())
+    assert sorted(tuple(r) for r in got) == [(i, zlib.crc32(t.encode())) for i, t in enumerate(texts)] and mb < 250
+
+
+@pytest.mark.parametrize("catalog", [True, False])
+def test_blocks_and_buckets_give_the_rows_of_the_sent_table(spark, monkeypatch, catalog):
+    """Many blocks, many buckets; null and repeated ids, rows and texts, long units; with and without the right to make tables."""
+    rng = random.Random(15)
+    texts = TEXTS + [None, "", "x" * 700] + ["".join(rng.choices("etaoin  .é你\n42", k=rng.randrange(400))) for _ in range(120)]
+    rows = [(rng.choice([None, i, 7]), t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows + rows[:30], "doc_id long, text string")
+    for name, value in (("BLOCK_CHARS", 2000), ("BUCKET_UNITS", 100)):
+        monkeypatch.setattr(sentencepiece_lattice, name, value, raising=False)
+    if not catalog:
+        def refused(*_, **__):
+            raise AnalysisException("no right")
+        monkeypatch.setattr(DataFrameWriter, "saveAsTable", refused)
+    columns = ("ids", "n_tokens", "ids_crc32", "decoded_crc32")
+    plain, joined = (sentencepiece_lattice.encode(df, PIECES, send_units=n, columns=columns) for n in (1000_000, 0))
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["ids"])
+    assert sorted(plain.collect(), key=key) == sorted(joined.collect(), key=key) and joined.count() == len(rows) + 30
+    assert not spark.catalog.listTables()
+
+
+def test_units_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(sentencepiece_lattice.xxhash, "xxh64_intdigest", lambda x, seed: len(x))
+    texts = ["bb", "a", "ab", "c", ""]
+    _, order = sentencepiece_lattice._by_hash(texts)
+    assert [texts[i] for i in order] == ["", "a", "c", "ab", "bb"]
+    packed = sentencepiece_lattice._pack_texts(pa.array(texts + ["你", "🙂"]))
+    assert sentencepiece_lattice._unpack_texts(packed).to_pylist() == texts + ["你", "🙂"]
+    assert not len(sentencepiece_lattice._unpack_texts(sentencepiece_lattice._pack_texts(pa.array([], pa.string()))))
+
+
 def test_a_unit_of_200_000_letters_ends(spark):
     rng = random.Random(13)
     text = "".join(rng.choice("etaoinshrdlu") for _ in range(200_000))
